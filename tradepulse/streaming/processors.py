@@ -1,0 +1,263 @@
+"""Keyed state for streams: the incremental twins of the closed forms.
+
+Each processor holds a few bytes per key in RocksDB and walks the rows of a micro-batch
+once. Order inside a batch is event time where the result depends on it, found without
+sorting the batch: only minima per day are remembered, not rows. State is given up by
+event-time timers, so a replay gives the same result as the live run.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import sys
+from collections.abc import Iterator
+from decimal import Decimal
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tradepulse import schemas as S
+from tradepulse.operators.windows import SKU_AMOUNTS
+
+# Executors get these classes with the plan and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+UTC = dt.timezone.utc
+DAY_MS = 24 * 3600 * 1000
+EPOCH = dt.date(1970, 1, 1)
+
+
+def _day(ms: int) -> int:
+    return ms // DAY_MS
+
+
+def _millis(t: dt.datetime) -> int:
+    """A Spark timestamp arrives as naive local time; ``timestamp()`` undoes that."""
+    return int(round(t.timestamp() * 1000))
+
+
+class NewFlag(StatefulProcessor):
+    """Repair of ``is_new``: the state is a device's first day.
+
+    Rows of a device not seen before wait until its first day is known; beyond ``HELD``
+    rows they wait in the state store instead of in memory.
+    """
+
+    HELD = 10_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first_day", "day int")
+        self.waiting = handle.getListState("waiting", LOG_ROW)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.first.get()[0] if self.first.exists() else None
+        if known is not None:
+            for row in rows:
+                yield self._fix(row, known)
+            return
+        best, held, spilled = None, [], False
+        for row in rows:
+            flag = row.common.get("is_new")
+            if flag in ("0", "1"):
+                # on a tie the row flagged 1 decides, as in the closed form
+                mark = (row.ts, flag != "1")
+                if best is None or mark < best:
+                    best = mark
+            held.append(row)
+            if len(held) >= self.HELD:
+                self.waiting.appendList([tuple(r) for r in held])
+                held, spilled = [], True
+        if best is not None:
+            known = _day(best[0]) - (1 if best[1] else 0)
+            self.first.update((known,))
+        if spilled:
+            for row in self.waiting.get():
+                yield self._fix(Row(*LOG_NAMES)(*row), known)
+            self.waiting.clear()
+        for row in held:
+            yield self._fix(row, known)
+
+    @staticmethod
+    def _fix(row, known) -> Row:
+        common = dict(row.common)
+        if known is not None and common.get("is_new") == "1" and _day(row.ts) != known:
+            common["is_new"] = "0"
+        return Row(common=common, page=row.page, start=row.start, err=row.err,
+                   displays=row.displays, actions=row.actions, ts=row.ts)
+
+    def close(self) -> None:
+        pass
+
+
+LOG_ROW = S.LOG
+LOG_NAMES = S.LOG.names
+
+
+class DailyUnique(StatefulProcessor):
+    """Marks the first row of each key and day with ``uv_ct`` = 1.
+
+    The state holds the days already counted. A day leaves it by timer one day after its
+    end, when the watermark lets no row of it through any more.
+    """
+
+    def __init__(self, names: list[str], time: str = "row_time"):
+        self.names, self.time = names, time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getMapState("days", "day int", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first: dict[int, tuple] = {}
+        seen: set[int] = set()
+        for row in rows:
+            day = _day(_millis(row[self.time]))
+            if day in seen or (day not in first and self.days.containsKey((day,))):
+                seen.add(day)
+                yield self._out(row, 0)
+            elif day not in first:
+                first[day] = row
+            elif self._order(row) < self._order(first[day]):
+                yield self._out(first[day], 0)
+                first[day] = row
+            else:
+                yield self._out(row, 0)
+        for day, row in first.items():
+            self.days.updateValue((day,), (True,))
+            self.handle.registerTimer((day + 2) * DAY_MS)
+            yield self._out(row, 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 2
+        if self.days.containsKey((day,)):
+            self.days.removeKey((day,))
+        return iter(())
+
+    def _order(self, row) -> tuple:
+        return (row[self.time], tuple(str(row[n]) for n in self.names))
+
+    def _out(self, row, uv: int) -> Row:
+        values = {n: row[n] for n in self.names if n != self.time}
+        return Row(**values, uv_ct=uv, event_time=row[self.time])
+
+    def close(self) -> None:
+        pass
+
+
+class Returning(StatefulProcessor):
+    """Daily unique users and, after more than ``away_days`` of absence, returning ones."""
+
+    def __init__(self, away_days: int = 7, time: str = "row_time"):
+        self.away_ms, self.time = away_days * DAY_MS, time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last_day", "day int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        firsts: dict[int, dt.datetime] = {}
+        for row in rows:
+            at = row[self.time]
+            day = _day(_millis(at))
+            if day not in firsts or at < firsts[day]:
+                firsts[day] = at
+        last = self.last.get()[0] if self.last.exists() else None
+        for day in sorted(firsts):
+            if day == last:
+                continue
+            back = last is not None and _millis(firsts[day]) - last * DAY_MS > self.away_ms
+            yield Row(uid=key[0], back_ct=int(back), uu_ct=1, event_time=firsts[day])
+            last = day if last is None else max(last, day)
+        if last is not None:
+            self.last.update((last,))
+
+    def close(self) -> None:
+        pass
+
+
+class VersionDelta(StatefulProcessor):
+    """Amounts minus those of the key's previous version, kept for ``keep_ms`` of event time.
+
+    The versions of one key in one micro-batch are sorted; ``per_trigger`` of the source
+    bounds how many that can be.
+    """
+
+    def __init__(self, names: list[str], amounts: list[str], keep_ms: int, time: str = "row_time"):
+        self.names, self.amounts, self.keep_ms, self.time = names, amounts, keep_ms, time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = [T.StructField(a, T.DecimalType(16, 2)) for a in self.amounts]
+        self.last = handle.getValueState("last", T.StructType(
+            [*fields, T.StructField("until", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        zero = Decimal("0.00")
+        ordered = sorted(rows, key=lambda r: (r[self.time], [r[a] or zero for a in self.amounts]))
+        state = self.last.get() if self.last.exists() else None
+        previous = list(state[:-1]) if state else [zero] * len(self.amounts)
+        for row in ordered:
+            current = [row[a] or zero for a in self.amounts]
+            change = {a: c - p for a, c, p in zip(self.amounts, current, previous)}
+            keep = {n: row[n] for n in self.names if n not in change and n != self.time}
+            previous = current
+            yield Row(**keep, **change, event_time=row[self.time])
+        until = _millis(ordered[-1][self.time]) + self.keep_ms
+        self.last.update((*previous, until))
+        self.handle.registerTimer(until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.last.exists() and self.last.get()[-1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+# -- the steps as DataFrame functions ----------------------------------------------------
+
+def _apply(rows: DataFrame, keys: list[str], processor: StatefulProcessor,
+           fields: list[T.StructField], event_time: str | None = "event_time",
+           time_mode: str = "EventTime") -> DataFrame:
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=processor, outputStructType=T.StructType(fields),
+        outputMode="Append", timeMode=time_mode,
+        **({"eventTimeColumnName": event_time} if event_time else {}))
+
+
+def _kept(rows: DataFrame, names: list[str], drop: str) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType) for f in rows.schema.fields
+            if f.name in names and f.name != drop]
+
+
+AT = T.StructField("event_time", T.TimestampType())
+
+
+def repair_new_flag(logs: DataFrame) -> DataFrame:
+    keyed = logs.withColumn("mid", F.col("common")["mid"])
+    return _apply(keyed, ["mid"], NewFlag(), S.LOG.fields, None, "None")
+
+
+def daily_unique(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (with a watermark on ``row_time``) plus ``uv_ct``; time becomes ``event_time``."""
+    names = rows.columns
+    fields = [*_kept(rows, names, "row_time"), T.StructField("uv_ct", T.LongType()), AT]
+    return _apply(rows, keys, DailyUnique(names), fields)
+
+
+def returning_users(visits: DataFrame, away_days: int = 7) -> DataFrame:
+    fields = [T.StructField("uid", T.StringType()), T.StructField("back_ct", T.LongType()),
+              T.StructField("uu_ct", T.LongType()), AT]
+    return _apply(visits, ["uid"], Returning(away_days), fields)
+
+
+def version_deltas(rows: DataFrame, key: str = "id", amounts: list[str] | None = None,
+                   keep_ms: int = 30_000) -> DataFrame:
+    amounts = list(amounts or SKU_AMOUNTS)
+    names = rows.columns
+    plain = [f for f in _kept(rows, names, "row_time") if f.name not in amounts]
+    money = [T.StructField(a, T.DecimalType(16, 2)) for a in amounts]
+    return _apply(rows, [key], VersionDelta(names, amounts, keep_ms), [*plain, *money, AT])
