@@ -36,7 +36,8 @@ def page_stream(spark, sf) -> DataFrame:
 
 def closed(body: str, late: str, time: str = "ts", of: str = "pages", size: str = "10 seconds") -> str:
     """Keep the windows ``w`` of ``g`` that were closed at the end of the stream."""
-    return body.replace(" FROM g", f" FROM g WHERE w + INTERVAL '{size}' <= (SELECT max({time}) FROM {of}) - INTERVAL '{late}'")
+    assert body.endswith("FROM g")
+    return f"{body} WHERE w + INTERVAL '{size}' <= (SELECT max({time}) FROM {of}) - INTERVAL '{late}'"
 
 
 @query("stream_fix_is_new", f"WITH {sql.FIXED} SELECT mid, is_new_fixed AS is_new, ms AS ts FROM fixed")

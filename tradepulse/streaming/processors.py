@@ -20,14 +20,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tradepulse import schemas as S
+from tradepulse.operators.parse import parse_json
 from tradepulse.operators.windows import SKU_AMOUNTS
 
 # Executors get these classes with the plan and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-UTC = dt.timezone.utc
 DAY_MS = 24 * 3600 * 1000
-EPOCH = dt.date(1970, 1, 1)
 
 
 def _day(ms: int) -> int:
@@ -50,7 +49,7 @@ class NewFlag(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first_day", "day int")
-        self.waiting = handle.getListState("waiting", LOG_ROW)
+        self.waiting = handle.getListState("waiting", "is_new string, ts bigint, body string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.first.get()[0] if self.first.exists() else None
@@ -60,42 +59,34 @@ class NewFlag(StatefulProcessor):
             return
         best, held, spilled = None, [], False
         for row in rows:
-            flag = row.common.get("is_new")
-            if flag in ("0", "1"):
+            if row.is_new in ("0", "1"):
                 # on a tie the row flagged 1 decides, as in the closed form
-                mark = (row.ts, flag != "1")
+                mark = (row.ts, row.is_new != "1")
                 if best is None or mark < best:
                     best = mark
             held.append(row)
             if len(held) >= self.HELD:
-                self.waiting.appendList([tuple(r) for r in held])
+                self.waiting.appendList([(r.is_new, r.ts, r.body) for r in held])
                 held, spilled = [], True
         if best is not None:
             known = _day(best[0]) - (1 if best[1] else 0)
             self.first.update((known,))
         if spilled:
             for row in self.waiting.get():
-                yield self._fix(Row(*LOG_NAMES)(*row), known)
+                yield self._fix(Row(is_new=row[0], ts=row[1], body=row[2]), known)
             self.waiting.clear()
         for row in held:
             yield self._fix(row, known)
 
     @staticmethod
     def _fix(row, known) -> Row:
-        common = dict(row.common)
-        if known is not None and common.get("is_new") == "1" and _day(row.ts) != known:
-            common["is_new"] = "0"
-        return Row(common=common, page=row.page, start=row.start, err=row.err,
-                   displays=row.displays, actions=row.actions, ts=row.ts)
+        stale = known is not None and row.is_new == "1" and _day(row.ts) != known
+        return Row(is_new="0" if stale else row.is_new, body=row.body)
 
     def close(self) -> None:
         pass
 
 
-LOG_ROW = S.LOG
-LOG_NAMES = S.LOG.names
-
-
 class DailyUnique(StatefulProcessor):
     """Marks the first row of each key and day with ``uv_ct`` = 1.
 
@@ -237,8 +228,14 @@ AT = T.StructField("event_time", T.TimestampType())
 
 
 def repair_new_flag(logs: DataFrame) -> DataFrame:
-    keyed = logs.withColumn("mid", F.col("common")["mid"])
-    return _apply(keyed, ["mid"], NewFlag(), S.LOG.fields, None, "None")
+    """Logs with the true ``is_new``; the log itself passes the state step as one text."""
+    keyed = logs.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
+                        "ts", F.to_json(F.struct(*S.LOG.names)).alias("body"))
+    fixed = _apply(keyed, ["mid"], NewFlag(), [T.StructField("is_new", T.StringType()),
+                                               T.StructField("body", T.StringType())], None, "None")
+    parsed = parse_json(fixed.withColumnRenamed("body", "value"), S.LOG, keep=["is_new"])
+    common = F.transform_values("common", lambda k, v: F.when(k == "is_new", F.col("is_new")).otherwise(v))
+    return parsed.withColumn("common", common).drop("is_new")
 
 
 def daily_unique(rows: DataFrame, keys: list[str]) -> DataFrame:
