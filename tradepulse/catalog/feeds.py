@@ -11,19 +11,33 @@ from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
 from tradepulse.operators import changelog, parse
+from tradepulse.session import scratch_dir
+from tradepulse.sinks.topics import land_changes
 from tradepulse.sources import tables, topics
 
 DATABASE = "shop"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread a scan that comes in fewer pieces than there are cores.
+
+    A small table is one file with one row group and would be turned into texts and parsed
+    again by a single task. A large table has pieces enough and is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a file stream; the pattern makes the single file a directory listing."""
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    texts = spark.readStream.schema(rows.schema).parquet(f"{sf}/{name}.parque[t]")
+    cores = spark.sparkContext.defaultParallelism
+    return texts.repartition(cores) if rows.rdd.getNumPartitions() < cores else texts
 
 
 def text(c: str | Column) -> Column:
@@ -290,6 +304,13 @@ def changes(*feeds: DataFrame) -> DataFrame:
     return topics.change_envelope(topics.non_null_text(raw))
 
 
+def landed(spark: SparkSession, *feeds: DataFrame) -> DataFrame:
+    """The same, landed first: parsed once, then each view reads only its own partitions."""
+    path = scratch_dir(spark, "changes")
+    land_changes(changes(*feeds), path)
+    return topics.landed_changes(spark, path)
+
+
 # -- configuration, dictionary, dimensions -------------------------------------------------
 
 def config_texts(spark, sf, fact: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ cou AS (SELECT id, max_by(coupon_id, (ts, coupon_id)) AS coupon_id
 
 
 def order_changes(spark, sf):
-    return feeds.changes(feeds.lines(spark, sf), feeds.orders(spark, sf))
+    return feeds.landed(spark, feeds.lines(spark, sf), feeds.orders(spark, sf))
 
 
 @query("join_order_inner", f"""
@@ -48,8 +48,8 @@ FROM line JOIN ord ON line.order_id = ord.id LEFT JOIN act ON line.id = act.id L
 
 
 def wide_changes(spark, sf):
-    return feeds.changes(feeds.lines(spark, sf), feeds.orders(spark, sf), feeds.order_updates(spark, sf),
-                         feeds.activities(spark, sf), feeds.coupons(spark, sf))
+    return feeds.landed(spark, feeds.lines(spark, sf), feeds.orders(spark, sf), feeds.order_updates(spark, sf),
+                        feeds.activities(spark, sf), feeds.coupons(spark, sf))
 
 
 @query("order_detail_wide", WIDE)
@@ -106,8 +106,8 @@ refund_pay AS (SELECT paid.id, user_id, paid.order_id, paid.sku_id, province_id,
 
 
 def refund_changes(spark, sf):
-    return feeds.changes(feeds.refunds(spark, sf), feeds.refund_payments(spark, sf),
-                         feeds.order_updates(spark, sf))
+    return feeds.landed(spark, feeds.refunds(spark, sf), feeds.refund_payments(spark, sf),
+                        feeds.order_updates(spark, sf))
 
 
 @query("refund_pay_join", f"WITH {sql.LINES}, {sql.ORDERS}, {REFUND} SELECT * FROM refund_pay")

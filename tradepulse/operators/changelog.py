@@ -152,6 +152,8 @@ def with_previous(rows: DataFrame, key: Sequence[str], order: Sequence[str],
     tails = seen.where("_last").select(*key, "_slice", state.alias("_state"))
     carry = tails.select(*key, "_slice", F.lag("_state").over(
         Window.partitionBy(*key).orderBy("_slice")).alias("_carry"))
+    # only keys that live through several slices carry anything
+    carry = carry.where(F.col("_carry").isNotNull())
     joined = seen.join(carry, [*key, "_slice"], "left")
     previous = F.coalesce("_prev", "_carry")
     return (joined.withColumn("_p", previous)

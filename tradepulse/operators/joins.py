@@ -23,15 +23,17 @@ def order_lines(details: DataFrame, orders: DataFrame, activities: DataFrame,
 
     The target is an upsert table keyed by line, so only the last version of each side can
     show in it. Taking those versions first keeps every join one to one (lines of an order
-    excepted): copies of a line never multiply with copies of its activity.
+    excepted): copies of a line never multiply with copies of its activity. The joins by
+    line come first, since the lines already lie hashed by their id; only the last one, by
+    order, moves them again.
     """
     details = latest_by_key(details, ["id"], ["ts"])
     orders, activities, coupons = [
         latest_by_key(side, ["id"], ["ts"]).drop("ts") for side in (orders, activities, coupons)]
     return (details
-            .join(orders.withColumnRenamed("id", "order_id"), "order_id", "inner")
             .join(activities, "id", "left")
-            .join(coupons, "id", "left"))
+            .join(coupons, "id", "left")
+            .join(orders.withColumnRenamed("id", "order_id"), "order_id", "inner"))
 
 
 def interval_join(points: DataFrame, anchors: DataFrame, on: Sequence[str], point_time: str,

@@ -77,9 +77,11 @@ def page_log(raw: DataFrame) -> DataFrame:
 
 
 def fact_reread(raw: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
-    """An upsert fact topic read as a stream of versions; deletions are left out."""
-    facts = parse_json(raw.where(F.col("value") != ""), S.fact_schema(list(columns)))
-    facts = facts.where(F.col("id").isNotNull())
+    """An upsert fact topic read as a stream of versions.
+
+    Deletions are empty texts: they parse to nulls and leave with them.
+    """
+    facts = parse_json(raw, S.fact_schema(list(columns))).where(F.col("id").isNotNull())
     if timed:
         facts = (facts.withColumn("row_time", fx.from_seconds("ts"))
                  .withWatermark("row_time", LATENESS["sql"]))

@@ -52,7 +52,8 @@ class NewFlag(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "is_new string, ts bigint, body string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.first.get()[0] if self.first.exists() else None
+        state = self.first.get()
+        known = state[0] if state else None
         if known is not None:
             for row in rows:
                 yield self._fix(row, known)
@@ -90,8 +91,8 @@ class NewFlag(StatefulProcessor):
 class DailyUnique(StatefulProcessor):
     """Marks the first row of each key and day with ``uv_ct`` = 1.
 
-    The state holds the days already counted. A day leaves it by timer one day after its
-    end, when the watermark lets no row of it through any more.
+    The state holds the days already counted, in one value per key. A day leaves it by
+    timer one day after its end, when the watermark lets no row of it through any more.
     """
 
     def __init__(self, names: list[str], time: str = "row_time"):
@@ -99,15 +100,22 @@ class DailyUnique(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day int", "seen boolean")
+        self.days = handle.getValueState("days", "days array<int>")
+
+    def _counted(self) -> set[int]:
+        state = self.days.get()
+        return set(state[0]) if state else set()
+
+    def _keep(self, days: set[int]) -> None:
+        self.days.update((sorted(days),))
+        self.handle.registerTimer((min(days) + 2) * DAY_MS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first: dict[int, tuple] = {}
-        seen: set[int] = set()
+        counted = self._counted()
+        first: dict[int, Row] = {}
         for row in rows:
             day = _day(_millis(row[self.time]))
-            if day in seen or (day not in first and self.days.containsKey((day,))):
-                seen.add(day)
+            if day in counted:
                 yield self._out(row, 0)
             elif day not in first:
                 first[day] = row
@@ -116,15 +124,18 @@ class DailyUnique(StatefulProcessor):
                 first[day] = row
             else:
                 yield self._out(row, 0)
-        for day, row in first.items():
-            self.days.updateValue((day,), (True,))
-            self.handle.registerTimer((day + 2) * DAY_MS)
+        if first:
+            self._keep(counted | set(first))
+        for row in first.values():
             yield self._out(row, 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 2
-        if self.days.containsKey((day,)):
-            self.days.removeKey((day,))
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        live = {d for d in self._counted() if (d + 2) * DAY_MS > now}
+        if live:
+            self._keep(live)
+        else:
+            self.days.clear()
         return iter(())
 
     def _order(self, row) -> tuple:
@@ -154,7 +165,8 @@ class Returning(StatefulProcessor):
             day = _day(_millis(at))
             if day not in firsts or at < firsts[day]:
                 firsts[day] = at
-        last = self.last.get()[0] if self.last.exists() else None
+        state = self.last.get()
+        last = state[0] if state else None
         for day in sorted(firsts):
             if day == last:
                 continue
@@ -187,7 +199,7 @@ class VersionDelta(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         zero = Decimal("0.00")
         ordered = sorted(rows, key=lambda r: (r[self.time], [r[a] or zero for a in self.amounts]))
-        state = self.last.get() if self.last.exists() else None
+        state = self.last.get()
         previous = list(state[:-1]) if state else [zero] * len(self.amounts)
         for row in ordered:
             current = [row[a] or zero for a in self.amounts]
@@ -200,7 +212,8 @@ class VersionDelta(StatefulProcessor):
         self.handle.registerTimer(until)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.last.exists() and self.last.get()[-1] <= expiredTimerInfo.getExpiryTimeInMs():
+        state = self.last.get()
+        if state and state[-1] <= expiredTimerInfo.getExpiryTimeInMs():
             self.last.clear()
         return iter(())
 
