@@ -98,19 +98,18 @@ def fold_cells(changes: DataFrame, key: Sequence[str], cells: Sequence[str],
     """Partial-update fold: the last non-null value per cell since the last delete.
 
     A cell survives if it was written after the last delete of its key, so one grouping
-    with the delete position beside the cell positions is enough.
+    with the delete position beside the cell positions is enough. A key without cells is
+    no row.
     """
     put = F.col(kind) != "delete"
-    aggs = [F.max(F.when(~put, F.col(version))).alias("_del"),
-            F.max(F.when(put, F.col(version))).alias("_put")]
+    aggs = [F.max(F.when(~put, F.col(version))).alias("_del")]
     for c in cells:
         written = put & F.col(c).isNotNull()
         aggs.append(F.max(F.when(written, F.struct(F.col(version).alias("v"),
                                                    F.col(c).alias("c")))).alias(f"_{c}"))
-    fresh = lambda v: F.col("_del").isNull() | (v > F.col("_del"))
-    return (changes.groupBy(*key).agg(*aggs).where(fresh(F.col("_put")))
-            .select(*key, *[F.when(fresh(F.col(f"_{c}.v")), F.col(f"_{c}.c")).alias(c)
-                            for c in cells]))
+    alive = [F.when(F.col("_del").isNull() | (F.col(f"_{c}.v") > F.col("_del")), F.col(f"_{c}.c")).alias(c)
+             for c in cells]
+    return changes.groupBy(*key).agg(*aggs).select(*key, *alive).dropna("all", subset=list(cells))
 
 
 def fold_cell_maps(changes: DataFrame, key: Sequence[str], version: str,

@@ -183,6 +183,8 @@ class Returning(StatefulProcessor):
 class VersionDelta(StatefulProcessor):
     """Amounts minus those of the key's previous version, kept for ``keep_ms`` of event time.
 
+    A version more than ``keep_ms`` later counts in full again, whenever the timer fires.
+
     The versions of one key in one micro-batch are sorted; ``per_trigger`` of the source
     bounds how many that can be.
     """
@@ -200,14 +202,16 @@ class VersionDelta(StatefulProcessor):
         zero = Decimal("0.00")
         ordered = sorted(rows, key=lambda r: (r[self.time], [r[a] or zero for a in self.amounts]))
         state = self.last.get()
-        previous = list(state[:-1]) if state else [zero] * len(self.amounts)
+        previous, until = (list(state[:-1]), state[-1]) if state else ([], 0)
         for row in ordered:
+            at = _millis(row[self.time])
+            if not previous or at > until:
+                previous = [zero] * len(self.amounts)
             current = [row[a] or zero for a in self.amounts]
             change = {a: c - p for a, c, p in zip(self.amounts, current, previous)}
             keep = {n: row[n] for n in self.names if n not in change and n != self.time}
-            previous = current
+            previous, until = current, at + self.keep_ms
             yield Row(**keep, **change, event_time=row[self.time])
-        until = _millis(ordered[-1][self.time]) + self.keep_ms
         self.last.update((*previous, until))
         self.handle.registerTimer(until)
 
