@@ -11,6 +11,7 @@ from tradepulse.catalog.registry import query
 from tradepulse.operators import logsplit, parse
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
+from tradepulse.session import scratch_dir
 
 
 @query("pipe_dim_sync", f"""
@@ -51,7 +52,7 @@ def topic_counts(texts):
 
 @query("pipe_log_split", LOG_TOPICS)
 def log_split(spark, sf):
-    topics = base.log_split(feeds.log_texts(feeds.table(spark, sf, "events")))
+    topics = base.log_split(feeds.log_texts(feeds.table(spark, sf, "events")), scratch_dir(spark, "logs"))
     texts = [logsplit.as_json(name, rows).withColumn("topic", F.lit(name)) for name, rows in topics.items()]
     union = texts[0]
     for part in texts[1:]:

@@ -143,12 +143,14 @@ def with_previous(rows: DataFrame, key: Sequence[str], order: Sequence[str],
     a key; only the last row of each slice travels on to the next one. A hot key is so
     spread over as many tasks as it has slices, and the rows are shuffled once.
     """
-    cut = rows.withColumn("_slice", slice_by)
-    inner = Window.partitionBy(*key, "_slice").orderBy(*order)
-    state = F.struct(*values)
-    seen = (cut.withColumn("_prev", F.lag(state).over(inner))
+    # All columns take part in the order. That settles ties, and it makes the two readers
+    # of ``seen`` below need the very same shuffle, which Spark then runs once.
+    rest = [c for c in rows.columns if c not in {*key, *order}]
+    cut = rows.withColumns({"_slice": slice_by, "_state": F.struct(*values)})
+    inner = Window.partitionBy(*key, "_slice").orderBy(*order, *rest)
+    seen = (cut.withColumn("_prev", F.lag("_state").over(inner))
             .withColumn("_last", F.lead(F.lit(True)).over(inner).isNull()))
-    tails = seen.where("_last").select(*key, "_slice", state.alias("_state"))
+    tails = seen.where("_last").select(*key, "_slice", "_state")
     carry = tails.select(*key, "_slice", F.lag("_state").over(
         Window.partitionBy(*key).orderBy("_slice")).alias("_carry"))
     # only keys that live through several slices carry anything

@@ -9,10 +9,15 @@ from tradepulse import schemas as S
 from tradepulse.operators import changelog, logsplit, parse, routing, visitors
 
 
-def log_split(raw: DataFrame) -> dict[str, DataFrame]:
-    """Raw behaviour log -> repaired logs -> err, start, display, action and page."""
-    logs = parse.behaviour_logs(parse.parse_json(raw, S.LOG))
-    return logsplit.split(visitors.repair_new_flag(logs))
+def log_split(raw: DataFrame, path: str) -> dict[str, DataFrame]:
+    """Raw behaviour log -> repaired logs -> err, start, display, action and page.
+
+    The repaired logs are landed under ``path`` and the five topics are read from there:
+    parsing, repair and shuffle happen once, not once per topic.
+    """
+    logs = visitors.repair_new_flag(parse.behaviour_logs(parse.parse_json(raw, S.LOG)))
+    logs.write.mode("overwrite").parquet(path)
+    return logsplit.split(raw.sparkSession.read.schema(S.LOG).parquet(path))
 
 
 def fact_router(changes: DataFrame, config_events: DataFrame, order: str = "ts_ms") -> DataFrame:
