@@ -108,6 +108,16 @@ def test_current_config(spark):
                                                  ("sink_old", "dropped")]
 
 
+def test_snapshot_lies_before_every_change(spark):
+    steps = changelog.config_steps(spark.createDataFrame(EVENTS, CONFIG), ["source_table"], "ts_ms")
+    snapshot = spark.createDataFrame([cfg("b", "stale"), cfg("only", "kept")],
+                                     "source_table string, sink_table string, sink_family string, sink_columns string")
+    both = steps.unionByName(changelog.snapshot_steps(snapshot, "ts_ms"))
+    now = changelog.current_config(both, ["source_table"], "ts_ms")
+    assert rows(now, "source_table", "sink_columns") == [("a", "id,x"), ("moved", "id"), ("only", "kept")]
+    assert rows(routing.table_resets(steps, "ts_ms")) == [("sink_a", 3), ("sink_b", 4), ("sink_moved", 6), ("sink_old", 6)]
+
+
 def test_config_in_force_at_the_time_of_the_row(spark):
     steps = changelog.config_steps(spark.createDataFrame(EVENTS, CONFIG), ["source_table"], "ts_ms")
     df = spark.createDataFrame([("a", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 3), ("b", 4), ("old", 5), ("old", 6),

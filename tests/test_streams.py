@@ -1,3 +1,4 @@
+import json
 import os
 import random
 
@@ -8,12 +9,13 @@ from test_visitors import fixed_by_hand, pages, some
 
 from tradepulse import schemas as S
 from tradepulse.operators import visitors
+from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
 from tradepulse.streaming import processors
-from tradepulse.streaming.jobs import Job
+from tradepulse.streaming.jobs import Job, each_batch
 
 
 def feed(df, path, pieces):
@@ -139,3 +141,45 @@ def test_pages_of_a_hot_device_reach_many_tasks(spark):
     merged = visitors.unique_per_window(df, "mid", "uv_ct", measures=["pv_ct"])
     assert merged.count() == 2
     assert tuple(merged.agg(F.sum("uv_ct"), F.sum("pv_ct")).first()) == (1, 20_000)
+
+
+def envelopes(spark, path, *batches):
+    """One file per batch of (table, type, ts, data, old)."""
+    path.mkdir()
+    for n, batch in enumerate(batches):
+        piece = path / f"part-{n}.txt"
+        piece.write_text("\n".join(json.dumps({"database": "shop", "table": t, "type": k, "ts": ts, "data": d, "old": o})
+                                   for t, k, ts, d, o in batch) + "\n")
+        os.utime(piece, (1_700_000_000 + n, 1_700_000_000 + n))
+    return topics.change_envelope(topics.raw_text(spark, topics.Topic("db", str(path), per_trigger=1)))
+
+
+def test_order_lines_from_a_stream(spark, tmp_path):
+    line = lambda i, ts: ("order_detail", "insert", ts, {"id": i, "order_id": "o", "sku_id": "s"}, None)
+    order = ("order_info", "insert", 1001, {"id": "o", "user_id": "u", "province_id": "p"}, None)
+    activity = ("order_detail_activity", "insert", 1004, {"order_detail_id": "1", "activity_id": "a"}, None)
+    coupon = ("order_detail_coupon", "insert", 1002, {"order_detail_id": "2", "coupon_id": "c"}, None)
+    late = ("order_detail_coupon", "insert", 1009, {"order_detail_id": "1", "coupon_id": "too late"}, None)
+    close = lambda ts: [(t, "insert", ts, {"id": "z", "order_id": "z", "order_detail_id": "z"}, None) for t in
+                        ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")]
+    changes = envelopes(spark, tmp_path / "in", [line("1", 1000), order, line("2", 1000), line("3", 1000)],
+                        [activity, coupon, late], close(5000), close(9000), close(9001))
+    got = finish(spark, trade.order_detail_stream(changes), tmp_path)
+    assert rows(got.where("id <> 'z'"), "id", "user_id", "activity_id", "coupon_id", "ts") == [
+        ("1", "u", "a", None, 1000), ("2", "u", None, "c", 1000), ("3", "u", None, None, 1000)]
+
+
+def test_dim_sync_from_a_stream_follows_the_config(spark, tmp_path):
+    config = "op string, before struct<source_table:string,sink_table:string,sink_columns:string,sink_family:string,sink_row_key:string>, " \
+             "after struct<source_table:string,sink_table:string,sink_columns:string,sink_family:string,sink_row_key:string>, ts_ms bigint"
+    events = [("r", None, ("sku", "dim_sku", "id,name", "info", "id"), 1)]
+    store = keyed.DimTables(spark, str(tmp_path / "dims"))
+    changes = envelopes(
+        spark, tmp_path / "in",
+        [("sku", "bootstrap-insert", 1, {"id": "1", "name": "n", "weight": "5"}, None), ("other", "insert", 1, {"id": "1"}, None)],
+        [("sku", "update", 2, {"id": "1", "name": "n2"}, {"name": "n"}), ("sku", "insert", 2, {"id": "2", "name": "m"}, None),
+         ("sku", "bootstrap-complete", 2, {}, None)],
+        [("sku", "delete", 3, {"id": "2", "name": "m"}, None)])
+    write = base.dim_sync_batch(store, lambda: spark.createDataFrame(events, config), "shop")
+    each_batch(changes, write).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert rows(store.dim("dim_sku", ["name", "weight"])) == [("1", "n2", None)]

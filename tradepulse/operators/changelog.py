@@ -73,6 +73,15 @@ def config_steps(events: DataFrame, key: Sequence[str], order: str) -> DataFrame
                         ).unionByName(retired)
 
 
+def snapshot_steps(snapshot: DataFrame, order: str) -> DataFrame:
+    """A table snapshot as steps that lie before every captured change.
+
+    Add them to :func:`config_steps` to know the config before its first change arrives.
+    """
+    return snapshot.select(F.lit("r").alias("op"), F.lit(-1).cast("bigint").alias(order),
+                           *snapshot.columns)
+
+
 def current_config(steps: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """The configuration in force: the last step per key, keys that ended left out."""
     # an update is written after the retirement of another key at the same position

@@ -37,13 +37,15 @@ def order_lines(details: DataFrame, orders: DataFrame, activities: DataFrame,
 
 
 def interval_join(points: DataFrame, anchors: DataFrame, on: Sequence[str], point_time: str,
-                  anchor_time: str, before: int, after: int) -> DataFrame:
+                  anchor_time: str, before: int, after: int, how: str = "inner") -> DataFrame:
     """Pairs with equal ``on`` and ``point_time`` in [anchor - before, anchor + after] seconds.
 
     Both sides are cut into time slots as wide as the interval; an anchor is copied to the
     two slots (at most) its interval touches, a point stays in one. The slot is part of
     the join key: a hot key is spread over its slots and only rows near in time meet.
-    Make the smaller side ``anchors``. On streams both times need a watermark.
+    Make the smaller side ``anchors``. On streams both times need a watermark, which then
+    bounds the state kept of either side. ``how`` may be ``left``: a point has one slot only,
+    so it is kept once where nothing matches.
     """
     width = max(before + after, 1)
     slot = lambda c: F.floor(F.unix_seconds(c) / F.lit(width))
@@ -56,7 +58,7 @@ def interval_join(points: DataFrame, anchors: DataFrame, on: Sequence[str], poin
     cond = F.col(point_time).between(lo, hi)
     for name in (*on, "_slot"):
         cond = cond & (F.col(name) == F.col(f"_a_{name}"))
-    return p.join(a, cond, "inner").drop("_slot", *[f"_a_{n}" for n in (*on, "_slot")])
+    return p.join(a, cond, how).drop("_slot", *[f"_a_{n}" for n in (*on, "_slot")])
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str,
@@ -71,6 +73,19 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str,
     return facts.join(side, F.col(key) == F.col("_dim_key"), how).drop("_dim_key")
 
 
+def within(left: DataFrame, right: DataFrame, on: Sequence[str], seconds: int | None,
+           how: str = "inner", time: str = "row_time") -> DataFrame:
+    """Equi-join of two feeds that both carry ``time``; the left one's is kept.
+
+    With ``seconds`` only rows at most that far apart meet. A stream needs that bound to let
+    go of its state; without it, as in batch, all rows with equal keys meet.
+    """
+    side = right.withColumnRenamed(time, "_side_time")
+    if seconds is None:
+        return left.join(side.drop("_side_time"), list(on), how)
+    return interval_join(left, side, on, time, "_side_time", seconds, seconds, how).drop("_side_time")
+
+
 @dataclass(frozen=True)
 class Hop:
     """One step of a dimension chain."""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
 from tradepulse.operators import changelog, logsplit, parse, routing, visitors
+from tradepulse.sinks.keyed import DimTables
 
 
 def log_split(raw: DataFrame, path: str) -> dict[str, DataFrame]:
@@ -29,6 +32,24 @@ def fact_router(changes: DataFrame, config_events: DataFrame, order: str = "ts_m
     return routing.tag_destination(routing.project_fields(routed))
 
 
+def fact_router_batch(config_events: Callable[[], DataFrame], path: str):
+    """``foreachBatch`` form: the config is read anew per batch, a repeated batch overwritten."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (fact_router(batch, config_events()).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("sink_table")
+         .text(f"{path}/batch_id={batch_id}"))
+
+    return write
+
+
+def dim_sync_batch(store: DimTables, config_events: Callable[[], DataFrame], database: str):
+    """``foreachBatch`` form of the dimension sync; reads of ``store`` see each batch at once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.write_batch(dim_changes(batch, config_events(), database), batch_id)
+
+    return write
+
+
 def dim_changes(changes: DataFrame, config_events: DataFrame, database: str,
                 order: str = "ts_ms") -> DataFrame:
     """Changes of configured dimensions as ``DimTables`` takes them."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
 from tradepulse.operators import changelog, joins
@@ -32,25 +33,25 @@ def comment_info(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return named.withColumnRenamed("appraise", "appraise_code").select(*S.COMMENT_INFO)
 
 
-def order_lines(changes: DataFrame) -> DataFrame:
+def order_lines(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
     return changelog.extract(changes, "order_detail", [
         "id", "order_id", "sku_id", "sku_name", "order_price", "sku_num", "create_time",
-        "split_total_amount", "split_activity_amount", "split_coupon_amount"], keep=["ts"])
+        "split_total_amount", "split_activity_amount", "split_coupon_amount"], keep=keep)
 
 
-def new_orders(changes: DataFrame) -> DataFrame:
-    return changelog.extract(changes, "order_info", ["id", "user_id", "province_id"], keep=["ts"])
+def new_orders(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
+    return changelog.extract(changes, "order_info", ["id", "user_id", "province_id"], keep=keep)
 
 
-def line_activities(changes: DataFrame) -> DataFrame:
+def line_activities(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
     return changelog.extract(changes, "order_detail_activity", {
         "id": "order_detail_id", "activity_id": "activity_id",
-        "activity_rule_id": "activity_rule_id"}, keep=["ts"])
+        "activity_rule_id": "activity_rule_id"}, keep=keep)
 
 
-def line_coupons(changes: DataFrame) -> DataFrame:
+def line_coupons(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
     return changelog.extract(changes, "order_detail_coupon", {
-        "id": "order_detail_id", "coupon_id": "coupon_id"}, keep=["ts"])
+        "id": "order_detail_id", "coupon_id": "coupon_id"}, keep=keep)
 
 
 def order_detail(changes: DataFrame) -> DataFrame:
@@ -60,16 +61,36 @@ def order_detail(changes: DataFrame) -> DataFrame:
                              ).select(*S.ORDER_DETAIL)
 
 
-def cancelled_orders(changes: DataFrame) -> DataFrame:
+def order_detail_stream(changes: DataFrame, seconds: int = 5) -> DataFrame:
+    """The same from a stream, where the parts of a line arrive within ``seconds``.
+
+    Spark emits a line once, when the watermark rules out a later activity or coupon; it
+    writes no retractions. Write the result to an ``UpsertTable`` keyed by ``id``.
+    """
+    timed = ["row_time"]
+    lines = order_lines(changes, ["ts", "row_time"])
+    orders = new_orders(changes, timed).withColumnRenamed("id", "order_id")
+    lines = joins.within(lines, orders, ["order_id"], seconds)
+    lines = joins.within(lines, line_activities(changes, timed), ["id"], seconds, "left")
+    lines = joins.within(lines, line_coupons(changes, timed), ["id"], seconds, "left")
+    return lines.select(*S.ORDER_DETAIL)
+
+
+def cancelled_orders(changes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return changelog.transition(changes, "order_info", "order_status", CANCELLED,
                                 {"order_id": "id", "user_id": "user_id",
-                                 "province_id": "province_id"}, require_change=False)
+                                 "province_id": "province_id"}, keep=keep, require_change=False)
+
 
+def order_cancel(details: DataFrame, changes: DataFrame, seconds: int | None = None) -> DataFrame:
+    """Lines of cancelled orders, with user and province of the cancellation.
 
-def order_cancel(details: DataFrame, changes: DataFrame) -> DataFrame:
-    """Lines of cancelled orders, with user and province of the cancellation."""
+    On streams ``seconds`` bounds the time from line to cancellation (a quarter of an hour
+    and a little, say 905) and ``details`` needs ``row_time``.
+    """
     lines = details.drop("user_id", "province_id")
-    return lines.join(cancelled_orders(changes), "order_id", "inner").select(*S.ORDER_DETAIL)
+    cancelled = cancelled_orders(changes, ["row_time"] if seconds else [])
+    return joins.within(lines, cancelled, ["order_id"], seconds).select(*S.ORDER_DETAIL)
 
 
 def payments(changes: DataFrame) -> DataFrame:
@@ -102,34 +123,39 @@ def pay_success_latest(details: DataFrame, changes: DataFrame, dictionary: DataF
         pay_success(details, changes, dictionary, before, after), ["id"], ["ts"])
 
 
-def refund_requests(changes: DataFrame) -> DataFrame:
+def refund_requests(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
     return changelog.extract(changes, "order_refund_info", [
         "id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
-        "refund_reason_type", "refund_reason_txt", "create_time"], keep=["ts"])
+        "refund_reason_type", "refund_reason_txt", "create_time"], keep=keep)
 
 
-def order_refund(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+def order_refund(changes: DataFrame, dictionary: DataFrame, seconds: int | None = None) -> DataFrame:
     """Refund requests of orders that went into refunding, with the refund type's name."""
+    timed = ["row_time"] if seconds else []
     refunding = changelog.transition(changes, "order_info", "order_status", REFUNDING,
-                                     {"order_id": "id", "province_id": "province_id"})
-    joined = refund_requests(changes).join(refunding, "order_id", "inner")
+                                     {"order_id": "id", "province_id": "province_id"}, keep=timed)
+    joined = joins.within(refund_requests(changes, ["ts", *timed]), refunding, ["order_id"], seconds)
     return joins.lookup(joined, dictionary, "refund_type", "rowkey",
                         {"rowkey": "rowkey", "dic_name": "info.dic_name"}, "inner"
                         ).select(*S.ORDER_REFUND)
 
 
-def refunds_paid(changes: DataFrame) -> DataFrame:
+def refunds_paid(changes: DataFrame, seconds: int | None = None) -> DataFrame:
     """Refund payments joined with their finished refund and refunded order."""
+    timed = ["row_time"] if seconds else []
     paid = changelog.transition(changes, "refund_payment", "refund_status", PAID, [
-        "id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"], keep=["ts"])
+        "id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"],
+        keep=["ts", *timed])
     done = changelog.transition(changes, "order_refund_info", "refund_status", REFUND_DONE,
-                                ["order_id", "sku_id", "refund_num"])
+                                ["order_id", "sku_id", "refund_num"], keep=timed)
     orders = changelog.transition(changes, "order_info", "order_status", REFUNDED,
                                   {"order_id": "id", "user_id": "user_id",
-                                   "province_id": "province_id"})
-    return paid.join(done, ["order_id", "sku_id"], "inner").join(orders, "order_id", "inner")
+                                   "province_id": "province_id"}, keep=timed)
+    return joins.within(joins.within(paid, done, ["order_id", "sku_id"], seconds),
+                        orders, ["order_id"], seconds)
 
 
-def refund_pay_success(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return joins.lookup(refunds_paid(changes), dictionary, "payment_type", "rowkey",
+def refund_pay_success(changes: DataFrame, dictionary: DataFrame,
+                       seconds: int | None = None) -> DataFrame:
+    return joins.lookup(refunds_paid(changes, seconds), dictionary, "payment_type", "rowkey",
                         {"payment_type_name": "info.dic_name"}, "inner").select(*S.REFUND_PAY)
