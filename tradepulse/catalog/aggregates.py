@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tradepulse import functions as fx
 from tradepulse import schemas as S
 from tradepulse.catalog import feeds, sql
 from tradepulse.catalog.registry import query
-from tradepulse.operators import parse, visitors, windows
+from tradepulse.operators import parse, windows
 from tradepulse.plans import windows as tables
 
 

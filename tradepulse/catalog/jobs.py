@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradepulse import functions as fx
 from tradepulse import schemas as S
 from tradepulse.catalog import aggregates, etl, feeds, joining, sql
 from tradepulse.catalog.registry import query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
-from tradepulse.catalog import aggregates, etl, feeds, joining, sql
+from tradepulse.catalog import aggregates, etl, feeds, sql
 from tradepulse.catalog.registry import query
 from tradepulse.operators import changelog, parse, routing, shape
 from tradepulse.plans import base, trade

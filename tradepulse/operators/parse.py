@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import functions as fx
-from tradepulse import schemas as S
 
 CORRUPT = "_corrupt"
 
