@@ -8,14 +8,14 @@ from pyspark.sql import types as T
 from test_visitors import fixed_by_hand, pages, some
 
 from tradepulse import schemas as S
-from tradepulse.operators import visitors
+from tradepulse.operators import visitors, windows
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
 from tradepulse.streaming import processors
-from tradepulse.streaming.jobs import Job, each_batch
+from tradepulse.streaming.jobs import Job, each_batch, late_rows
 
 
 def feed(df, path, pieces):
@@ -99,6 +99,26 @@ def test_restart_gives_the_same_as_one_run(spark, tmp_path):
     assert rows(one) == rows(two)
 
 
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    """The watermark that tells late rows is the one of the batch before."""
+    t = ms("2024-01-01T00:00:00")
+    item = lambda at: ("m", "0", "home", None, t + at)
+    (tmp_path / "in").mkdir()
+    for n, at in enumerate((60_000, 90_000, 1_000)):
+        feed(pages(spark, [item(at)]), tmp_path / f"f{n}", 1)
+        piece = tmp_path / "in" / f"{n}.txt"
+        piece.write_text((tmp_path / f"f{n}" / "part-0.txt").read_text())
+        os.utime(piece, (1_700_000_000 + n, 1_700_000_000 + n))
+    rows_ = windows.tumble(visitors.page_columns(page_stream(spark, tmp_path / "in")).withWatermark("row_time", "3 seconds"),
+                           [F.count("*").alias("n")])
+    job = Job("late", lambda _s: rows_, lambda r: r, lambda r: out.append_stream(r, f"{tmp_path}/out", f"{tmp_path}/cp", "parquet"),
+              f"{tmp_path}/cp")
+    query = job.start(spark, available_now=True)
+    query.awaitTermination(300)
+    assert late_rows(query) == 1
+    assert rows(spark.read.schema(rows_.schema).parquet(f"{tmp_path}/out"), "stt", "n") == [("2024-01-01 00:01:00", 1)]
+
+
 def test_upsert_table(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("ts", T.LongType()), T.StructField("v", T.StringType())])
     store = keyed.UpsertTable(spark, str(tmp_path / "t"), ["id"], ["ts"], schema)

@@ -89,6 +89,8 @@ def snapshot_config(spark, sf):
     return tables.snapshot(spark, path, camel=True)
 
 
-@query("src_dim_nested", f"WITH {sql.DIC} SELECT rowkey, dic_name FROM dic")
+@query("src_dim_nested", "SELECT CAST(p_partkey AS VARCHAR) AS rowkey, p_name AS dic_name FROM part")
 def dim_nested(spark, sf):
-    return feeds.dictionary(spark, sf).select("rowkey", F.col("info.dic_name").alias("dic_name"))
+    dim = feeds.table(spark, sf, "part")
+    return tables.nested_dictionary(dim, "p_partkey", "p_name").select(
+        "rowkey", F.col("info.dic_name").alias("dic_name"))

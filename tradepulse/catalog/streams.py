@@ -6,6 +6,8 @@ that end before the newest time minus the lateness.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +23,31 @@ from tradepulse.streaming import processors
 from tradepulse.streaming.jobs import Job, each_batch
 
 
+@contextmanager
+def sized(spark: SparkSession):
+    """State partitions for the feeds at hand.
+
+    A stream fixes their number at its first start. The given tables are single files, so
+    one per core will do; where the session asks for fewer, or the cluster is larger, the
+    session's own number stands.
+    """
+    key = "spark.sql.shuffle.partitions"
+    set_to, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
+    if spark.sparkContext.master.startswith("local") and int(set_to) > cores:
+        spark.conf.set(key, str(cores))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, set_to)
+
+
 def run(spark: SparkSession, rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark, label)
     job = Job(label, lambda _s: rows, lambda r: r,
               lambda r: out.append_stream(r, f"{path}/out", f"{path}/checkpoint", "parquet"),
               f"{path}/checkpoint")
-    job.run(spark)
+    with sized(spark):
+        job.run(spark)
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
 
 
@@ -131,8 +152,9 @@ def stream_log_split(spark, sf):
         return {name: logsplit.as_json(name, rows) for name, rows in logsplit.split(batch).items()}
 
     write = out.fan_out_batch(texts, {name: f"{path}/{name}" for name in logsplit.TOPICS})
-    (each_batch(processors.repair_new_flag(logs), write).option("checkpointLocation", f"{path}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
+    writer = each_batch(processors.repair_new_flag(logs), write).option("checkpointLocation", f"{path}/checkpoint")
+    with sized(spark):
+        writer.trigger(availableNow=True).start().awaitTermination()
     union = None
     for name in logsplit.TOPICS:
         part = spark.read.text(f"{path}/{name}").select("value", F.lit(name).alias("topic"))

@@ -50,3 +50,11 @@ class Job:
 def each_batch(rows: DataFrame, write: Callable[[DataFrame, int], None],
                mode: str = "append") -> DataStreamWriter:
     return rows.writeStream.outputMode(mode).foreachBatch(write)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the stateful steps dropped as late, over the progress Spark still remembers.
+
+    Behind a grouping these are rows already merged by the map side.
+    """
+    return sum(step.numRowsDroppedByWatermark for p in query.recentProgress for step in p.stateOperators)
