@@ -19,8 +19,8 @@ WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{
 #: The same cut, but runs without white space stay whole: these are remembered with their ids.
 RUNS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NONE = 1 << 62
-#: Entries of each of the two memories of a task; a full memory starts anew. Longer words aren't kept.
-MEMORY, LONGEST = 300_000, 64
+#: Entries of a task's memories of words and of runs; a full memory starts anew. Longer ones aren't kept.
+WORD_MEMORY, RUN_MEMORY, LONGEST = 1_000_000, 400_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -58,29 +58,25 @@ def merge_all(ids: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
         ids[j] = -1
         after[i] = k
         h = before[i]
-        changed = [(j, NONE)]
+        at_i = at_h = NONE
         if k < n:
             before[k] = i
             found = get(ids[i] << 20 | ids[k])
-            changed.append((i, found[0] * n + i if found else NONE))
-        else:
-            changed.append((i, NONE))
+            if found:
+                at_i = found[0] * n + i
         if h >= 0:
             found = get(ids[h] << 20 | ids[i])
-            changed.append((h, found[0] * n + h if found else NONE))
-        for leaf, value in changed:
-            k = size + leaf
-            if tree[k] == value:
-                continue
-            tree[k] = value
-            k >>= 1
-            while k:
-                a, b = tree[2 * k], tree[2 * k + 1]
-                value = a if a < b else b
-                if tree[k] == value:
+            if found:
+                at_h = found[0] * n + h
+        for leaf, value in ((size + j, NONE), (size + i, at_i), (size + h, at_h)) if h >= 0 else ((size + j, NONE), (size + i, at_i)):
+            while tree[leaf] != value:
+                tree[leaf] = value
+                if leaf == 1:
                     break
-                tree[k] = value
-                k >>= 1
+                other = tree[leaf ^ 1]
+                if other < value:
+                    value = other
+                leaf >>= 1
     return [i for i in ids if i >= 0]
 
 
@@ -112,7 +108,7 @@ class ByteBpe:
             first = self.first
             packed = np.array(merge_all([first[b] for b in word.encode()], self.pairs), np.int32).tobytes()
             if len(word) <= LONGEST:
-                if len(self.known_words) >= MEMORY:
+                if len(self.known_words) >= WORD_MEMORY:
                     self.known_words.clear()
                 self.known_words[word] = packed
         return packed
@@ -120,7 +116,7 @@ class ByteBpe:
     def _run(self, run: str) -> bytes:
         packed = b"".join(map(self._word, self.words.findall(run)))
         if len(run) <= LONGEST:
-            if len(self.known_runs) >= MEMORY:
+            if len(self.known_runs) >= RUN_MEMORY:
                 self.known_runs.clear()
             self.known_runs[run] = packed
         return packed

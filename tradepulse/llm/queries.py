@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, linededup, simhash, topk
+from tradepulse.llm import bpe, langid, linededup, simhash, topk, toxicity
 from tradepulse.llm.shared import table
 
 QUERIES = {}
@@ -74,3 +74,19 @@ SELECT * FROM r WHERE rank <= 20
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return topk.top_k(rows.where("vec_id % 20 = 0"), rows)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = toxicity.classify(docs, toxicity.trained_on_labels(spark, sf_dir))
+    return rows.select("doc_id", (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op10_language")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id"), 5) == 0
+    rows = langid.identify(docs, langid.train(docs.where(~held_out)))
+    return rows.withColumnRenamed("id", "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -75,13 +75,13 @@ def _strips(batch: pa.RecordBatch):
             yield q_ids, c_ids, s, lo, np.array(row["need"][cut], np.int64), q_ids[:, None] != c_ids[None, :]
 
 
-def _histogram(width: int):
-    """Counts of the bins of [lo, lo + BINS * width) per query; of one block only bins that can hold its own share of the k best."""
+def _histogram(span: int, width: int):
+    """Counts of the bins of [lo, lo + span) per query; of one block only bins that can hold its own share of the k best."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for q_ids, _, s, lo, need, other in _strips(batch):
                 at = (s - lo[:, None]) // width
-                at = np.where(other & (at >= 0) & (at < BINS), at, BINS).astype(np.int64)
+                at = np.where(other & (s >= lo[:, None]) & (s < lo[:, None] + span), at, BINS).astype(np.int64)
                 flat = (at + np.arange(len(q_ids))[:, None] * (BINS + 1)).ravel()
                 count = np.bincount(flat, minlength=len(q_ids) * (BINS + 1)).reshape(len(q_ids), -1)[:, :BINS]
                 above = np.cumsum(count[:, ::-1], axis=1)[:, ::-1] - count
@@ -136,7 +136,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
     cb = landed(packed(c, n_c), "candidates")
     # By Cauchy and Schwarz no score is beyond the product of the greatest norms.
     bound = int(min(norm_q * norm_c * (1 + 1e-9) + 1, MOST))
-    width = max(1, -(-(2 * bound + 1) // BINS))
+    span = 2 * bound + 1
+    width = -(-span // BINS)
     rows_of = qb.select("block", F.posexplode("ids").alias("pos", "query_id"))
     state = rows_of.select("query_id", F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need"))
 
@@ -159,7 +160,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
         return left.join(right, ["dim", "down", "across"]).drop("down", "across")
 
     while True:
-        counts = tiles(state).mapInArrow(_histogram(width), "query_id bigint, bin bigint, n bigint")
+        counts = tiles(state).mapInArrow(_histogram(span, width), "query_id bigint, bin bigint, n bigint")
         counts = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         downward = Window.partitionBy("query_id").orderBy(F.col("bin").desc())
         upto = counts.withColumn("upto", F.sum("n").over(downward))
@@ -170,7 +171,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
                                   (F.col("want") - (F.col("upto") - F.col("n"))).alias("need")), "state")
         if width == 1:
             break
-        width = max(1, -(-width // BINS))
+        span, width = width, -(-width // BINS)
     found = tiles(state).mapInArrow(_select, "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
