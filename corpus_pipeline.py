@@ -1,8 +1,75 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: five stages from raw documents to token ids.
 
-STAGES = []
+Each stage takes what its predecessor wrote and returns documents; all but the last keep the
+columns of ``documents``. Stages drop whole documents (toxic, near copies, contaminated) or
+lines of them (line dedup).
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradepulse.llm import bpe, decontam, linededup, simhash, toxicity
+from tradepulse.llm.shared import landed, table
+
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below TOXIC; those without text stay."""
+    model = toxicity.trained_on_labels(spark, sf_dir)
+    scored = toxicity.classify(docs, model, score_col="_toxicity")
+    return scored.where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that three or more documents share; ``n_chars`` follows. Null texts stay null."""
+    rows = linededup.dedupe_lines(docs)
+    text = F.when(F.col("text").isNotNull(), F.col("kept"))
+    return rows.withColumns({"text": text, "n_chars": F.when(F.col("n_dropped") > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))}).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that with the smallest id. Rows without an id, and documents without a word, stay.
+
+    Texts without a word have nothing to be copies of, though they share a fingerprint.
+    """
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
+    marked = landed(simhash.near_duplicates(docs.where(worded)), "near-copies")
+    others = marked.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no exact or edited copy of a benchmark item."""
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the length of the text they decode to."""
+    rows = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids",
+                       F.char_length("decoded").cast("long").alias("n_decoded"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_shared_lines),
+    ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+#: SQL has no compression, Smith-Waterman alignment or BPE.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = landed(stage(spark, docs, sf_dir), name)
+    return docs

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, langid, linededup, simhash, topk, toxicity
+from tradepulse.llm import bpe, decontam, html_text, langid, licenses, linededup, simhash, topk, toxicity, warc
 from tradepulse.llm.shared import table
 
 QUERIES = {}
@@ -26,6 +26,27 @@ def query(name: str, sql: str | None = None):
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+LICENSES_SQL = f"""
+WITH t(license, text) AS (VALUES {licenses.templates_sql()}),
+split AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, regexp_split_to_array(text, '\\n[ \\t\\r]*\\n') AS ps
+          FROM documents WHERE text IS NOT NULL),
+units AS (SELECT doc_id, unnest(ls || list_filter(ps, lambda p: contains(p, chr(10))) || CASE WHEN len(ps) > 1 THEN [text] ELSE [] END) AS u FROM split),
+worded AS (SELECT doc_id, u, regexp_extract_all({LOWER.format("u")}, '[a-z0-9]+') AS w FROM units),
+grams AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM worded),
+tw AS (SELECT license, regexp_extract_all({LOWER.format("text")}, '[a-z0-9]+') AS w FROM t),
+tg AS (SELECT license, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM tw),
+scored AS (SELECT doc_id, license, 2 * len(list_intersect(a.g, b.g)) AS common, len(a.g) + len(b.g) AS total
+           FROM grams a JOIN tg b ON 2 * least(len(a.g), len(b.g)) >= 0.8 * (len(a.g) + len(b.g)))
+SELECT doc_id, license, max(CAST(common AS DOUBLE) / CAST(total AS DOUBLE)) AS score, count(*) AS passages
+FROM scored WHERE common >= 0.8 * total GROUP BY doc_id, license
+"""
+
+
+@query("op1_license_scan", LICENSES_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 LINES_SQL = f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM split),
@@ -90,3 +111,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity.fold(F.col("doc_id"), 5) == 0
     rows = langid.identify(docs, langid.train(docs.where(~held_out)))
     return rows.withColumnRenamed("id", "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "first_word", "last_word")
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = html_text.extract(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op8_warc", WARC_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive_round_trip(table(spark, sf_dir, "pages")).where("error is null")
+    return rows.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                       F.col("type").alias("record_type"), warc.page_of(F.col("refers_to")).alias("refers_to"))
