@@ -38,10 +38,13 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     result column give way to it. An empty table gives an empty table.
     """
     own = ("n_lines", "n_dropped", "kept")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own or c in (id_col, text_col)])
-    row = F.xxhash64(F.col(text_col))
-    lines = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).alias("id"), row.alias("row"), F.posexplode(lines_of(F.col(text_col))).alias("pos", "line"))
+    carried = [c for c in docs.columns if c not in own or c in (id_col, text_col)]
+    # The row travels as one struct, so that no name in it meets one used here.
+    doc = F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc")
+    rows = docs.select(doc, F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("row"))
+    text = F.col("doc").getField(text_col)
+    lines = (rows.where("id is not null")
+             .select("id", "row", F.posexplode(lines_of(text)).alias("pos", "line"))
              .withColumn("key", line_key(F.col("line")))
              .where(F.length("key") >= min_chars)
              .select("id", "row", "pos", F.xxhash64(F.lit(1), "key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2")))
@@ -51,16 +54,10 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .where(F.col("n") >= min_docs).drop("n"))
     # Equal texts under one id drop the same positions, so (id, hash of text) names a row.
     drops = (lines.join(shared, ["h1", "h2"]).where(F.col("id") != F.col("keeper"))
-             .groupBy(F.col("id").alias("_id"), F.col("row").alias("_row"))
-             .agg(F.collect_set("pos").alias("_drop")))
+             .groupBy("id", "row").agg(F.collect_set("pos").alias("gone")))
     # The generator keeps the optimizer from splitting the text anew for each line.
-    joined = docs.join(drops, (F.col(id_col) == F.col("_id")) & (row == F.col("_row")), "left")
-    split = joined.select("*", F.explode(F.array(lines_of(F.col(text_col)))).alias("_lines"))
-    everything = F.sequence(F.lit(0), F.size("_lines") - 1)
-    dropped = F.coalesce(F.col("_drop"), F.array().cast("array<int>"))
-    kept = F.transform(F.array_except(everything, dropped), lambda p: F.get(F.col("_lines"), p))
-    return split.select(*[F.col(f"`{c}`") for c in docs.columns],
-                        F.size("_lines").cast("long").alias("n_lines"),
-                        F.size(dropped).cast("long").alias("n_dropped"),
-                        F.when(F.size(dropped) == 0, F.coalesce(F.col(text_col), F.lit("")))
-                        .otherwise(F.array_join(kept, "\n")).alias("kept"))
+    split = rows.join(drops, ["id", "row"], "left").select("doc", "gone", F.explode(F.array(lines_of(text))).alias("all"))
+    gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("all") - 1), gone), lambda p: F.get(F.col("all"), p))
+    return split.select("doc.*", F.size("all").cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"),
+                        F.when(F.size(gone) == 0, F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept"))

@@ -12,7 +12,7 @@ from tradepulse.llm.shared import Batches, landed
 #: rows of a packed block, blocks of candidates that share a cell of the grid, queries scored at a
 #: time, and bins of a query's histogram
 BLOCK_ROWS, CELL_BLOCKS, STRIP_ROWS, BINS = 16384, 4, 512, 1024
-MOST = 2 ** 62
+MOST = 2 ** 61
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -110,7 +110,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
     Vectors are quantised to ``floor(scale * x)`` first. A candidate with the query's id is no
     candidate of it. Null ids, null vectors and vectors with a null or non-finite component take
     no part; vectors of different dimension are not compared; an id that comes twice counts once,
-    with its smallest vector. Scores beyond 2^62 stay at that bound. Fewer than k
+    with its smallest vector. Scores beyond 2^61 stay at that bound. Fewer than k
     candidates: all of them. Empty tables give an empty result.
 
     Each pass scores all blocks of queries against all blocks of candidates and sums one

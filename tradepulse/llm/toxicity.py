@@ -113,8 +113,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ways counts as toxic. Without labels of both kinds the model gives every text the share of
     toxic labels.
     """
-    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
-    rows = docs.join(marks, F.col(id_col) == F.col("_id")).where(F.col(text_col).isNotNull()).select("_id", F.col(text_col).alias("text"), "label")
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
+    marks = marks.groupBy("id").agg(F.max("label").alias("label"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null").join(marks, "id")
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < n_toxic < n:
         return ToxicityModel(base=n_toxic / n if n else 0.0)
@@ -137,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     weight = lambda k, of: max(1, min(20, k * 200 // max(1, of)))
     model = ToxicityModel(dictionary([(r.word, weight(r.a, n_toxic)) for r in typical], None),
                           dictionary([(r.word, weight(r.b, n - n_toxic)) for r in usual], ORDINARY_BYTES), [], n_toxic / n)
-    chosen = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, CALIBRATION_ROWS / n)) + 1)
+    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, CALIBRATION_ROWS / n)) + 1)
 
     def measure(part: dict) -> dict:
         differ = model.differences()
