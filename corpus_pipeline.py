@@ -26,9 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that three or more documents share; ``n_chars`` follows. Null texts stay null."""
-    rows = linededup.dedupe_lines(docs)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")
+    rows = linededup.dedupe_lines(docs.select("doc_id", "text", rest))
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
-    return rows.withColumns({"text": text, "n_chars": F.when(F.col("n_dropped") > 0, F.char_length(text).cast("long")).otherwise(F.col("n_chars"))}).select(docs.columns)
+    length = F.when(F.col("n_dropped") > 0, F.char_length(text).cast("long")).otherwise(F.col("rest.n_chars"))
+    new = {"text": text, "n_chars": length}
+    return rows.select(*[new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

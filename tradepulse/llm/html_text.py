@@ -147,6 +147,8 @@ def main_text(html: str | None) -> str:
     """
     parser = Lines()
     parser.feed(html or "")
+    if parser.rawdata.startswith("<!--"):  # a comment without an end goes on to the page's end
+        parser.rawdata = ""
     parser.close()
     lines = parser.lines
     if not lines:

@@ -58,11 +58,14 @@ class Automaton:
     def of(cls, text: bytes, codes: np.ndarray, symbols: int) -> Automaton:
         nexts = suffix_automaton(text)
         width = symbols + 2  # one symbol for unseen bytes, one for the padding of windows
-        root = np.zeros(width, np.int64)
+        # an unseen symbol is a phrase of its own: the last state, which nothing can follow
+        nexts.append({})
+        begin = np.full(width, (len(nexts) - 1) * width, np.int64)
         for byte, to in nexts[0].items():
-            root[codes[byte]] = to
+            begin[codes[byte]] = to * width
         # where the phrase can't go on, the next one begins with this symbol
-        steps = np.tile((root * width) << 1 | 1, (len(nexts), 1))
+        steps = np.tile(begin << 1 | 1, (len(nexts), 1))
+        steps[0] = begin << 1  # only a window's first symbol meets the root
         for state, moves in enumerate(nexts):
             for byte, to in moves.items():
                 steps[state, codes[byte]] = (to * width) << 1
