@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tradepulse.llm.shared import Batches, map_rows, table
+from tradepulse.llm.shared import Batches, landed, map_rows, table
 
 WINDOW, LEVEL, MIN_MATCH = 64, 7, 4
 #: Sizes of the model: words and bytes of the dictionaries, and labelled rows that calibrate it (expected number).
@@ -22,6 +22,8 @@ TYPICAL = 2.2
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 BINS = 11
 STEMS = (4, 5)
+#: Labels, a few bytes each, that every executor may hold; more are joined by a shuffle.
+BROADCAST_LABELS = 1_000_000
 
 
 def windows(text: str) -> list[bytes]:
@@ -115,6 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
     marks = marks.groupBy("id").agg(F.max("label").alias("label"))
+    if marks.count() <= BROADCAST_LABELS:
+        marks = F.broadcast(marks)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null").join(marks, "id")
     n, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < n_toxic < n:
@@ -122,17 +126,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lines = rows.select("label", F.explode(F.split(F.lower("text"), "\n")).alias("line")).groupBy("line").agg(F.min("label").alias("label"))
     found = F.regexp_extract_all("line", F.lit("([\\p{L}]+)"), 1)
     # Beginnings count as words of their own: compounds of one stem are rare each, but not the stem.
-    begun = F.array_union(found, F.flatten(F.array(*[F.transform(found, lambda w, n=n: F.left(w, F.lit(n))) for n in STEMS])))
+    # The empty word of every line counts the lines.
+    begun = F.array_union(F.array_union(F.array(F.lit("")), found), F.flatten(F.array(*[F.transform(found, lambda w, n=n: F.left(w, F.lit(n))) for n in STEMS])))
     words = lines.select("label", F.explode(begun).alias("word"))
-    a, b = F.sum("label"), F.sum(1 - F.col("label"))
-    counts = words.groupBy("word").agg(a.alias("a"), b.alias("b")).where("a + b >= 3")
-    lines_a, lines_b = lines.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+    counts = landed(words.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where("a + b >= 3 or word = ''"), "words")
+    lines_a, lines_b = counts.where("word = ''").select("a", "b").first()
     odds = F.log((F.col("a") + 0.5) / (lines_a + 1)) - F.log((F.col("b") + 0.5) / (lines_b + 1))
     bound = odds - 2 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    counts = counts.withColumn("bound", bound).cache()
+    counts = counts.where("word <> ''").withColumn("bound", bound)
     typical = counts.where(F.col("bound") >= TYPICAL).orderBy(F.col("bound").desc(), "word").limit(TOXIC_WORDS).collect()
     usual = counts.where("bound < 0").orderBy(F.col("b").desc(), "word").limit(ORDINARY_WORDS).collect()
-    counts.unpersist()
     if not typical:
         return ToxicityModel(base=n_toxic / n)
     weight = lambda k, of: max(1, min(20, k * 200 // max(1, of)))
