@@ -14,7 +14,7 @@ from tradepulse.plans import windows as tables
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
-from tradepulse.streaming import processors
+from tradepulse.streaming import firstdays, processors
 from tradepulse.streaming.jobs import Job, each_batch, late_rows
 
 
@@ -40,14 +40,29 @@ def finish(spark, rows_, path):
     return spark.read.schema(rows_.schema).parquet(f"{path}/out")
 
 
-def test_new_flag_over_several_batches_and_beyond_memory(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(processors.NewFlag, "HELD", 7)
+def test_new_flag_over_several_batches(spark, tmp_path):
     items = some(11, 200)
     feed(pages(spark, items), tmp_path / "in", 3)
     raw = topics.raw_text(spark, topics.Topic("log", str(tmp_path / "in"), per_trigger=1))
-    fixed = processors.repair_new_flag(topics.json_table(raw, S.LOG))
-    got = finish(spark, fixed.select(F.col("common")["mid"].alias("mid"), "ts", F.col("common")["is_new"].alias("n")), tmp_path)
+    out_rows = lambda r: r.select(F.col("common")["mid"].alias("mid"), "ts", F.col("common")["is_new"].alias("n"))
+    store = firstdays.FirstDays(spark, str(tmp_path / "first"), compact_every=2)
+    write = firstdays.repair(store, lambda fixed, n: out_rows(fixed).write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={n}"))
+    each_batch(topics.json_table(raw, S.LOG), write).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").select("mid", "ts", "n")
     assert sorted(map(tuple, got.collect())) == fixed_by_hand(items)
+    assert os.path.exists(tmp_path / "first" / "base")
+
+
+def test_new_flag_of_a_repeated_batch(spark, tmp_path):
+    """A batch that runs again sees what it saw the first time, and not itself."""
+    items = some(13, 60)
+    store = firstdays.FirstDays(spark, str(tmp_path / "first"))
+    seen = []
+    each = firstdays.repair(store, lambda fixed, n: seen.append(rows(fixed.select(F.col("common")["mid"], "ts", F.col("common")["is_new"]))))
+    logs = pages(spark, items)
+    each(logs, 0)
+    each(logs, 0)
+    assert seen[0] == seen[1] == fixed_by_hand(items)
 
 
 def test_traffic_stream_equals_batch_on_closed_windows(spark, tmp_path):
@@ -140,18 +155,37 @@ def test_upsert_table(spark, tmp_path):
 def test_dim_tables(spark, tmp_path):
     store = keyed.DimTables(spark, str(tmp_path / "d"))
     batch = lambda *r: spark.createDataFrame(list(r), keyed.DIM_CHANGE)
-    store.write_batch(batch(("1", {"a": "x", "b": "y"}, "insert", 1, "t"), ("2", {"a": "q"}, "insert", 1, "u")), 0)
-    store.write_batch(batch(("1", {"a": None, "b": "z"}, "update", 2, "t"), ("2", {}, "delete", 2, "u")), 1)
+    store.write_batch(batch(("1", {"a": "x", "b": "y"}, "insert", 1, 0, "t"), ("2", {"a": "q"}, "insert", 1, 0, "u")), 0)
+    store.write_batch(batch(("1", {"a": None, "b": "z"}, "update", 2, 0, "t"), ("2", {}, "delete", 2, 0, "u")), 1)
     assert rows(store.dim("t", ["a", "b"])) == [("1", "x", "z")]
     assert store.read("u").count() == 0
     store.compact()
-    store.write_batch(batch(("1", {"b": "new"}, "update", 3, "t"), ("2", {"b": "again"}, "insert", 3, "u")), 2)
+    store.write_batch(batch(("1", {"b": "new"}, "update", 3, 0, "t"), ("2", {"b": "again"}, "insert", 3, 0, "u")), 2)
     assert rows(store.dim("t", ["a", "b"])) == [("1", "x", "new")]
     assert rows(store.dim("u", ["a", "b"])) == [("2", None, "again")]
     resets = spark.createDataFrame([("t", 2)], "sink_table string, reset_at bigint")
     assert rows(store.dim("t", ["a", "b"], resets)) == [("1", None, "new")]
 
 
+def test_dim_tables_keep_versions_through_compaction(spark, tmp_path):
+    """Late changes, resets and changes of one second read the same before and after."""
+    batch = lambda *r: spark.createDataFrame(list(r), keyed.DIM_CHANGE)
+    parts = [batch(("1", {"a": "new"}, "insert", 200, 1, "t"), ("2", {"a": "x", "b": "y"}, "insert", 100, 2, "t"),
+                   ("3", {"a": "9"}, "insert", 100, 3, "t"), ("4", {"a": "kept"}, "insert", 300, 4, "t")),
+             batch(("2", {}, "delete", 200, 5, "t"), ("2", {"a": "back"}, "insert", 200, 6, "t"), ("3", {"a": "1"}, "update", 100, 7, "t")),
+             batch(("1", {"a": "late", "b": "other"}, "insert", 100, 0, "t"), ("2", {"b": "late"}, "update", 150, 0, "t"))]
+    resets = spark.createDataFrame([("t", 250)], "sink_table string, reset_at bigint")
+    read = []
+    for compacted in (False, True):
+        store = keyed.DimTables(spark, str(tmp_path / str(compacted)))
+        for n, part in enumerate(parts):
+            store.write_batch(part, n)
+            if compacted:
+                store.compact()
+        read.append((rows(store.dim("t", ["a", "b"])), rows(store.dim("t", ["a", "b"], resets))))
+    assert read[0] == read[1] == ([("1", "new", "other"), ("2", "back", None), ("3", "1", None), ("4", "kept", None)], [("4", "kept", None)])
+
+
 def test_pages_of_a_hot_device_reach_many_tasks(spark):
     """What is left of one device after merging is bounded by windows, not by its rows."""
     start = ms("2024-01-01T00:00:00")

@@ -19,25 +19,13 @@ DATABASE = "shop"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Spread a scan that comes in fewer pieces than there are cores.
-
-    A small table is one file with one row group and would be turned into texts and parsed
-    again by a single task. A large table has pieces enough and is left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a file stream; the pattern makes the single file a directory listing."""
-    rows = spark.read.parquet(f"{sf}/{name}.parquet")
-    texts = spark.readStream.schema(rows.schema).parquet(f"{sf}/{name}.parque[t]")
-    cores = spark.sparkContext.defaultParallelism
-    return texts.repartition(cores) if rows.rdd.getNumPartitions() < cores else texts
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def text(c: str | Column) -> Column:
@@ -141,14 +129,15 @@ def register_texts(events: DataFrame) -> DataFrame:
 # -- row changes -------------------------------------------------------------------------
 
 def envelope(rows: DataFrame, name: str | Column, kind: str | Column, ts: Column, data: Column,
-             old: Column | None = None, database: Column | None = None) -> DataFrame:
+             old: Column | None = None, database: Column | None = None, offset: Column | None = None) -> DataFrame:
     lit = lambda v: F.lit(v) if isinstance(v, str) else v
     fields = [(F.lit(DATABASE) if database is None else database).alias("database"),
               lit(name).alias("table"), lit(kind).alias("type"), ts.alias("ts"),
               data.alias("data")]
     if old is not None:
         fields.append(old.alias("old"))
-    return rows.select(F.to_json(F.struct(*fields)).alias("value"))
+    place = [] if offset is None else [offset.alias("offset")]
+    return rows.select(F.to_json(F.struct(*fields)).alias("value"), *place)
 
 
 def line_id() -> Column:
@@ -286,14 +275,17 @@ def user_changes(spark, sf) -> DataFrame:
 
 
 def routed_changes(spark, sf) -> DataFrame:
-    """Changes of thirty tables, five of them unknown to the configuration."""
+    """Changes of thirty tables, five of them unknown to the configuration.
+
+    Up to eight changes share a second; they arrive in falling order of their order keys.
+    """
     status = F.col("o_orderstatus")
     kind = F.when(status == "F", "insert").when(status == "O", "update").otherwise("delete")
     data = F.struct(text("o_orderkey").alias("id"), text("o_custkey").alias("user_id"),
                     F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("status"),
                     cents("o_totalprice").alias("total"))
     return envelope(table(spark, sf, "orders"), joined("table_", F.col("o_custkey") % 30), kind,
-                    F.col("o_orderkey"), data)
+                    F.floor(F.col("o_orderkey") / 8), data, offset=F.lit(10 ** 12) - F.col("o_orderkey"))
 
 
 def changes(*feeds: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tradepulse.session import scratch_dir
 
 @query("pipe_dim_sync", f"""
 WITH {sql.ROUTED}, {sql.CONFIG}, {sql.current('source_table')},
-r AS (SELECT chg.ts, chg.type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
+r AS (SELECT chg.place AS ts, chg.type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
              {sql.kept('status')}, {sql.kept('total')} FROM chg JOIN cur ON chg."table" = cur.source_table),
 e AS (SELECT *, max(CASE WHEN type = 'delete' THEN ts END) OVER (PARTITION BY sink_table, row_key) AS gone FROM r),
 m AS (SELECT sink_table, row_key, max_by(id, ts) FILTER (id IS NOT NULL) AS id,

@@ -84,14 +84,32 @@ def snake_json(spark, sf):
 
 @query("dim_partial_merge", f"""
 WITH {sql.ROUTED},
-e AS (SELECT *, max(CASE WHEN type = 'delete' THEN ts END) OVER (PARTITION BY user_id) AS gone FROM chg),
-live AS (SELECT * FROM e WHERE gone IS NULL OR ts > gone)
-SELECT user_id, max_by(id, ts) AS id, max_by(status, ts) FILTER (status IS NOT NULL) AS status, max_by(total, ts) AS total
+e AS (SELECT *, max(CASE WHEN type = 'delete' THEN place END) OVER (PARTITION BY user_id) AS gone FROM chg),
+live AS (SELECT * FROM e WHERE gone IS NULL OR place > gone)
+SELECT user_id, max_by(id, place) AS id, max_by(status, place) FILTER (status IS NOT NULL) AS status, max_by(total, place) AS total
 FROM live GROUP BY user_id""")
 def dim_partial_merge(spark, sf):
     rows = feeds.changes(feeds.routed_changes(spark, sf)).select(
-        "ts", "type", *[F.col("data")[c].alias(c) for c in ("id", "user_id", "status", "total")])
-    return changelog.fold_cells(rows, ["user_id"], ["id", "status", "total"], "ts")
+        "ts", "pos", "type", *[F.col("data")[c].alias(c) for c in ("id", "user_id", "status", "total")])
+    return changelog.fold_cells(rows, ["user_id"], ["id", "status", "total"], ["ts", "pos"])
+
+
+@query("dim_compacted", f"""
+WITH {sql.ROUTED},
+e AS (SELECT *, max(CASE WHEN type = 'delete' THEN place END) OVER (PARTITION BY user_id) AS gone FROM chg),
+live AS (SELECT * FROM e WHERE gone IS NULL OR place > gone)
+SELECT user_id AS id, max_by(status, place) FILTER (status IS NOT NULL) AS status, max_by(total, place) AS total
+FROM live GROUP BY user_id""")
+def dim_compacted(spark, sf):
+    """Changes in three batches out of their order, with a compaction after each."""
+    store = keyed.DimTables(spark, scratch_dir(spark, "compacted"))
+    rows = feeds.changes(feeds.routed_changes(spark, sf)).select(
+        F.col("data")["user_id"].alias("row_key"), F.map_filter("data", lambda k, _v: k.isin("status", "total")).alias("data"),
+        "type", F.col("ts").alias("version"), "pos", F.lit("dim_user").alias("sink_table"))
+    for n, part in enumerate((2, 0, 1)):
+        store.write_batch(rows.where(F.col("pos") % 3 == part), n)
+        store.compact()
+    return store.dim("dim_user", ["status", "total"])
 
 
 @query("dim_refresh", """

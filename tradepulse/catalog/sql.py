@@ -116,7 +116,7 @@ cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}
 ROUTED = f"""
 chg AS (SELECT 'table_' || o_custkey % 30 AS "table",
                CASE o_orderstatus WHEN 'F' THEN 'insert' WHEN 'O' THEN 'update' ELSE 'delete' END AS type,
-               o_orderkey AS ts, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+               o_orderkey // 8 AS ts, (o_orderkey // 8) * 1000000000000 - o_orderkey AS place, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
                CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS status,
                {money('o_totalprice')} AS total FROM orders)"""
 

@@ -6,8 +6,6 @@ that end before the newest time minus the lateness.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,35 +17,16 @@ from tradepulse.plans import windows as tables
 from tradepulse.session import scratch_dir
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
-from tradepulse.streaming import processors
+from tradepulse.streaming import firstdays, processors
 from tradepulse.streaming.jobs import Job, each_batch
 
 
-@contextmanager
-def sized(spark: SparkSession):
-    """State partitions for the feeds at hand.
-
-    A stream fixes their number at its first start. The given tables are single files, so
-    one per core will do; where the session asks for fewer, or the cluster is larger, the
-    session's own number stands.
-    """
-    key = "spark.sql.shuffle.partitions"
-    set_to, cores = spark.conf.get(key), spark.sparkContext.defaultParallelism
-    if spark.sparkContext.master.startswith("local") and int(set_to) > cores:
-        spark.conf.set(key, str(cores))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, set_to)
-
-
 def run(spark: SparkSession, rows: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark, label)
     job = Job(label, lambda _s: rows, lambda r: r,
               lambda r: out.append_stream(r, f"{path}/out", f"{path}/checkpoint", "parquet"),
               f"{path}/checkpoint")
-    with sized(spark):
-        job.run(spark)
+    job.run(spark)
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
 
 
@@ -64,10 +43,12 @@ def closed(body: str, late: str, time: str = "ts", of: str = "pages", size: str
 @query("stream_fix_is_new", f"WITH {sql.FIXED} SELECT mid, is_new_fixed AS is_new, ms AS ts FROM fixed")
 def stream_fix_is_new(spark, sf):
     logs = parse.behaviour_logs(parse.parse_json(feeds.log_texts(feeds.stream(spark, sf, "events")), S.LOG))
-    timed = logs.withColumn("row_time", F.timestamp_millis("ts")).withWatermark("row_time", windows.LATENESS["log"])
-    fixed = processors.repair_new_flag(timed.drop("row_time"))
-    return run(spark, fixed.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts"),
-               "fix-is-new")
+    path = scratch_dir(spark, "fix-is-new")
+    flags = lambda rows: rows.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts")
+    write = firstdays.repair(firstdays.FirstDays(spark, f"{path}/first"),
+                             lambda fixed, n: flags(fixed).write.mode("overwrite").parquet(f"{path}/out/batch_id={n}"))
+    each_batch(logs, write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(flags(logs).schema).parquet(f"{path}/out").select("mid", "is_new", "ts")
 
 
 @query("stream_window_append", closed(f"""
@@ -152,9 +133,9 @@ def stream_log_split(spark, sf):
         return {name: logsplit.as_json(name, rows) for name, rows in logsplit.split(batch).items()}
 
     write = out.fan_out_batch(texts, {name: f"{path}/{name}" for name in logsplit.TOPICS})
-    writer = each_batch(processors.repair_new_flag(logs), write).option("checkpointLocation", f"{path}/checkpoint")
-    with sized(spark):
-        writer.trigger(availableNow=True).start().awaitTermination()
+    repaired = firstdays.repair(firstdays.FirstDays(spark, f"{path}/first"), write)
+    writer = each_batch(logs, repaired).option("checkpointLocation", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
     union = None
     for name in logsplit.TOPICS:
         part = spark.read.text(f"{path}/{name}").select("value", F.lit(name).alias("topic"))

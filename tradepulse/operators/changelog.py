@@ -102,35 +102,43 @@ def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
             .select(*key, "_v.*").select(*rows.columns))
 
 
+def _version(version: str | Sequence[str]) -> Column:
+    return F.struct(*([version] if isinstance(version, str) else version))
+
+
 def fold_cells(changes: DataFrame, key: Sequence[str], cells: Sequence[str],
-               version: str, kind: str = "type") -> DataFrame:
+               version: str | Sequence[str], kind: str = "type") -> DataFrame:
     """Partial-update fold: the last non-null value per cell since the last delete.
 
-    A cell survives if it was written after the last delete of its key, so one grouping
-    with the delete position beside the cell positions is enough. A key without cells is
-    no row.
+    ``version`` names the order of changes: a time alone, or a time and the place in the topic
+    that settles one moment. A cell survives if it was written after the last delete of its key,
+    so one grouping with the delete position beside the cell positions is enough. A key without
+    cells is no row.
     """
-    put = F.col(kind) != "delete"
-    aggs = [F.max(F.when(~put, F.col(version))).alias("_del")]
+    put, at = F.col(kind) != "delete", _version(version)
+    aggs = [F.max(F.when(~put, at)).alias("_del")]
     for c in cells:
         written = put & F.col(c).isNotNull()
-        aggs.append(F.max(F.when(written, F.struct(F.col(version).alias("v"),
-                                                   F.col(c).alias("c")))).alias(f"_{c}"))
+        aggs.append(F.max(F.when(written, F.struct(at.alias("v"), F.col(c).alias("c")))).alias(f"_{c}"))
     alive = [F.when(F.col("_del").isNull() | (F.col(f"_{c}.v") > F.col("_del")), F.col(f"_{c}.c")).alias(c)
              for c in cells]
     return changes.groupBy(*key).agg(*aggs).select(*key, *alive).dropna("all", subset=list(cells))
 
 
-def fold_cell_maps(changes: DataFrame, key: Sequence[str], version: str,
-                   kind: str = "type", data: str = "data") -> DataFrame:
-    """:func:`fold_cells` where the cells are a map and differ from row to row."""
+def _last_cells(changes: DataFrame, key: Sequence[str], version: str | Sequence[str], kind: str, data: str) -> DataFrame:
+    """The last version of each cell of each key; the nameless cell is the last deletion."""
     put = F.col(kind) != "delete"
     gone = F.create_map(F.lit(""), F.lit(None).cast("string"))
-    cells = changes.select(*key, version, F.explode(
-        F.when(put, F.map_filter(data, lambda _k, v: v.isNotNull())).otherwise(gone)
-    ).alias("_cell", "_value"))
-    last = (cells.groupBy(*key, "_cell")
-            .agg(F.max(F.struct(F.col(version).alias("v"), F.col("_value").alias("c"))).alias("_w")))
+    cells = changes.select(*key, _version(version).alias("_v"), F.explode(
+        F.when(put, F.map_filter(data, lambda _k, v: v.isNotNull())).otherwise(gone)).alias("_cell", "_value"))
+    return (cells.groupBy(*key, "_cell")
+            .agg(F.max(F.struct(F.col("_v").alias("v"), F.col("_value").alias("c"))).alias("_w")))
+
+
+def fold_cell_maps(changes: DataFrame, key: Sequence[str], version: str | Sequence[str],
+                   kind: str = "type", data: str = "data") -> DataFrame:
+    """:func:`fold_cells` where the cells are a map and differ from row to row."""
+    last = _last_cells(changes, key, version, kind, data)
     # one row per cell name by now: the map is as wide as the table, however many changes
     deleted = F.max(F.when(F.col("_cell") == "", F.col("_w.v")))
     merged = last.groupBy(*key).agg(
@@ -144,6 +152,19 @@ def fold_cell_maps(changes: DataFrame, key: Sequence[str], version: str,
             .where(F.size(data) > 0))
 
 
+def prune_cell_maps(changes: DataFrame, key: Sequence[str], version: Sequence[str],
+                    kind: str = "type", data: str = "data") -> DataFrame:
+    """The changes that still matter, with their versions: the last of each cell and the last deletion.
+
+    Folding them, with or without later or late changes, gives what folding all would give.
+    """
+    last = _last_cells(changes, key, version, kind, data)
+    gone = F.col("_cell") == ""
+    cells = F.collect_list(F.when(~gone, F.struct("_cell", F.col("_w.c").alias("c"))))
+    return (last.groupBy(*key, F.col("_w.v").alias("_v"), gone.alias("_gone")).agg(F.map_from_entries(F.array_sort(cells)).alias(data))
+            .select(*key, data, F.when(F.col("_gone"), "delete").otherwise("insert").alias(kind), "_v.*"))
+
+
 def with_previous(rows: DataFrame, key: Sequence[str], order: Sequence[str],
                   values: Sequence[str], slice_by: Column) -> DataFrame:
     """Add ``prev_<value>``: the value of the key's previous row, null on its first.

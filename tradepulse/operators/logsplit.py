@@ -50,9 +50,9 @@ def as_json(topic: str, rows: DataFrame) -> DataFrame:
     if topic == "err":
         return rows.select(F.to_json("err").alias("value"))
     if topic in ("display", "action"):
-        item = F.to_json(topic)
+        # two JSON objects become one by joining their bodies; the context's names win
+        item = F.to_json(F.map_filter(topic, lambda k, _v: ~k.isin("common", "page", "ts")))
         context = F.to_json(F.struct("common", "page", "ts"))
-        # two JSON objects become one by joining their bodies
         body = F.concat(F.expr("substring(_i, 1, length(_i) - 1)"),
                         F.when(F.col("_i") == "{}", "").otherwise(","), F.expr("substring(_c, 2)"))
         return rows.select(item.alias("_i"), context.alias("_c")).select(body.alias("value"))

@@ -26,31 +26,36 @@ def page_columns(pages: DataFrame) -> DataFrame:
         "ts", F.timestamp_millis("ts").alias("row_time"))
 
 
-def repair_new_flag(logs: DataFrame, key: Column | None = None) -> DataFrame:
-    """Put the true ``is_new`` into ``common``.
+def first_days(logs: DataFrame, key: Column | None = None) -> DataFrame:
+    """``_mid, _first``: the day on which each device was new, from its first row flagged 0 or 1.
 
-    A device is new on its first day only. The first row flagged 0 or 1 fixes that day:
-    its own date if flagged 1, the day before if flagged 0. Later rows flagged 1 on
-    another date are reset to 0; any other flag passes through untouched.
+    That is the row's own date if flagged 1, the day before if flagged 0; on a tie the row
+    flagged 1 decides. Devices without such a row are left out.
     """
-    key = F.col("common")["mid"] if key is None else key
-    flag, day = F.col("common")["is_new"], F.to_date(F.timestamp_millis("ts"))
-    keyed = logs.withColumn("_mid", key)
-    firsts = (keyed.where(flag.isin("0", "1")).groupBy("_mid")
+    flag = F.col("common")["is_new"]
+    firsts = (logs.where(flag.isin("0", "1")).groupBy((F.col("common")["mid"] if key is None else key).alias("_mid"))
               .agg(F.min(F.when(flag == "1", F.col("ts"))).alias("_new"),
                    F.min(F.when(flag == "0", F.col("ts"))).alias("_known")))
     day_of = lambda c: F.to_date(F.timestamp_millis(c))
-    first_day = (F.when(F.col("_known").isNull() | (F.col("_new") <= F.col("_known")),
-                        day_of(F.col("_new")))
+    first_day = (F.when(F.col("_known").isNull() | (F.col("_new") <= F.col("_known")), day_of(F.col("_new")))
                  .otherwise(F.date_sub(day_of(F.col("_known")), 1)))
-    firsts = firsts.select("_mid", first_day.alias("_first"))
-    stale = (flag == "1") & (day != F.col("_first"))
-    fixed = F.transform_values("common", lambda k, v: F.when(
-        (k == "is_new") & stale, F.lit("0")).otherwise(v))
+    return firsts.select("_mid", first_day.alias("_first"))
+
+
+def with_true_flag(logs: DataFrame, firsts: DataFrame, key: Column | None = None) -> DataFrame:
+    """Rows flagged 1 on another date than the device's first day are reset to 0; other flags pass."""
+    keyed = logs.withColumn("_mid", F.col("common")["mid"] if key is None else key)
+    stale = (F.col("common")["is_new"] == "1") & (F.to_date(F.timestamp_millis("ts")) != F.col("_first"))
+    fixed = F.transform_values("common", lambda k, v: F.when((k == "is_new") & stale, F.lit("0")).otherwise(v))
     joined = keyed.join(firsts, "_mid", "left")
     return joined.select(*[fixed.alias(c) if c == "common" else F.col(c) for c in logs.columns])
 
 
+def repair_new_flag(logs: DataFrame, key: Column | None = None) -> DataFrame:
+    """Put the true ``is_new`` into ``common``: a device is new on its first day only."""
+    return with_true_flag(logs, first_days(logs, key), key)
+
+
 def flag_daily_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
                      out: str, time: str = "row_time") -> DataFrame:
     """Add ``out`` = 1 on the first row of each key and day, 0 on the rest.

@@ -59,11 +59,11 @@ def dim_changes(changes: DataFrame, config_events: DataFrame, database: str,
     routed = routing.by_table(parse.row_changes(changes, database), config)
     keyed = routed.withColumn("row_key", F.col("data")[F.col("cfg_sink_row_key")])
     return (routing.project_fields(keyed.where(F.col("row_key").isNotNull()))
-            .select("row_key", "data", "type", F.col("ts").alias("version"),
+            .select("row_key", "data", "type", F.col("ts").alias("version"), "pos",
                     F.col("cfg_sink_table").alias("sink_table")))
 
 
 def dim_sync(changes: DataFrame, config_events: DataFrame, database: str) -> DataFrame:
     """All dimension rows after all changes: ``sink_table, row_key, data``."""
     return changelog.fold_cell_maps(dim_changes(changes, config_events, database),
-                                    ["sink_table", "row_key"], "version")
+                                    ["sink_table", "row_key"], ["version", "pos"])

@@ -48,10 +48,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory for tables and checkpoints that cut a lineage.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only where that is
-    unset (a laptop, the tests) a local temporary folder takes its place.
+    The cluster names a shared folder in ``spark.checkpoint.dir``. Where that is unset, a local
+    master (a laptop, the tests) gets a temporary folder, and any other an error: its executors
+    would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tradepulse-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,9 @@ from tradepulse.operators import changelog
 from tradepulse.schemas import STR_MAP
 
 
-class _DeltaStore:
+class DeltaStore:
+    """Batches as directories below ``path``: bases fold what came up to their number, deltas follow."""
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  partition_by: Sequence[str] = ()):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
@@ -42,33 +44,33 @@ class _DeltaStore:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/{kind}/batch={number}")
 
-    def _read(self, kind: str, number: int) -> DataFrame:
-        return (self.spark.read.schema(self.schema)
-                .parquet(f"{self.path}/{kind}/batch={number}").select(*self.schema.names))
-
-    def raw(self) -> DataFrame:
-        """Newest base and the deltas after it, unmerged."""
-        bases = self._committed("base")[-1:]
-        after = bases[0] if bases else -1
-        parts = [self._read("base", n) for n in bases]
-        parts += [self._read("delta", n) for n in self._committed("delta") if n > after]
+    def raw(self, before: int | None = None) -> DataFrame:
+        """Newest base and the deltas after it, unmerged; ``before`` leaves out later batches."""
+        older = [n for n in self._committed("base") if before is None or n < before]
+        after = older[-1] if older else -1
+        kinds = {"base": older[-1:], "delta": [n for n in self._committed("delta") if n > after and (before is None or n < before)]}
+        parts = [self._scan(kind, numbers) for kind, numbers in kinds.items() if numbers]
         if not parts:
             return self.spark.createDataFrame([], self.schema)
-        merged = parts[0]
-        for part in parts[1:]:
-            merged = merged.unionByName(part)
-        return merged
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _scan(self, kind: str, numbers: Sequence[int]) -> DataFrame:
+        """One scan over all the directories: the plan does not grow with their number."""
+        paths = [f"{self.path}/{kind}/batch={n}" for n in numbers]
+        return (self.spark.read.schema(self.schema).option("basePath", f"{self.path}/{kind}")
+                .parquet(*paths).select(*self.schema.names))
 
-    def compact(self) -> None:
-        deltas = self._committed("delta")
+    def compact(self, before: int | None = None) -> None:
+        deltas = [n for n in self._committed("delta") if before is None or n < before]
         if deltas and deltas[-1] > (self._committed("base") or [-1])[-1]:
-            self._put(self._base(), "base", deltas[-1])
+            self._put(self._base(self.raw(before)), "base", deltas[-1])
 
-    def _base(self) -> DataFrame:
-        raise NotImplementedError
+    def _base(self, rows: DataFrame) -> DataFrame:
+        """What a base keeps of all rows: by default all of them."""
+        return rows
 
 
-class UpsertTable(_DeltaStore):
+class UpsertTable(DeltaStore):
     """Last version by primary key. A version with ``deleted`` removes its key."""
 
     def __init__(self, spark: SparkSession, path: str, key: Sequence[str],
@@ -88,8 +90,8 @@ class UpsertTable(_DeltaStore):
     def _latest(self) -> DataFrame:
         return changelog.latest_by_key(self.raw(), self.key, self.order)
 
-    def _base(self) -> DataFrame:
-        return self._latest()
+    def _base(self, rows: DataFrame) -> DataFrame:
+        return changelog.latest_by_key(rows, self.key, self.order)
 
 
 DIM_CHANGE = T.StructType([
@@ -97,20 +99,25 @@ DIM_CHANGE = T.StructType([
     T.StructField("data", STR_MAP),
     T.StructField("type", T.StringType()),
     T.StructField("version", T.LongType()),
+    T.StructField("pos", T.LongType()),
     T.StructField("sink_table", T.StringType()),
 ])
 
 
-class DimTables(_DeltaStore):
+class DimTables(DeltaStore):
     """All dimension tables, one partition each; cells are merged by partial update.
 
-    Changes are ordered by ``version``, base rows come before all of them.
+    Changes are ordered by ``version`` and, within one, by ``pos``, their place in the topic. A base
+    drops what was overwritten and keeps the versions of the rest and of the last deletion, so
+    late changes and resets read the same before and after a compaction.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(spark, path, DIM_CHANGE, ["sink_table"])
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if "pos" not in batch.columns:
+            batch = batch.withColumn("pos", F.lit(0).cast("bigint"))
         self._put(batch, "delta", batch_id)
 
     def read(self, table: str | None = None, resets: DataFrame | None = None) -> DataFrame:
@@ -125,7 +132,7 @@ class DimTables(_DeltaStore):
         if resets is not None:
             changes = (changes.join(resets, "sink_table", "left")
                        .where(F.col("reset_at").isNull() | (F.col("version") > F.col("reset_at"))))
-        return changelog.fold_cell_maps(changes, ["sink_table", "row_key"], "version")
+        return changelog.fold_cell_maps(changes, ["sink_table", "row_key"], ["version", "pos"])
 
     def dim(self, table: str, columns: Sequence[str], resets: DataFrame | None = None) -> DataFrame:
         """One dimension as a wide table with its row key as ``id``."""
@@ -133,6 +140,5 @@ class DimTables(_DeltaStore):
         return rows.select(F.col("row_key").alias("id"),
                            *[F.col("data")[c].alias(c) for c in columns if c != "id"])
 
-    def _base(self) -> DataFrame:
-        return self.read().select("sink_table", "row_key", "data", F.lit("insert").alias("type"),
-                                  F.lit(-1).cast("bigint").alias("version"))
+    def _base(self, rows: DataFrame) -> DataFrame:
+        return changelog.prune_cell_maps(rows, ["sink_table", "row_key"], ["version", "pos"])

@@ -63,8 +63,14 @@ def json_table(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def change_envelope(raw: DataFrame) -> DataFrame:
-    """Row changes with event time (15 s late at most) and processing time."""
-    return (parse_json(raw, S.CHANGE)
+    """Row changes with event time (15 s late at most), processing time and place in the topic.
+
+    Change times are whole seconds; ``pos``, the topic's offset, settles the changes of one
+    second. A key's changes lie in one partition of the topic, so offsets compare. A source
+    without offsets has 0 everywhere.
+    """
+    at = ["offset"] if "offset" in raw.columns else []
+    return (parse_json(raw, S.CHANGE, keep=at).withColumn("pos", F.col("offset") if at else F.lit(0).cast("bigint")).drop(*at)
             .withColumn("row_time", fx.from_seconds("ts"))
             .withColumn("proc_time", F.current_timestamp())
             .withWatermark("row_time", LATENESS["sql"]))
@@ -99,7 +105,7 @@ def landed_changes(spark: SparkSession, path: str, tables: Sequence[str] = (),
     """
     reader = spark.readStream if streaming else spark.read
     schema = T.StructType([f for f in S.CHANGE.fields if f.name not in ("table", "type")]
-                          + [T.StructField("table", T.StringType()),
+                          + [T.StructField("pos", T.LongType()), T.StructField("table", T.StringType()),
                              T.StructField("type", T.StringType())])
     rows = reader.schema(schema).parquet(path)
     if tables:

@@ -38,56 +38,6 @@ def _millis(t: dt.datetime) -> int:
     return int(round(t.timestamp() * 1000))
 
 
-class NewFlag(StatefulProcessor):
-    """Repair of ``is_new``: the state is a device's first day.
-
-    Rows of a device not seen before wait until its first day is known; beyond ``HELD``
-    rows they wait in the state store instead of in memory.
-    """
-
-    HELD = 10_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first_day", "day int")
-        self.waiting = handle.getListState("waiting", "is_new string, ts bigint, body string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.first.get()
-        known = state[0] if state else None
-        if known is not None:
-            for row in rows:
-                yield self._fix(row, known)
-            return
-        best, held, spilled = None, [], False
-        for row in rows:
-            if row.is_new in ("0", "1"):
-                # on a tie the row flagged 1 decides, as in the closed form
-                mark = (row.ts, row.is_new != "1")
-                if best is None or mark < best:
-                    best = mark
-            held.append(row)
-            if len(held) >= self.HELD:
-                self.waiting.appendList([(r.is_new, r.ts, r.body) for r in held])
-                held, spilled = [], True
-        if best is not None:
-            known = _day(best[0]) - (1 if best[1] else 0)
-            self.first.update((known,))
-        if spilled:
-            for row in self.waiting.get():
-                yield self._fix(Row(is_new=row[0], ts=row[1], body=row[2]), known)
-            self.waiting.clear()
-        for row in held:
-            yield self._fix(row, known)
-
-    @staticmethod
-    def _fix(row, known) -> Row:
-        stale = known is not None and row.is_new == "1" and _day(row.ts) != known
-        return Row(is_new="0" if stale else row.is_new, body=row.body)
-
-    def close(self) -> None:
-        pass
-
-
 class DailyUnique(StatefulProcessor):
     """Marks the first row of each key and day with ``uv_ct`` = 1.
 
@@ -244,17 +194,6 @@ def _kept(rows: DataFrame, names: list[str], drop: str) -> list[T.StructField]:
 AT = T.StructField("event_time", T.TimestampType())
 
 
-def repair_new_flag(logs: DataFrame) -> DataFrame:
-    """Logs with the true ``is_new``; the log itself passes the state step as one text."""
-    keyed = logs.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
-                        "ts", F.to_json(F.struct(*S.LOG.names)).alias("body"))
-    fixed = _apply(keyed, ["mid"], NewFlag(), [T.StructField("is_new", T.StringType()),
-                                               T.StructField("body", T.StringType())], None, "None")
-    parsed = parse_json(fixed.withColumnRenamed("body", "value"), S.LOG, keep=["is_new"])
-    common = F.transform_values("common", lambda k, v: F.when(k == "is_new", F.col("is_new")).otherwise(v))
-    return parsed.withColumn("common", common).drop("is_new")
-
-
 def daily_unique(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` (with a watermark on ``row_time``) plus ``uv_ct``; time becomes ``event_time``."""
     names = rows.columns
