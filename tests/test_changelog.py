@@ -132,3 +132,41 @@ def test_projection_and_destination(spark):
                                "data map<string,string>, cfg_sink_columns string, cfg_sink_table string")
     row = routing.tag_destination(routing.project_fields(df)).first()
     assert (row.sink_table, json.loads(row.value)) == ("dest", {"id": "1", "y": "3"})
+
+
+def test_changes_of_one_second_apply_in_order_of_arrival(spark):
+    """Status 9, then 1; a row deleted and put again; in each case the order contradicts the values."""
+    df = spark.createDataFrame([("s", 100, 1, "insert", {"a": "9"}), ("s", 100, 2, "update", {"a": "1"}), ("d", 100, 1, "insert", {"a": "old"}),
+                                ("d", 200, 3, "delete", {}), ("d", 200, 4, "insert", {"a": "new"}), ("g", 200, 5, "insert", {"a": "x"}), ("g", 200, 6, "delete", {})],
+                               "k string, ts bigint, pos bigint, type string, data map<string,string>")
+    want = [("d", "new"), ("s", "1")]
+    assert rows(changelog.fold_cell_maps(df, ["k"], ["ts", "pos"]).select("k", F.col("data")["a"])) == want
+    flat = df.withColumn("a", F.col("data")["a"])
+    assert rows(changelog.fold_cells(flat, ["k"], ["a"], ["ts", "pos"])) == want
+    assert rows(changelog.latest_by_key(flat.drop("data").where("k = 's'"), ["k"], ["ts", "pos"]), "a") == [("1",)]
+    pruned = changelog.prune_cell_maps(df, ["k"], ["ts", "pos"])
+    assert rows(changelog.fold_cell_maps(pruned, ["k"], ["ts", "pos"]).select("k", F.col("data")["a"])) == want
+
+
+def test_lower_amount_of_the_same_second_counts_last(spark):
+    from tradepulse.plans import windows as tables
+
+    df = spark.createDataFrame([("l", "s", "100", "1", "100", "0", "0", 1000, 1), ("l", "s", "80", "1", "80", "0", "0", 1000, 2)],
+                               "id string, sku_id string, order_price string, sku_num string, split_total_amount string, "
+                               "split_activity_amount string, split_coupon_amount string, ts bigint, pos bigint")
+    assert float(tables.sku_order_deltas(df).agg(F.sum("order_amount")).first()[0]) == 80.0
+
+
+def test_config_in_force_with_epoch_times_slices_and_snapshot(spark):
+    """Seconds against milliseconds, a config carried over many slices, and what held before the first change."""
+    start = 1_704_067_200
+    steps = spark.createDataFrame([("c", (start + 10) * 1000, "t", "one"), ("u", (start + 100_000) * 1000, "t", "two"), ("d", (start + 200_000) * 1000, "t", None),
+                                   ("c", (start + 5) * 1000, "other", "x")], "op string, ts_ms bigint, source_table string, sink_columns string")
+    df = spark.createDataFrame([("t", start + at) for at in (0, 9, 10, 11, 99_999, 100_000, 150_000, 199_999, 200_000, 900_000)] + [("no", start)], "table string, ts bigint")
+    at = F.col("ts") * 1000
+    got = routing.in_force(df, steps, ["source_table"], ["table"], "ts_ms", at)
+    assert rows(got.select(F.col("ts") - start, "cfg_sink_columns")) == sorted(
+        [(10, "one"), (11, "one"), (99_999, "one"), (100_000, "two"), (150_000, "two"), (199_999, "two")], key=lambda t: tuple(map(str, t)))
+    before = steps.unionByName(changelog.snapshot_steps(spark.createDataFrame([("t", "zero")], "source_table string, sink_columns string"), "ts_ms"))
+    early = routing.in_force(df, before, ["source_table"], ["table"], "ts_ms", at).where(F.col("ts") < start + 10)
+    assert rows(early, "cfg_sink_columns") == [("zero",), ("zero",)]

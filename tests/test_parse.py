@@ -83,3 +83,12 @@ def test_fact_reread_drops_deletions(spark):
 def test_page_log_time(spark):
     raw = texts(spark, log(ms("2024-01-01T00:00:01.250"), page={"page_id": "a"}))
     assert str(topics.page_log(raw).first().row_time) == "2024-01-01 00:00:01.250000"
+
+
+def test_split_texts_name_nothing_twice(spark):
+    """An action with fields called like its context: the context's values win, once."""
+    rows_ = spark.createDataFrame([({"action_id": "x", "ts": "5", "page": "p"}, {"mid": "m"}, {"page_id": "home"}, 99)],
+                                  "action map<string,string>, common map<string,string>, page map<string,string>, ts bigint")
+    text = logsplit.as_json("action", rows_).first().value
+    pairs = json.loads(text, object_pairs_hook=lambda p: p)
+    assert sorted(k for k, _ in pairs) == ["action_id", "common", "page", "ts"] and dict(pairs)["ts"] == 99

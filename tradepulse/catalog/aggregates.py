@@ -114,15 +114,15 @@ def agg_cart_uu(spark, sf):
 
 
 DELTAS = """
-amt AS (SELECT id, sku_id, order_id, province_id, row_time,
+amt AS (SELECT id, sku_id, order_id, province_id, row_time, pos,
           CAST(CAST(order_price AS DECIMAL(16,2)) * CAST(sku_num AS BIGINT) AS DECIMAL(16,2)) AS ori,
           CAST(split_activity_amount AS DECIMAL(16,2)) AS act, CAST(split_coupon_amount AS DECIMAL(16,2)) AS cou,
           CAST(split_total_amount AS DECIMAL(16,2)) AS tot FROM details),
 sku_delta AS (SELECT id, sku_id, row_time, ori - coalesce(lag(ori) OVER v, 0) AS ori, act - coalesce(lag(act) OVER v, 0) AS act,
           cou - coalesce(lag(cou) OVER v, 0) AS cou, tot - coalesce(lag(tot) OVER v, 0) AS tot FROM amt
-          WINDOW v AS (PARTITION BY id ORDER BY row_time, ori, act, cou, tot, sku_id)),
+          WINDOW v AS (PARTITION BY id ORDER BY row_time, pos, ori, act, cou, tot, sku_id)),
 prov_delta AS (SELECT id, order_id, province_id, row_time, tot - coalesce(lag(tot) OVER v, 0) AS tot FROM amt
-          WINDOW v AS (PARTITION BY id ORDER BY row_time, tot, order_id, province_id))"""
+          WINDOW v AS (PARTITION BY id ORDER BY row_time, pos, tot, order_id, province_id))"""
 
 SKU_SUMS = """CAST(sum(ori) AS DOUBLE) AS original_amount, CAST(sum(act) AS DOUBLE) AS activity_reduce_amount,
        CAST(sum(cou) AS DOUBLE) AS coupon_reduce_amount, CAST(sum(tot) AS DOUBLE) AS order_amount"""

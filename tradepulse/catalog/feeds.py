@@ -16,6 +16,8 @@ from tradepulse.sinks.topics import land_changes
 from tradepulse.sources import tables, topics
 
 DATABASE = "shop"
+#: 2024-01-01, in seconds
+START = 1_704_067_200
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -285,7 +287,7 @@ def routed_changes(spark, sf) -> DataFrame:
                     F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("status"),
                     cents("o_totalprice").alias("total"))
     return envelope(table(spark, sf, "orders"), joined("table_", F.col("o_custkey") % 30), kind,
-                    F.floor(F.col("o_orderkey") / 8), data, offset=F.lit(10 ** 12) - F.col("o_orderkey"))
+                    F.lit(START) + F.floor(F.col("o_orderkey") / 8), data, offset=F.lit(10 ** 12) - F.col("o_orderkey"))
 
 
 def changes(*feeds: DataFrame) -> DataFrame:
@@ -328,7 +330,7 @@ def config_texts(spark, sf, fact: bool = False) -> DataFrame:
     after = F.when(op != "d", config(nation))
     return table(spark, sf, "customer").select(F.to_json(F.struct(
         op.alias("op"), before.alias("before"), after.alias("after"),
-        F.col("c_custkey").alias("ts_ms"))).alias("value"))
+        ((F.lit(START) + F.col("c_custkey")) * 1000 + 500).alias("ts_ms"))).alias("value"))
 
 
 def config_changes(spark, sf, fact: bool = False) -> DataFrame:
@@ -385,7 +387,13 @@ def detail_texts(lineitem: DataFrame) -> DataFrame:
         seconds("l_shipdate").alias("ts")))
     gone = (F.col("l_tax") == 0.08) & (F.col("l_returnflag") == "N")
     return topics.non_null_text(lineitem.select(
-        F.when(~gone, whole).alias("value"), F.col("l_orderkey").alias("offset")))
+        F.when(~gone, whole).alias("value"), line_id().alias("key"), line_place().alias("offset")))
+
+
+def line_place() -> Column:
+    """Versions of a line arrive in falling order of part, supplier and cents, whatever their times."""
+    amount = (F.col("l_extendedprice").cast(S.MONEY) * 100).cast("bigint")
+    return F.lit(10 ** 17) - ((F.col("l_partkey").cast("bigint") * 10_000 + F.col("l_suppkey")) * 10_000 + amount % 10_000)
 
 
 def details(spark, sf, timed: bool = False) -> DataFrame:

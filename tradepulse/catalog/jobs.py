@@ -14,9 +14,9 @@ from tradepulse.session import scratch_dir
 
 
 @query("pipe_dim_sync", f"""
-WITH {sql.ROUTED}, {sql.CONFIG}, {sql.current('source_table')},
-r AS (SELECT chg.place AS ts, chg.type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
-             {sql.kept('status')}, {sql.kept('total')} FROM chg JOIN cur ON chg."table" = cur.source_table),
+WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table')},
+r AS (SELECT place AS ts, type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
+             {sql.kept('status')}, {sql.kept('total')} FROM inf),
 e AS (SELECT *, max(CASE WHEN type = 'delete' THEN ts END) OVER (PARTITION BY sink_table, row_key) AS gone FROM r),
 m AS (SELECT sink_table, row_key, max_by(id, ts) FILTER (id IS NOT NULL) AS id,
              max_by(user_id, ts) FILTER (user_id IS NOT NULL) AS user_id,
@@ -60,9 +60,8 @@ def log_split(spark, sf):
 
 
 @query("pipe_fact_router", f"""
-WITH {sql.ROUTED}, {sql.CONFIG}, {sql.current('source_table, source_type')}
-SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')}
-FROM chg JOIN cur ON chg."table" = cur.source_table AND chg.type = cur.source_type""")
+WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table', source_type='type')}
+SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')} FROM inf""")
 def fact_router(spark, sf):
     routed = base.fact_router(feeds.changes(feeds.routed_changes(spark, sf)),
                               feeds.config_changes(spark, sf, fact=True))

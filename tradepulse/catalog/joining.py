@@ -220,14 +220,11 @@ def dim_join_generic(spark, sf):
 
 
 @query("config_route_dim", f"""
-WITH {sql.ROUTED}, {sql.CONFIG}
-SELECT ts, "table", id, sink_table, sink_columns FROM (
-  SELECT chg.*, s.sink_table, s.sink_columns, s.op
-  FROM chg ASOF JOIN (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY source_table, ts_ms ORDER BY op <> 'd' DESC) = 1) s
-  ON chg."table" = s.source_table AND chg.ts >= s.ts_ms) WHERE op <> 'd'""")
+WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table')}
+SELECT ts, "table", id, sink_table, sink_columns FROM inf""")
 def route_dim(spark, sf):
     routed = routing.in_force(feeds.changes(feeds.routed_changes(spark, sf)), feeds.config_steps(spark, sf),
-                              ["source_table"], ["table"], "ts_ms", "ts")
+                              ["source_table"], ["table"], "ts_ms", F.col("ts") * 1000)
     return routed.select("ts", "table", F.col("data")["id"].alias("id"),
                          F.col("cfg_sink_table").alias("sink_table"), F.col("cfg_sink_columns").alias("sink_columns"))
 

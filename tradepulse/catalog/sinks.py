@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradepulse import schemas as S
 from tradepulse.catalog import aggregates, etl, feeds, sql
@@ -11,6 +12,7 @@ from tradepulse.operators import changelog, parse, routing, shape
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
 from tradepulse.session import scratch_dir
+from tradepulse.sources import topics
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
 from tradepulse.streaming.jobs import each_batch
@@ -27,9 +29,8 @@ def sink_append(spark, sf):
 
 
 @query("sink_routed", f"""
-WITH {sql.ROUTED}, {sql.CONFIG}, {sql.current('source_table, source_type')}
-SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')}
-FROM chg JOIN cur ON chg."table" = cur.source_table AND chg.type = cur.source_type""")
+WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table', source_type='type')}
+SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')} FROM inf""")
 def sink_routed(spark, sf):
     path = scratch_dir(spark, "routed")
     out.write_routed(base.fact_router(feeds.changes(feeds.routed_changes(spark, sf)),
@@ -46,19 +47,20 @@ def sink_json(spark, sf):
 
 
 @query("sink_upsert_latest", f"""
-WITH {sql.DETAILS},
-v AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, order_price DESC, sku_id DESC) AS rn FROM details)
-SELECT id, ts, order_price, sku_id FROM v WHERE rn = 1""")
+WITH {sql.LINES},
+v AS (SELECT *, (l_tax = 0.08 AND l_returnflag = 'N') AS gone, row_number() OVER (PARTITION BY id ORDER BY pos DESC) AS rn FROM lines)
+SELECT id, ts, order_price, sku_id FROM v WHERE rn = 1 AND NOT gone""")
 def sink_upsert_latest(spark, sf):
+    """The topic's last word on each line; where that is a deletion, there is no row."""
     path = scratch_dir(spark, "upsert")
-    schema = S.fact_schema(["id", "ts", "order_price", "sku_id"])
-    store = keyed.UpsertTable(spark, path + "/table", ["id"], ["ts"], schema)
-    rows = feeds.detail_texts(feeds.stream(spark, sf, "lineitem"))
-    facts = parse.parse_json(rows.where("value <> ''"), schema)
+    names = ["id", "ts", "order_price", "sku_id"]
+    schema = T.StructType([*S.fact_schema(names).fields, T.StructField("pos", T.LongType())])
+    store = keyed.UpsertTable(spark, path + "/table", ["id"], ["pos"], schema)
+    facts = topics.fact_versions(feeds.detail_texts(feeds.stream(spark, sf, "lineitem")), names)
     (each_batch(facts, store.write_batch).option("checkpointLocation", path + "/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
     store.compact()
-    return store.read()
+    return store.read().drop("pos")
 
 
 @query("sink_dws_table", aggregates.home_sql("1 hour"))

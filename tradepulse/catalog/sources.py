@@ -12,17 +12,13 @@ from tradepulse.session import scratch_dir
 from tradepulse.sources import tables, topics
 
 
-@query("src_raw_text", f"""
-WITH {sql.EVENTS}
-SELECT event_id AS "offset", CAST(CASE WHEN k = 77 THEN 1 ELSE 0 END AS BIGINT) AS empty_text,
-       CASE WHEN k = 13 THEN substr('{{"common":{{"mid":"' || user_id || '","uid":"' || user_id || '","vc', 1, 25)
-            WHEN k = 55 THEN '[1, 2]' ELSE '' END AS odd_text
-FROM ev""")
+@query("src_raw_text", "SELECT CASE WHEN doc_id % 50 = 7 THEN '' ELSE coalesce(text, '') END AS value FROM documents")
 def raw_text(spark, sf):
-    rows = feeds.log_texts(feeds.table(spark, sf, "events"))
-    odd = F.when(F.length("value") <= 25, F.col("value")).otherwise("")
-    return rows.select("offset", F.when(F.col("value") == "", 1).otherwise(0).alias("empty_text"),
-                       odd.alias("odd_text"))
+    """A topic of whole texts, some of them null, as the reader gives it."""
+    path = scratch_dir(spark, "raw-text")
+    texts = feeds.table(spark, sf, "documents").select(F.when(F.col("doc_id") % 50 != 7, F.col("text")).alias("value"))
+    texts.write.parquet(path)
+    return topics.raw_text(spark, topics.Topic("raw", path, file_format="parquet"), streaming=False)
 
 
 @query("src_config_changes", f"""

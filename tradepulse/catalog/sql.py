@@ -60,7 +60,7 @@ lines AS (SELECT l_orderkey || '-' || l_linenumber AS id, CAST(l_orderkey AS VAR
                  {moment('l_shipdate')} AS create_time, {money('l_extendedprice')} AS split_total_amount,
                  {money('l_discount')} AS split_activity_amount, {money('l_tax')} AS split_coupon_amount,
                  {seconds('l_shipdate')} AS ts, l_shipdate AS row_time,
-                 l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+                 100000000000000000 - ((CAST(l_partkey AS BIGINT) * 10000 + l_suppkey) * 10000 + CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * 100 AS BIGINT) % 10000) AS pos, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
                  l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem)"""
 
 #: the fact topic without its deletions
@@ -71,7 +71,7 @@ details AS (SELECT id, order_id, sku_id, 'u' || l_suppkey AS user_id,
                    CASE WHEN l_tax >= 0.06 THEN 'c' || l_suppkey END AS coupon_id,
                    CAST(l_suppkey % 25 AS VARCHAR) AS province_id, sku_name, order_price, sku_num,
                    create_time, split_total_amount, split_activity_amount, split_coupon_amount, ts,
-                   row_time
+                   row_time, pos
             FROM lines WHERE NOT (l_tax = 0.08 AND l_returnflag = 'N'))"""
 
 ORDERS = f"""
@@ -89,7 +89,7 @@ pay AS (SELECT id AS order_id, user_id, '110' || substr(o_orderpriority, 1, 1) A
 DIC = "dic AS (SELECT '110' || r_regionkey AS rowkey, r_name AS dic_name FROM region)"
 
 CONFIG = """
-cfg_raw AS (SELECT c_custkey AS ts_ms, c_mktsegment AS seg, c_nationkey AS n, c_acctbal,
+cfg_raw AS (SELECT (1704067200 + c_custkey) * 1000 + 500 AS ts_ms, c_mktsegment AS seg, c_nationkey AS n, c_acctbal,
               CASE c_mktsegment WHEN 'MACHINERY' THEN 'c' WHEN 'BUILDING' THEN 'r'
                    WHEN 'HOUSEHOLD' THEN 'u' WHEN 'FURNITURE' THEN 'c' ELSE 'd' END AS op,
               'table_' || c_nationkey AS after_table, 'sink_' || c_nationkey AS sink_table,
@@ -113,10 +113,20 @@ cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}
         WHERE rn = 1 AND op <> 'd')"""
 
 
+def in_force(**key: str) -> str:
+    """The changes with the config in force at their time; ``key`` maps config to change columns."""
+    names = ", ".join(key)
+    match = " AND ".join(f'chg."{c}" = s.{k}' for k, c in key.items())
+    return f"""
+inf AS (SELECT chg.*, s.sink_table, s.sink_columns
+        FROM chg ASOF JOIN (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY {names}, ts_ms ORDER BY op <> 'd' DESC) = 1) s
+        ON {match} AND chg.ts * 1000 >= s.ts_ms WHERE s.op <> 'd')"""
+
+
 ROUTED = f"""
 chg AS (SELECT 'table_' || o_custkey % 30 AS "table",
                CASE o_orderstatus WHEN 'F' THEN 'insert' WHEN 'O' THEN 'update' ELSE 'delete' END AS type,
-               o_orderkey // 8 AS ts, (o_orderkey // 8) * 1000000000000 - o_orderkey AS place, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+               1704067200 + o_orderkey // 8 AS ts, (o_orderkey // 8) * 1000000000000 - o_orderkey AS place, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
                CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS status,
                {money('o_totalprice')} AS total FROM orders)"""
 

@@ -31,10 +31,10 @@ def register_kw_split(spark: SparkSession, name: str = "kw_split") -> None:
 
     class KwSplit:
         def eval(self, text: str) -> Iterator[tuple[str]]:
-            import regex
+            from itertools import groupby
 
-            if text is not None:
-                for word in regex.findall(r"\p{L}+", text.lower()):
-                    yield (word,)
+            for letters, run in groupby(text.lower() if text is not None else "", str.isalpha):
+                if letters:
+                    yield ("".join(run),)
 
     spark.udtf.register(name, F.udtf(KwSplit, returnType="keyword string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradepulse import functions as fx
@@ -39,19 +39,43 @@ def by_table_and_type(changes: DataFrame, config: DataFrame) -> DataFrame:
     return changes.join(cfg, _match(["source_table", "source_type"], ["table", "type"]), "inner")
 
 
-def in_force(changes: DataFrame, steps: DataFrame, key: Sequence[str],
-             change_columns: Sequence[str], order: str, at: str) -> DataFrame:
+#: Length of a slice of event time, in the units of the config's positions (milliseconds).
+SLICE = 600_000
+
+
+def in_force(changes: DataFrame, steps: DataFrame, key: Sequence[str], change_columns: Sequence[str],
+             order: str, at: str | Column, slice_by: int = SLICE) -> DataFrame:
     """Match each change with the config in force at its own time.
 
-    ``steps`` is the config history; each step holds from its ``order`` value up to that of
-    the key's next step. A step at the very time of a change already applies to it.
+    ``steps`` is the config history; each step holds from its ``order`` value up to that of the
+    key's next step. A step at the very time of a change already applies to it. ``at`` is the
+    change's time in the units of ``order``: config positions are milliseconds, so for change times
+    in seconds it is ``F.col("ts") * 1000``. Changes before a key's first step match nothing; add
+    :func:`~tradepulse.operators.changelog.snapshot_steps` for what held then.
+
+    Steps and changes lie in one order per key and slice of time, and the last step before a slice
+    is carried into it. So a change meets one config, however long the history, and a hot table
+    is spread over its slices.
     """
-    until = F.lead(order).over(Window.partitionBy(*key).orderBy(order, F.col("op") != "d"))
-    spans = steps.withColumn("until", until).where(F.col("op") != "d")
-    cfg = _config_columns(spans, ["op"])
-    held = (F.col(at) >= F.col(f"cfg_{order}")) & (
-        F.col("cfg_until").isNull() | (F.col(at) < F.col("cfg_until")))
-    return changes.join(cfg, _match(key, change_columns) & held, "inner").drop("cfg_until")
+    columns, at = [c for c in steps.columns if c != "op"], F.col(at) if isinstance(at, str) else at
+    names = [f"_k{i}" for i in range(len(key))]
+    live = F.col("op") != "d"
+    row = F.struct(*[F.col(f"`{c}`") for c in changes.columns])
+    cfg = F.struct(F.when(live, F.struct(*columns)).alias("c"))
+    told = steps.select(*[F.col(k).alias(n) for k, n in zip(key, names)], F.col(order).alias("_at"), live.alias("_live"), cfg.alias("_cfg"))
+    asked = changes.select(*[F.col(c).alias(n) for c, n in zip(change_columns, names)], at.alias("_at"), row.alias("_row"))
+    cut = F.floor(F.col("_at") / slice_by)
+    told, asked = told.withColumn("_slice", cut), asked.withColumn("_slice", cut)
+    both = told.unionByName(asked, allowMissingColumns=True)
+    within = (Window.partitionBy(*names, "_slice").orderBy("_at", F.col("_row").isNotNull(), "_live")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = both.withColumn("_own", F.last("_cfg", ignorenulls=True).over(within)).where("_row is not null")
+    tails = told.groupBy(*names, "_slice").agg(F.max(F.struct("_at", "_live", "_cfg")).alias("_tail"))
+    before = Window.partitionBy(*names).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (asked.select(*names, "_slice").distinct().join(tails, [*names, "_slice"], "full")
+               .withColumn("_carry", F.last("_tail", ignorenulls=True).over(before)).select(*names, "_slice", F.col("_carry._cfg").alias("_carry")))
+    found = own.join(carried, [*names, "_slice"]).withColumn("_c", F.coalesce("_own", "_carry")["c"]).where("_c is not null")
+    return found.select("_row.*", *[F.col("_c").getField(c).alias(f"cfg_{c}") for c in columns])
 
 
 def project_fields(routed: DataFrame, columns: str = "cfg_sink_columns") -> DataFrame:

@@ -23,12 +23,20 @@ def log_split(raw: DataFrame, path: str) -> dict[str, DataFrame]:
     return logsplit.split(raw.sparkSession.read.schema(S.LOG).parquet(path))
 
 
-def fact_router(changes: DataFrame, config_events: DataFrame, order: str = "ts_ms") -> DataFrame:
-    """Changes configured by table and type -> destination and projected payload."""
+def _history(config_events: DataFrame, key: list[str], order: str, snapshot: DataFrame | None) -> DataFrame:
+    steps = changelog.config_steps(config_events, key, order)
+    if snapshot is None:
+        return steps
+    return steps.unionByName(changelog.snapshot_steps(snapshot, order), allowMissingColumns=True)
+
+
+def fact_router(changes: DataFrame, config_events: DataFrame, order: str = "ts_ms", snapshot: DataFrame | None = None) -> DataFrame:
+    """Changes configured by table and type at their time -> destination and projected payload.
+
+    ``snapshot`` is the config table as read at the start: it holds before the first captured change.
+    """
     key = ["source_table", "source_type"]
-    config = changelog.current_config(
-        changelog.config_steps(config_events, key, order), key, order)
-    routed = routing.by_table_and_type(changes, config)
+    routed = routing.in_force(changes, _history(config_events, key, order, snapshot), key, ["table", "type"], order, F.col("ts") * 1000)
     return routing.tag_destination(routing.project_fields(routed))
 
 
@@ -51,12 +59,11 @@ def dim_sync_batch(store: DimTables, config_events: Callable[[], DataFrame], dat
 
 
 def dim_changes(changes: DataFrame, config_events: DataFrame, database: str,
-                order: str = "ts_ms") -> DataFrame:
-    """Changes of configured dimensions as ``DimTables`` takes them."""
+                order: str = "ts_ms", snapshot: DataFrame | None = None) -> DataFrame:
+    """Changes of dimensions configured at their time, as ``DimTables`` takes them."""
     key = ["source_table"]
-    config = changelog.current_config(
-        changelog.config_steps(config_events, key, order), key, order)
-    routed = routing.by_table(parse.row_changes(changes, database), config)
+    routed = routing.in_force(parse.row_changes(changes, database), _history(config_events, key, order, snapshot),
+                              key, ["table"], order, F.col("ts") * 1000)
     keyed = routed.withColumn("row_key", F.col("data")[F.col("cfg_sink_row_key")])
     return (routing.project_fields(keyed.where(F.col("row_key").isNotNull()))
             .select("row_key", "data", "type", F.col("ts").alias("version"), "pos",

@@ -92,11 +92,16 @@ def cart_users_stream(carts: DataFrame, size: str = WINDOW) -> DataFrame:
     return windows.cart_users(marked, size)
 
 
+def place(details: DataFrame) -> list[str]:
+    """The place in the topic, where the source has one: it settles versions of one second."""
+    return ["pos"] if "pos" in details.columns else []
+
+
 def sku_amounts(details: DataFrame) -> DataFrame:
     """The four amounts of an order line; the original one is price times number."""
     price, number = fx.money("order_price"), fx.money("sku_num")
     return parse.sku_order_facts(details).select(
-        "id", "sku_id", "row_time",
+        "id", "sku_id", "row_time", *place(details),
         (price * number).cast("decimal(16,2)").alias("original_amount"),
         fx.money("split_activity_amount").alias("activity_reduce_amount"),
         fx.money("split_coupon_amount").alias("coupon_reduce_amount"),
@@ -108,11 +113,10 @@ def by_time(time: str = "row_time", size: str = WINDOW) -> Column:
     return F.window(time, size).start
 
 
-SKU_ORDER = ["row_time", *windows.SKU_AMOUNTS, "sku_id"]
 
 
 def sku_order_deltas(details: DataFrame, size: str = WINDOW) -> DataFrame:
-    return changelog.version_deltas(sku_amounts(details), ["id"], SKU_ORDER,
+    return changelog.version_deltas(sku_amounts(details), ["id"], ["row_time", *place(details), *windows.SKU_AMOUNTS, "sku_id"],
                                     windows.SKU_AMOUNTS, by_time(size=size))
 
 
@@ -131,15 +135,14 @@ def sku_orders_stream(details: DataFrame, dims: Mapping[str, DataFrame], size: s
 
 def province_amounts(details: DataFrame) -> DataFrame:
     return parse.province_order_facts(details).select(
-        "id", "order_id", "province_id", "row_time",
+        "id", "order_id", "province_id", "row_time", *place(details),
         fx.money("split_total_amount").alias("order_amount"))
 
 
-PROVINCE_ORDER = ["row_time", "order_amount", "order_id", "province_id"]
 
 
 def province_order_deltas(details: DataFrame, size: str = WINDOW) -> DataFrame:
-    return changelog.version_deltas(province_amounts(details), ["id"], PROVINCE_ORDER,
+    return changelog.version_deltas(province_amounts(details), ["id"], ["row_time", *place(details), "order_amount", "order_id", "province_id"],
                                     ["order_amount"], by_time(size=size))
 
 

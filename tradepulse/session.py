@@ -18,8 +18,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # a rewrite of one table partition must not wipe its siblings
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +53,7 @@ def raw_text(spark: SparkSession, topic: Topic, streaming: bool = True) -> DataF
 
 def non_null_text(rows: DataFrame, value=None) -> DataFrame:
     value = F.col("value") if value is None else value
-    rest = [c for c in rows.columns if c not in ("value", "key")]
+    rest = [F.col(c).cast("string") if c == "key" else F.col(c) for c in rows.columns if c != "value"]
     return rows.select(F.coalesce(value, F.lit("")).alias("value"), *rest)
 
 
@@ -69,8 +69,8 @@ def change_envelope(raw: DataFrame) -> DataFrame:
     second. A key's changes lie in one partition of the topic, so offsets compare. A source
     without offsets has 0 everywhere.
     """
-    at = ["offset"] if "offset" in raw.columns else []
-    return (parse_json(raw, S.CHANGE, keep=at).withColumn("pos", F.col("offset") if at else F.lit(0).cast("bigint")).drop(*at)
+    at, pos = _places(raw)
+    return (parse_json(raw, S.CHANGE, keep=at).withColumn("pos", pos).drop(*at)
             .withColumn("row_time", fx.from_seconds("ts"))
             .withColumn("proc_time", F.current_timestamp())
             .withWatermark("row_time", LATENESS["sql"]))
@@ -82,18 +82,37 @@ def page_log(raw: DataFrame) -> DataFrame:
             .withWatermark("row_time", LATENESS["window"]))
 
 
+def _places(raw: DataFrame) -> tuple[list[str], Column]:
+    at = ["offset"] if "offset" in raw.columns else []
+    return at, (F.col("offset") if at else F.lit(0)).cast("bigint")
+
+
 def fact_reread(raw: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
-    """An upsert fact topic read as a stream of versions.
+    """An upsert fact topic read as a stream of versions, with their place ``pos`` in it.
 
     Deletions are empty texts: they parse to nulls and leave with them.
     """
-    facts = parse_json(raw, S.fact_schema(list(columns))).where(F.col("id").isNotNull())
+    at, pos = _places(raw)
+    facts = parse_json(raw, S.fact_schema(list(columns)), keep=at).where(F.col("id").isNotNull())
+    facts = facts.withColumn("pos", pos).drop(*at)
     if timed:
         facts = (facts.withColumn("row_time", fx.from_seconds("ts"))
                  .withWatermark("row_time", LATENESS["sql"]))
     return facts
 
 
+def fact_versions(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """An upsert fact topic with its deletions, as ``UpsertTable`` takes it in the order of ``pos``.
+
+    A deletion has no payload; its id is the record's key.
+    """
+    at, pos = _places(raw)
+    rest = [c for c in columns if c != "id"]
+    rows = parse_json(raw, S.fact_schema(list(columns)), keep=["key", "value", *at])
+    return (rows.select(F.coalesce("id", "key").alias("id"), *rest, pos.alias("pos"), (F.trim("value") == "").alias("deleted"), F.col("id").alias("_own"))
+            .where(F.col("id").isNotNull() & (F.col("deleted") | F.col("_own").isNotNull())).drop("_own"))
+
+
 # -- landed change log -----------------------------------------------------------------
 
 def landed_changes(spark: SparkSession, path: str, tables: Sequence[str] = (),

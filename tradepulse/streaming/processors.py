@@ -150,7 +150,8 @@ class VersionDelta(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         zero = Decimal("0.00")
-        ordered = sorted(rows, key=lambda r: (r[self.time], [r[a] or zero for a in self.amounts]))
+        place = ["pos"] if "pos" in self.names else []
+        ordered = sorted(rows, key=lambda r: (r[self.time], *[r[p] for p in place], [r[a] or zero for a in self.amounts]))
         state = self.last.get()
         previous, until = (list(state[:-1]), state[-1]) if state else ([], 0)
         for row in ordered:
