@@ -59,5 +59,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     split = rows.join(drops, ["id", "row"], "left").select("doc", "gone", F.explode(F.array(lines_of(text))).alias("all"))
     gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("all") - 1), gone), lambda p: F.get(F.col("all"), p))
-    return split.select("doc.*", F.size("all").cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"),
-                        F.when(F.size(gone) == 0, F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept"))
+    whole = F.when(F.size(gone) == 0, F.coalesce(text, F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    # In two steps: beside the row's own columns a name could mean one of them.
+    done = split.select("doc", F.size("all").cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"), whole.alias("kept"))
+    return done.select("doc.*", *own)
