@@ -113,6 +113,25 @@ def test_leaks_are_found_and_clean_documents_left(spark):
         assert brute_align(item, span) == round(r.score * 2 * len(item))
 
 
+@pytest.mark.parametrize("block", [decontam.ITEM_BYTES, 200])
+def test_edited_copies_beside_a_verbatim_one(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "ITEM_BYTES", block)
+    r = random.Random(7)
+    vocabulary = ["".join(r.choices("abcdefghij", k=r.randrange(3, 8))) for _ in range(300)]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.randrange(15, 40)))) for k in range(10)]
+    docs = [(k, f"before {t} after") for k, t in items]
+    for n in range(120):
+        w = items[n % 10][1].split()
+        edited = [x if r.random() > (0.2, 0.25, 0.3)[n % 3] else r.choice(vocabulary) for x in w]
+        docs += [(100 + n, " ".join(r.choices(vocabulary, k=60) + edited + r.choices(vocabulary, k=60)))]
+    w = items[0][1].split()
+    docs += [(300, " ".join(x if i % 3 else "other" for i, x in enumerate(w, 1))), (301, " ".join(f"{x} other" for x in w))]
+    want = {(i, k) for i, t in docs for k, s in items if decontam.align(s.split(), t.split())[0] >= len(s.split())}
+    assert {(300, 0), (301, 0)} <= want and len(want) > 110
+    got = decontam.contaminated(documents(spark, *docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(x.id, x.item) for x in got} == want
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontam.contaminated(documents(spark, (1, "a b c d")), none).count() == 0

@@ -1,51 +1,28 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: shared words find candidates by sound bounds, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradepulse.llm.shared import Batches, landed, map_rows
+from tradepulse.llm.shared import landed, map_rows
 
 WORDS = re.compile(r"\w+")
-#: A filter of this many bits, of fixed size, thins the n-grams of the corpus before the join.
-FILTER_BITS = 1 << 22
+#: Bytes of item texts that go to the documents at once.
+ITEM_BYTES = 4 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
-MEMORY = 500_000
 
 
 def words_of(text: str | None) -> list[str]:
     return WORDS.findall((text or "").lower())
 
 
-class GramHasher:
-    """Hashes of word n-grams. The n-gram of a short text is the whole text."""
-
-    def __init__(self, width: int):
-        self.width, self.known = width, {}
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known, digest = self.known, xxhash.xxh64_intdigest
-        if len(known) > MEMORY:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = digest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if not len(h):
-            return h
-        n = max(1, len(h) - self.width + 1)
-        out = np.zeros(n, np.uint64)
-        for i in range(min(self.width, len(h))):
-            out = (out ^ h[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        return out
-
-
 def align(item: list[str], words: list[str]) -> tuple[int, int, int]:
     """Best local alignment score of the item's words in the words, with its span there (end excluded).
 
@@ -80,97 +57,97 @@ def align(item: list[str], words: list[str]) -> tuple[int, int, int]:
     return best
 
 
-def passages(hits: np.ndarray, length: int, n_words: int) -> list[tuple[int, int]]:
-    """Stretches of the text that can hold an alignment through a hit: as far around as the item is long, with room for gaps."""
-    reach = 2 * length
-    out: list[list[int]] = []
-    for h in hits.tolist():
-        lo, hi = max(0, h - reach), min(n_words, h + reach)
-        if out and lo <= out[-1][1]:
-            out[-1][1] = hi
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
-
-
-def grams(rows: DataFrame, width: int, bits: bytes | None = None) -> DataFrame:
-    """``(id, text)`` to distinct ``(id, gram)``; with a filter only grams that may be in it."""
-    def run(batches: Batches) -> Batches:
-        hasher = GramHasher(width)
-        may = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids, found = [], []
-                for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    g = hasher(words_of(text))
-                    if may is not None:
-                        g = g[may[g % np.uint64(FILTER_BITS)]]
-                    g = np.unique(g)
-                    ids.append(np.full(len(g), i, np.int64))
-                    found.append(g.view(np.int64))
-                if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(found))], ["id", "gram"])
-
-    return rows.mapInArrow(run, "id bigint, gram bigint")
+class Index:
+    """Items by word, to tell which of them a text can hold with ``least`` of a whole copy's score.
+
+    Both tests are bounds that no alignment exceeds, so none is lost. An alignment of m matches
+    scores 2 m at most, thus the text has ``least`` of the item's words, repeats counted. A word
+    of the text brings 2 if the item has it and costs 1 if not, so only stretches whose sum of
+    these reaches the score can hold the alignment. How many texts share a word plays no part.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], least: float):
+        self.items = [(i, w) for i, w in ((i, words_of(text)) for i, text in items) if w]
+        self.goal = np.array([MATCH * len(w) * least - 1e-9 for _, w in self.items])
+        self.codes: dict[str, int] = {}
+        self.own, postings = [], []
+        for k, (_, words) in enumerate(self.items):
+            counts = Counter(self.codes.setdefault(w, len(self.codes)) for w in words)
+            self.own.append(np.array(list(counts), np.int64))
+            postings += [(c, k, n) for c, n in counts.items()]
+        table = np.array(sorted(postings), np.int64).reshape(-1, 3)
+        self.of, self.times = table[:, 1], table[:, 2]
+        self.start = np.searchsorted(table[:, 0], np.arange(len(self.codes) + 1))
+        # the last place stands for words that no item has
+        self.gain = np.full(len(self.codes) + 1, MISMATCH, np.int64)
+
+    def candidates(self, words: list[str]) -> Iterator[tuple[int, list[str], list[tuple[int, int]]]]:
+        """Items with the stretches of the text that can hold them."""
+        get = self.codes.get
+        text = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        met, times = np.unique(text[text >= 0], return_counts=True)
+        n = self.start[met + 1] - self.start[met]
+        at = np.repeat(self.start[met] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(self.of[at], np.minimum(self.times[at], np.repeat(times, n)), len(self.items))
+        for k in np.flatnonzero((shared > 0) & (MATCH * shared >= self.goal)):
+            self.gain[self.own[k]] = MATCH
+            total = np.concatenate([[0], np.cumsum(self.gain[text])])
+            self.gain[self.own[k]] = MISMATCH
+            # the best sum of a stretch around each word
+            most = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], most >= self.goal[k], [0]])))
+            if len(edges):
+                yield *self.items[k], list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def blocks(items: DataFrame, longest: int) -> Iterator[list[tuple[int, str]]]:
+    """``(id, text)`` in blocks of about so many bytes, each distinct row once."""
+    items = landed(items.distinct(), "items")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = size // longest + 1
+    for k in range(n):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", width: int = 3, least: float = 0.5) -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", least: float = 0.5) -> DataFrame:
     """``(id, item, score, first_word, last_word)``: items of which a document holds an exact or edited copy.
 
-    Seeds of an item are its word n-grams that fewest documents share: those not above the
-    median of its n-grams, ties included, so an item that very many documents quote keeps its
-    seeds. A document with a seed is a candidate. The score is the best Smith-Waterman alignment
-    of words around the seeds, over that of a whole copy; ``least`` or more is reported, with
-    the span in the document's words.
+    The score is the best Smith-Waterman alignment of words over that of a whole copy; ``least``
+    or more is reported, with the span in the document's words. Seeds are single words: ``Index``
+    leaves out what cannot reach the score, and nothing else, so each document that scores
+    ``least`` is aligned, whatever other documents hold.
 
     Rows without an id or with a text without words match nothing. Rows that share an id are
-    aligned each, and the best is kept. Documents stay where they are until candidates are known;
-    n-grams that no item has are dropped by a filter of fixed size first.
+    aligned each, and the best is kept. Documents stay where they are: each block of ITEM_BYTES
+    of items is taken to them, one pass a block.
     """
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    wanted = landed(grams(items, width).distinct().select(F.col("id").alias("item"), "gram"), "item-grams")
-    # At most FILTER_BITS numbers reach the driver, however many items there are.
-    slot = (F.pmod(F.col("gram"), F.lit(FILTER_BITS))).alias("slot")
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[wanted.select(slot).distinct().toArrow().column(0).to_numpy()] = True
-    held = landed(grams(docs, width, np.packbits(bits).tobytes()).join(wanted.select("gram").distinct(), "gram", "left_semi"), "held-grams")
-    counted = wanted.join(held.distinct().groupBy("gram").agg(F.count("*").alias("df")), "gram")
-    median = F.expr("percentile_disc(0.5) within group (order by df)")
-    limits = counted.groupBy("item").agg(median.alias("most"))
-    seeds = counted.join(limits, "item").where("df <= most").select("item", "gram")
-    texts = items.withColumnRenamed("id", "item").withColumnRenamed("text", "item_text")
-    pairs = held.join(seeds, "gram").select("id", "item").distinct().join(texts, "item")
-    # Items go to candidates as one list a document: it holds no more than the items it has seeds of.
-    lists = pairs.groupBy("id").agg(F.collect_list(F.struct("item", "item_text")).alias("items"))
-    candidates = docs.join(lists, "id")
-
-    def judge(part: dict) -> dict:
-        hasher, known = GramHasher(width), {}
-        out: dict[str, list] = {k: [] for k in ("id", "item", "score", "first_word", "last_word")}
-        for i, text, listed in zip(part["id"], part["text"], part["items"]):
-            words = words_of(text)
-            own = hasher(words)
-            for entry in listed:
-                item, spelt = entry["item"], entry["item_text"]
-                if (item, spelt) not in known:
-                    w = words_of(spelt)
-                    known[item, spelt] = (w, hasher(w))
-                item_words, item_grams = known[item, spelt]
-                hits = np.flatnonzero(np.isin(own, item_grams))
-                best = (0, 0, 0)
-                for a, b in passages(hits, len(item_words), len(words)):
-                    s, x, y = align(item_words, words[a:b])
-                    if s > best[0]:
-                        best = (s, a + x, a + y)
-                score = best[0] / (MATCH * len(item_words)) if item_words else 0.0
-                if score >= least:
-                    for k, v in zip(out, (i, item, score, best[1], best[2])):
-                        out[k].append(v)
-        return out
-
-    found = map_rows(candidates, judge, "id bigint, item bigint, score double, first_word bigint, last_word bigint")
+
+    def against(block: list[tuple[int, str]]) -> DataFrame:
+        known: list[Index] = []
+
+        def judge(part: dict) -> dict:
+            if not known:
+                known.append(Index(block, least))
+            out: dict[str, list] = {k: [] for k in ("id", "item", "score", "first_word", "last_word")}
+            for i, text in zip(part["id"], part["text"]):
+                words = words_of(text)
+                for item, item_words, stretches in known[0].candidates(words):
+                    best = (0, 0, 0)
+                    for a, b in stretches:
+                        s, x, y = align(item_words, words[a:b])
+                        if s > best[0]:
+                            best = (s, a + x, a + y)
+                    score = best[0] / (MATCH * len(item_words))
+                    if score >= least:
+                        for k, v in zip(out, (i, item, score, best[1], best[2])):
+                            out[k].append(v)
+            return out
+
+        return landed(map_rows(docs, judge, "id bigint, item bigint, score double, first_word bigint, last_word bigint"), "leaks")
+
+    found = reduce(DataFrame.unionAll, map(against, blocks(items, ITEM_BYTES)))
     best = F.max_by(F.struct("first_word", "last_word"), F.struct("score", -F.col("first_word"))).alias("at")
     return found.groupBy("id", "item").agg(F.max("score").alias("score"), best).select("id", "item", "score", "at.first_word", "at.last_word")
