@@ -37,6 +37,22 @@ def test_odd_pages(html, want):
     assert html_text.main_text(html) == want
 
 
+SOME = "This sentence of the article is as long as such sentences are, and tells something."
+
+
+@pytest.mark.parametrize("parts", [("<h1>", "Heading", "</h1><p>", "A lead.", "</p><div class=content>", *["<p>", SOME, "</p>"] * 9, "</div>"),
+                                   ("<section>", *["<p>", SOME, "</p>"] * 16, "</section><section>", *["<p>", SOME, "</p>"] * 3, "</section>")])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_whole_article_around_its_containers(tag, parts):
+    html = f"<body><div><a href=/>Home</a></div><div><{tag}>{''.join(parts)}</{tag}></div><div><a href=/a>Next</a></div></body>"
+    assert html_text.main_text(html) == "\n".join(x for x in parts if not x.startswith(("<", ">")))
+
+
+def test_whole_cluster_without_an_article():
+    html = f"<div><div>{f'<p>{SOME}' * 16}</div><div>{f'<p>{SOME}' * 3}</div></div>"
+    assert html_text.main_text(html) == "\n".join([SOME] * 19)
+
+
 PAGES = "page_id bigint, url string, html string"
 
 

@@ -40,6 +40,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.articles: set[int] = set()
         self.text: list[str] = []
         self.tags = self.linked = self.seen = 0
         self.off = self.anchors = 0
@@ -72,6 +73,8 @@ class Lines(HTMLParser):
             return
         off = tag in SKIPPED or self.marked(tag, attrs)
         self.seen += 1
+        if tag in ("article", "main"):
+            self.articles.add(self.seen)
         self.stack.append((tag, off, self.seen))
         self.off += off
         self.anchors += tag == "a"
@@ -140,10 +143,10 @@ def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, one a line; empty if there is none.
 
     Each block outside menus, forms and the like is a line with a ratio of unlinked text to
-    tags. Lines whose smoothed ratio is above the threshold form the content cluster. The
-    container of the cluster with the most text, an article or main element if it stands in one,
-    is the region, and all its lines are the text, short ones and headings too, so that smoothing
-    never cuts an article's ends.
+    tags. Lines whose smoothed ratio is above the threshold form the content cluster. The region
+    is the innermost article or main element that holds the whole cluster, or else the innermost
+    container that does, and all its lines are the text, short ones and headings too, so that
+    smoothing never cuts an article's ends.
     """
     parser = Lines()
     parser.feed(html or "")
@@ -159,13 +162,8 @@ def main_text(html: str | None) -> str:
     content &= size > 0
     if not content.any():
         content = size >= 0
-    weight: dict[int, float] = {}
-    for keep, chars, line in zip(content, size, lines):
-        for n in line[3] if keep else ():
-            weight[n] = weight.get(n, 0) + chars
-    total = size[content].sum()
-    # the innermost container that holds nearly all of the cluster's text
-    best = max((n for n, w in weight.items() if w >= 0.8 * total), default=None)
+    around = set.intersection(*[set(path) for keep, (*_, path) in zip(content, lines) if keep])
+    best = max(around & parser.articles or around, default=None)
     inside = [best is None or best in path for *_, path in lines]
     kept = [text for (text, *_), into in zip(lines, inside) if into]
     return "\n".join(kept)
