@@ -35,12 +35,11 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id. Rows without an id, and documents without a word, stay.
+    """One document of each group of near copies: that with the smallest id. Rows without an id or a text stay.
 
-    Texts without a word have nothing to be copies of, though they share a fingerprint.
+    Texts without a word, as line dedup leaves copies, share a fingerprint and so are copies of each other.
     """
-    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
-    marked = landed(simhash.near_duplicates(docs.where(worded)), "near-copies")
+    marked = landed(simhash.near_duplicates(docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())), "near-copies")
     others = marked.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
 

@@ -62,6 +62,15 @@ def test_stages_take_effect(spark, sf):
     assert {r.doc_id: (r.n_tokens, r.n_decoded) for r in encoded} == {1: (2, 9), 2: (0, 0)}
 
 
+def test_one_of_the_copies_that_line_dedup_empties_stays(spark, sf):
+    stages = dict(corpus_pipeline.STAGES)
+    text = "A paragraph that is longer than twenty characters"
+    docs = documents(spark, *[(i, text) for i in range(1, 5)], *[(i, f"{text} and more\n\n{text}") for i in range(5, 9)], (9, None), (10, None))
+    emptied = stages["line_dedup"](spark, docs, sf)
+    assert sorted(r.doc_id for r in emptied.collect() if r.text is not None and not r.text.strip()) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r.doc_id for r in stages["simhash_near_dedup"](spark, emptied, sf).collect()) == [1, 8, 9, 10]
+
+
 def test_pipeline_is_its_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = corpus_pipeline.run(spark, sf).collect()
