@@ -48,6 +48,20 @@ def test_whole_article_around_its_containers(tag, parts):
     assert html_text.main_text(html) == "\n".join(x for x in parts if not x.startswith(("<", ">")))
 
 
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div class='post comments-open'", "div id=page-header-layout", "form method=post",
+                                     "section aria-label='Legal history'", "div class='menu-page'"])
+def test_wrappers_are_no_surroundings(wrapper):
+    end = wrapper.split()[0]
+    inside = f"<div class=sidebar><p>{SOME}</div><div class=body>{f'<p>{SOME}' * 5}</div><form class=search><p>Search this site</form>"
+    html = f"<body><nav>Home</nav><{wrapper}>{inside}</{end}><div class=comments><p>{SOME}</div></body>"
+    assert html_text.main_text(html) == "\n".join([SOME] * 5)
+
+
+def test_named_section_beside_others():
+    html = f"<article><section>{f'<p>{SOME}' * 9}</section><section aria-label='Legal history'><p>{SOME}</section><section class=no-sidebar><p>{SOME}</section></article>"
+    assert html_text.main_text(html) == "\n".join([SOME] * 11)
+
+
 def test_whole_cluster_without_an_article():
     html = f"<div><div>{f'<p>{SOME}' * 16}</div><div>{f'<p>{SOME}' * 3}</div></div>"
     assert html_text.main_text(html) == "\n".join([SOME] * 19)

@@ -29,6 +29,9 @@ comments commentlist disqus reply replies respond discussion feedback share shar
 teaser teasers pagination pager toolbar toc complementary contentinfo copyright legal disclaimer skip hidden""".split())
 #: An element that closes these of its own kind, as the standard has it.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Words that make a name tell of a layout or state ("has-sidebar", "comments-open"), and words of labels besides marks.
+STATES = frozenset("has have with without no not open opened closed enabled disabled".split())
+PLAIN = frozenset("main site page primary secondary top bottom articles posts links bar box the this our and of policy".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.0
 
@@ -40,6 +43,9 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        #: marked elements with the tags before them, and those that each line stands in
+        self.marks: dict[int, int] = {}
+        self.within: list[tuple[int, ...]] = []
         self.articles: set[int] = set()
         self.text: list[str] = []
         self.tags = self.linked = self.seen = 0
@@ -50,12 +56,14 @@ class Lines(HTMLParser):
         if text:
             path = tuple(n for t, _, n in self.stack if t in ("article", "main", "section", "div", "td", "body"))
             self.lines.append((text, self.tags, self.linked, path))
+            self.within.append(tuple(n for *_, n in self.stack if n in self.marks))
             self.tags = 0
         self.text, self.linked = [], 0
 
     def pop(self) -> str:
-        tag, off, _ = self.stack.pop()
+        tag, off, n = self.stack.pop()
         self.off -= off
+        self.tags = self.marks.get(n, self.tags)
         self.anchors -= tag == "a"
         return tag
 
@@ -71,8 +79,13 @@ class Lines(HTMLParser):
         self.tags += not self.off
         if tag in EMPTY:
             return
-        off = tag in SKIPPED or self.marked(tag, attrs)
         self.seen += 1
+        off = tag in SKIPPED and tag != "form" or self.hidden(tag, attrs)
+        if not off and (tag == "form" or self.marked(tag, attrs)):
+            # whether a block is left out is known when the page is read; its tags count for its own lines
+            off = tag not in BLOCKS
+            if not off:
+                self.marks[self.seen], self.tags = self.tags - (not self.off), 0
         if tag in ("article", "main"):
             self.articles.add(self.seen)
         self.stack.append((tag, off, self.seen))
@@ -89,19 +102,43 @@ class Lines(HTMLParser):
             if self.stack[i][0] in BLOCKS:
                 return
 
+    @staticmethod
+    def hidden(tag: str, attrs) -> bool:
+        if tag in ("html", "body", "article", "main"):
+            return False
+        return any(name == "hidden" or name == "aria-hidden" and value == "true"
+                   or name == "style" and value and re.search(r"display\s*:\s*none", value) for name, value in attrs)
+
     @staticmethod
     def marked(tag: str, attrs) -> bool:
         if tag in ("html", "body", "article", "main"):
             return False
         for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "style" and value and re.search(r"display\s*:\s*none", value):
-                return True
-            if name in ("class", "id", "role", "aria-label") and value and not MARKS.isdisjoint(w.lower() for w in WORD.findall(value)):
-                return True
+            if name in ("class", "id", "role") and value:
+                for token in value.split():
+                    words = {w.lower() for w in WORD.findall(token)}
+                    if not MARKS.isdisjoint(words) and STATES.isdisjoint(words):
+                        return True
+            elif name == "aria-label" and value:
+                words = {w.lower() for w in WORD.findall(value)}
+                if not MARKS.isdisjoint(words) and words <= MARKS | PLAIN:
+                    return True
         return False
 
+    def kept(self) -> list[tuple[str, int, int, tuple[int, ...]]]:
+        """Lines without those of marked blocks and forms, save such as hold most of the page's unlinked text.
+
+        A single line is no wrapper, and stays only where it is all there is.
+        """
+        size = [max(0, len(text) - linked) for text, _, linked, _ in self.lines]
+        total = sum(size)
+        held: dict[int, list[int]] = {}
+        for chars, marks in zip(size, self.within):
+            for n in marks:
+                held.setdefault(n, []).append(chars)
+        cut = {n for n, chars in held.items() if 2 * sum(chars) <= total or len(chars) == 1 and sum(chars) < total}
+        return [line for line, marks in zip(self.lines, self.within) if cut.isdisjoint(marks)]
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in EMPTY:
@@ -142,7 +179,8 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, one a line; empty if there is none.
 
-    Each block outside menus, forms and the like is a line with a ratio of unlinked text to
+    Marked blocks and forms are left out unless they hold most of the unlinked text, as wrappers
+    of a page's layout do. Each block outside menus and the like is a line with a ratio of unlinked text to
     tags. Lines whose smoothed ratio is above the threshold form the content cluster. The region
     is the innermost article or main element that holds the whole cluster, or else the innermost
     container that does, and all its lines are the text, short ones and headings too, so that
@@ -153,7 +191,7 @@ def main_text(html: str | None) -> str:
     if parser.rawdata.startswith("<!--"):  # a comment without an end goes on to the page's end
         parser.rawdata = ""
     parser.close()
-    lines = parser.lines
+    lines = parser.kept()
     if not lines:
         return ""
     size = np.array([max(0, len(text) - linked) for text, _, linked, _ in lines], float)
