@@ -127,6 +127,13 @@ def test_salvage_bounds_a_record():
     assert [r["error"] for r in rows] == ["member too long", None]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bytes])
+def test_salvage_of_a_long_header(monkeypatch, pack):
+    monkeypatch.setattr(warc, "READ_BYTES", 10_000)
+    long = warc.record("response", "urn:x-page:8", "data:" + "u" * 100_000, "2024-01-01T00:00:00Z", b"page")
+    assert salvaged(b"".join(map(pack, [*records(2), long, *records(2)]))) == (NAMES[:2] + ["urn:x-page:8"] + NAMES[:2], [])
+
+
 def test_round_trip(spark):
     same, small = "same " * 300, "small"
     rows = [(1, "u1", same), (5, "u5", same), (3, "u3", same), (2, "u", small), (4, "u", small), (6, None, None), (7, "u r l\n", ""),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tradepulse.llm.shared import Batches, landed, shared_path
 
-#: Bytes after which a writer begins a new archive, of a read, and of the longest header.
+#: Bytes after which a writer begins a new archive, of a read, and that a plain record's header is looked for in at first.
 ARCHIVE_BYTES, READ_BYTES, HEADER_BYTES = 64 << 20, 1 << 20, 1 << 16
 GZIP = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"(?:^|(?<=\n))WARC/\d\.\d\r?\n")
@@ -45,7 +45,7 @@ def parse(data: bytes) -> tuple[dict, int] | str:
     version = VERSION.match(data)
     if not version:
         return "no version line"
-    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         return "no end of header"
     head = {}
@@ -139,9 +139,14 @@ def salvage(stream, path: str = "", longest: int = 1 << 30) -> Iterator[dict]:
                 if not isinstance(got, str):
                     got = (got[0], used) if got[1] == len(data) else "bytes after the record"
         else:
-            size = re.search(rb"(?i)\ncontent-length:\s*(\d{1,12})\r\n", source.data[:HEADER_BYTES])
-            if VERSION.match(source.data) and size and int(size[1]) <= longest:
-                source.upto(HEADER_BYTES + int(size[1]) + 4)
+            if VERSION.match(source.data):
+                seen = 0
+                while (end := source.data.find(b"\r\n\r\n", max(0, seen - 3), longest)) < 0 and len(source.data) < longest and not source.ended:
+                    seen = len(source.data)
+                    source.upto(2 * seen)
+                size = re.search(rb"(?i)\ncontent-length:\s*(\d{1,12})\r\n", source.data[:end + 4])
+                if end >= 0 and size and int(size[1]) <= longest:
+                    source.upto(end + 4 + int(size[1]) + 4)
             got = parse(source.data)
         if not isinstance(got, str):
             if gap is not None:
