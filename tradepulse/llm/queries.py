@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, decontam, html_text, langid, licenses, linededup, simhash, topk, toxicity, warc
+from tradepulse.llm import bpe, decontam, html_text, langid, licenses, linededup, simhash, spm, topk, toxicity, warc
 from tradepulse.llm.shared import table
 
 QUERIES = {}
@@ -140,3 +140,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archive_round_trip(table(spark, sf_dir, "pages")).where("error is null")
     return rows.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
                        F.col("type").alias("record_type"), warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
+    rows = spm.encode_decode(table(spark, sf_dir, "documents"), model_file or public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
