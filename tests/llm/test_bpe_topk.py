@@ -74,16 +74,12 @@ def test_full_memory_changes_nothing(monkeypatch):
 
 
 def brute_top(queries, rows, k):
-    best = {}
-    for i, v in sorted(rows, key=lambda r: str(r)):
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        v = [int(np.floor(64 * float(x))) for x in v]
-        best[i] = min(best.get(i, v), v)
+    whole = [(i, tuple(int(np.floor(64 * float(x))) for x in v)) for i, v in rows
+             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted(x for x in best if x in queries):
-        found = sorted((-sum(a * b for a, b in zip(best[q], v)), i) for i, v in best.items() if i != q and len(v) == len(best[q]))
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found[:k])]
+    for q in sorted({r for r in whole if r[0] in queries}):
+        found = sorted((-sum(a * b for a, b in zip(q[1], v)), i) for i, v in whole if (i, v) != q and len(v) == len(q[1]))
+        out += [(q[0], n + 1, i, -s) for n, (s, i) in enumerate(found[:k])]
     return out
 
 
@@ -117,6 +113,18 @@ def test_top_k_of_few_and_none(spark):
     assert run_top(spark, [], set(), 20) == []
 
 
+def test_rows_that_share_an_id(spark):
+    """All rows but the query's own are candidates, whatever their ids."""
+    rows = [(0, [1.0]), (1, [0.5]), (1, [0.9]), (0, [0.7]), (2, [0.1]), (2, [0.1])]
+    got = run_top(spark, rows, {0}, 3)
+    assert got == sorted(brute_top({0}, rows, 3)) and (0, 1, 1, 64 * 57) in got and (0, 2, 0, 64 * 44) in got
+
+
+def test_great_scores_are_not_ties(spark):
+    rows = [(0, [2.0 ** 26]), (1, [2.0 ** 24]), (2, [2.0 ** 24 + 2])]
+    assert [r[2:] for r in run_top(spark, rows, {0}, 2)] == [(2, 2 ** 62 + 2 ** 39), (1, 2 ** 62)]
+
+
 def test_random_ties(spark):
     r = random.Random(8)
     rows = [(i, [r.choice([-0.5, 0.0, 0.5]) for _ in range(3)]) for i in range(120)]

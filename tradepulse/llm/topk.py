@@ -12,7 +12,7 @@ from tradepulse.llm.shared import Batches, landed
 #: rows of a packed block, blocks of candidates that share a cell of the grid, queries scored at a
 #: time, and bins of a query's histogram
 BLOCK_ROWS, CELL_BLOCKS, STRIP_ROWS, BINS = 16384, 4, 512, 1024
-MOST = 2 ** 61
+MOST = 2 ** 63 - 1
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -59,7 +59,7 @@ def packed(rows: DataFrame, n_rows: int) -> DataFrame:
         run, "block bigint, dim int, ids array<bigint>, data binary")
 
 
-def _strips(batch: pa.RecordBatch):
+def _strips(batch: pa.RecordBatch, span: int = 1):
     """The scores of a few queries at a time against a block of candidates, with the queries' state."""
     for row in batch.to_pylist():
         c_ids = np.array(row["c_ids"], np.int64)
@@ -70,24 +70,32 @@ def _strips(batch: pa.RecordBatch):
         for i in range(0, len(q), STRIP_ROWS):
             cut = slice(i, i + STRIP_ROWS)
             s = scores(q[cut], c)
-            kind = object if s.dtype == object else np.int64
-            q_ids, lo = np.array(row["q_ids"][cut], np.int64), np.array(row["lo"][cut], kind)
-            yield q_ids, c_ids, s, lo, np.array(row["need"][cut], np.int64), q_ids[:, None] != c_ids[None, :]
+            q_ids, lo = np.array(row["q_ids"][cut], np.int64), np.array(row["lo"][cut], object)
+            if s.dtype == object or span + max(map(abs, row["lo"][cut]), default=0) >= 2 ** 52:
+                # distances that no double holds are taken as Python integers
+                s = np.vectorize(int, otypes=[object])(s)
+            else:
+                lo = lo.astype(np.int64)
+            other = np.ones(s.shape, bool)
+            for a, b in zip(*np.nonzero(q_ids[:, None] == c_ids[None, :])):
+                other[a, b] = (q[i + a] != c[b]).any()
+            places = row["block"], np.arange(i, i + len(q_ids))
+            yield places, c_ids, s, lo, np.array(row["need"][cut], np.int64), other
 
 
 def _histogram(span: int, width: int):
     """Counts of the bins of [lo, lo + span) per query; of one block only bins that can hold its own share of the k best."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for q_ids, _, s, lo, need, other in _strips(batch):
+            for (block, places), _, s, lo, need, other in _strips(batch, span):
                 at = (s - lo[:, None]) // width
                 at = np.where(other & (s >= lo[:, None]) & (s < lo[:, None] + span), at, BINS).astype(np.int64)
-                flat = (at + np.arange(len(q_ids))[:, None] * (BINS + 1)).ravel()
-                count = np.bincount(flat, minlength=len(q_ids) * (BINS + 1)).reshape(len(q_ids), -1)[:, :BINS]
+                flat = (at + np.arange(len(places))[:, None] * (BINS + 1)).ravel()
+                count = np.bincount(flat, minlength=len(places) * (BINS + 1)).reshape(len(places), -1)[:, :BINS]
                 above = np.cumsum(count[:, ::-1], axis=1)[:, ::-1] - count
                 r, b = np.nonzero((count > 0) & (above < need[:, None]))
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[r]), pa.array(b.astype(np.int64)), pa.array(count[r, b].astype(np.int64))],
-                                                 ["query_id", "bin", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), block)), pa.array(places[r]), pa.array(b.astype(np.int64)),
+                                                  pa.array(count[r, b].astype(np.int64))], ["block", "pos", "bin", "n"])
 
     return run
 
@@ -95,23 +103,24 @@ def _histogram(span: int, width: int):
 def _select(batches: Batches) -> Batches:
     """Candidates above the kth score, and of those that equal it the smallest ids still needed."""
     for batch in batches:
-        for q_ids, c_ids, s, kth, need, other in _strips(batch):
+        for (block, places), c_ids, s, kth, need, other in _strips(batch):
             equal = (s == kth[:, None]) & other
             equal &= np.cumsum(equal, axis=1) <= need[:, None]
             r, c = np.nonzero(((s > kth[:, None]) & other & (need > 0)[:, None]) | equal)
-            yield pa.RecordBatch.from_arrays([pa.array(q_ids[r]), pa.array(c_ids[c]), pa.array([int(x) for x in s[r, c]], pa.int64())],
-                                             ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), block)), pa.array(places[r]), pa.array(c_ids[c]),
+                                              pa.array([int(x) for x in s[r, c]], pa.int64())], ["block", "pos", "vec_id", "score"])
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = 64) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k highest inner products of each query, ties to the smaller id.
 
-    Vectors are quantised to ``floor(scale * x)`` first. A candidate with the query's id is no
-    candidate of it. Null ids, null vectors and vectors with a null or non-finite component take
-    no part; vectors of different dimension are not compared; an id that comes twice counts once,
-    with its smallest vector. Scores beyond 2^61 stay at that bound. Fewer than k
-    candidates: all of them. Empty tables give an empty result.
+    Vectors are quantised to ``floor(scale * x)`` first. A candidate with the query's id and vector is
+    the query itself, however often it comes, and no candidate of it; other rows with its id are candidates. Rows
+    that repeat count as often as they come; a query that repeats is one, and an id with several
+    vectors is a query for each. Null ids, null vectors and vectors with a null or non-finite
+    component take no part; vectors of different dimension are not compared. Scores beyond a bigint
+    stay at its bounds. Fewer than k candidates: all of them. Empty tables give an empty result.
 
     Each pass scores all blocks of queries against all blocks of candidates and sums one
     histogram per query; the bin that holds the kth score becomes the range of the next pass,
@@ -121,10 +130,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
     def prepared(rows: DataFrame) -> DataFrame:
         v = quantised(F.col(vector_col), scale)
         return (rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
-                .where("v is not null").groupBy("vec_id").agg(F.min("v").alias("v"))
-                .select("vec_id", F.size("v").alias("dim"), "v"))
+                .where("v is not null").select("vec_id", F.size("v").alias("dim"), "v"))
 
-    q, c = prepared(queries), prepared(candidates)
+    q, c = prepared(queries).distinct(), prepared(candidates)
 
     def measured(rows: DataFrame) -> tuple[int, float]:
         norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
@@ -138,8 +146,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
     bound = int(min(norm_q * norm_c * (1 + 1e-9) + 1, MOST))
     span = 2 * bound + 1
     width = -(-span // BINS)
-    rows_of = qb.select("block", F.posexplode("ids").alias("pos", "query_id"))
-    state = rows_of.select("query_id", F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need"))
+    rows_of = qb.select("block", F.posexplode("ids").alias("at", "query_id")).select("block", F.col("at").cast("long").alias("pos"), "query_id")
+    state = rows_of.select("block", "pos", F.lit(-bound).cast("long").alias("lo"), F.lit(k).cast("long").alias("need"))
 
     # Every block of candidates goes to every block of queries of its dimension, as the stated
     # query set asks. The cells of this grid are the join key, so no dimension is a hot key.
@@ -153,25 +161,28 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str =
 
     def tiles(state: DataFrame) -> DataFrame:
         known = F.struct("pos", F.coalesce("lo", F.lit(0)).alias("lo"), F.coalesce("need", F.lit(0)).alias("need"))
-        states = rows_of.join(state, "query_id", "left").groupBy("block").agg(F.array_sort(F.collect_list(known)).alias("s"))
+        states = rows_of.join(state, ["block", "pos"], "left").groupBy("block").agg(F.array_sort(F.collect_list(known)).alias("s"))
         left = qb.join(states, "block").select("block", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
                                                F.col("s.lo").alias("lo"), F.col("s.need").alias("need"))
-        left = cells(left, "down", down_cells, "across", across).drop("block")
+        left = cells(left, "down", down_cells, "across", across)
         return left.join(right, ["dim", "down", "across"]).drop("down", "across")
 
     while True:
-        counts = tiles(state).mapInArrow(_histogram(span, width), "query_id bigint, bin bigint, n bigint")
-        counts = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        downward = Window.partitionBy("query_id").orderBy(F.col("bin").desc())
+        counts = tiles(state).mapInArrow(_histogram(span, width), "block bigint, pos bigint, bin bigint, n bigint")
+        counts = counts.groupBy("block", "pos", "bin").agg(F.sum("n").alias("n"))
+        downward = Window.partitionBy("block", "pos").orderBy(F.col("bin").desc())
         upto = counts.withColumn("upto", F.sum("n").over(downward))
-        total = F.max("upto").over(Window.partitionBy("query_id"))
-        cut = upto.withColumn("total", total).join(state, "query_id").withColumn("want", F.least("need", "total"))
+        total = F.max("upto").over(Window.partitionBy("block", "pos"))
+        cut = upto.withColumn("total", total).join(state, ["block", "pos"]).withColumn("want", F.least("need", "total"))
         cut = cut.where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want")))
-        state = landed(cut.select("query_id", (F.col("lo") + F.col("bin") * width).alias("lo"),
+        # a bin's distance from the lowest score may be beyond a bigint, its place is not
+        begin = (F.col("lo").cast("decimal(38,0)") + F.col("bin").cast("decimal(19,0)") * F.lit(width).cast("decimal(19,0)")).cast("long")
+        state = landed(cut.select("block", "pos", begin.alias("lo"),
                                   (F.col("want") - (F.col("upto") - F.col("n"))).alias("need")), "state")
         if width == 1:
             break
         span, width = width, -(-width // BINS)
-    found = tiles(state).mapInArrow(_select, "query_id bigint, vec_id bigint, score bigint")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = tiles(state).mapInArrow(_select, "block bigint, pos bigint, vec_id bigint, score bigint")
+    best = Window.partitionBy("block", "pos").orderBy(F.col("score").desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.join(rows_of, ["block", "pos"]).select("query_id", "rank", "vec_id", "score")
