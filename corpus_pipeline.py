@@ -8,7 +8,7 @@ lines of them (line dedup).
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepulse.llm import bpe, decontam, linededup, simhash, toxicity
@@ -34,20 +34,28 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.select(*[new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
+def row_key() -> Column:
+    """Tells rows apart that share an id; rows with the same id and text are one document."""
+    return F.xxhash64("doc_id", "text")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id. Rows without an id or a text stay.
 
     Texts without a word, as line dedup leaves copies, share a fingerprint and so are copies of each other.
+    Rows that share an id are judged each.
     """
-    marked = landed(simhash.near_duplicates(docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull())), "near-copies")
-    others = marked.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    keyed = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.struct("doc_id", row_key().alias("key")).alias("row"), "text")
+    marked = landed(simhash.near_duplicates(keyed, "row"), "near-copies")
+    others = marked.where(F.col("id") != F.col("component")).select("id.*").distinct()
+    return docs.join(others, (docs["doc_id"] == others["doc_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == others["key"]), "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no exact or edited copy of a benchmark item."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no exact or edited copy of a benchmark item. Rows that share an id are judged each."""
+    keyed = docs.select(row_key().alias("key"), "text")
+    found = decontam.contaminated(keyed, table(spark, sf_dir, "benchmark"), "key").select("id").distinct()
+    return docs.join(found, row_key() == found["id"], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
