@@ -23,7 +23,7 @@ def test_queries_are_registered():
     import __spark_entry__ as contract
 
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 ROWS = [(1, None), (2, ""), (3, "own text of three"), (3, "own text of three"), (None, "no id"), (None, None),
@@ -62,6 +62,17 @@ def test_stages_take_effect(spark, sf):
     assert {r.doc_id: (r.n_tokens, r.n_decoded) for r in encoded} == {1: (2, 9), 2: (0, 0)}
 
 
+def test_rows_that_share_an_id_are_judged_each(spark, sf):
+    stages = dict(corpus_pipeline.STAGES)
+    text, other = " ".join(f"word{i}" for i in range(60)), " ".join(f"other{i * i}" for i in range(60))
+    docs = documents(spark, (1, text), (3, text), (3, other), (None, text))
+    assert sorted(((r.doc_id, r.text) for r in stages["simhash_near_dedup"](spark, docs, sf).collect()), key=str) == sorted(
+        [(1, text), (3, other), (None, text)], key=str)
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("item_id = 2").first().text
+    leaks = documents(spark, (1, f"before {item} after"), (1, text), (None, other))
+    assert sorted(str(r.doc_id) for r in stages["benchmark_decontamination"](spark, leaks, sf).collect()) == ["1", "None"]
+
+
 def test_one_of_the_copies_that_line_dedup_empties_stays(spark, sf):
     stages = dict(corpus_pipeline.STAGES)
     text = "A paragraph that is longer than twenty characters"
