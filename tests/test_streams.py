@@ -14,7 +14,7 @@ from tradepulse.plans import windows as tables
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
-from tradepulse.streaming import firstdays, processors
+from tradepulse.streaming import firstdays, stores
 from tradepulse.streaming.jobs import Job, each_batch, late_rows
 
 
@@ -40,6 +40,14 @@ def finish(spark, rows_, path):
     return spark.read.schema(rows_.schema).parquet(f"{path}/out")
 
 
+def finish_batches(spark, rows_, path, form, **each):
+    """Work a stream off by a window form and read what it wrote, batch by batch in one frame."""
+    work = form(spark, str(path / "state"), out.window_table_batch(f"{path}/out"), **each)
+    job = Job("t", lambda _s: rows_, lambda r: r, lambda r: each_batch(r, work), f"{path}/cp")
+    job.run(spark, timeout=300)
+    return spark.read.parquet(f"{path}/out").drop("batch_id").withColumn("cur_date", F.col("cur_date").cast("string"))
+
+
 def test_new_flag_over_several_batches(spark, tmp_path):
     items = some(11, 200)
     feed(pages(spark, items), tmp_path / "in", 3)
@@ -65,55 +73,118 @@ def test_new_flag_of_a_repeated_batch(spark, tmp_path):
     assert seen[0] == seen[1] == fixed_by_hand(items)
 
 
-def test_traffic_stream_equals_batch_on_closed_windows(spark, tmp_path):
+def closed(batch, items, late):
+    return batch.where(F.unix_millis(F.to_timestamp("edt")) <= max(i[4] for i in items) - late)
+
+
+def test_window_streams_equal_batch_on_closed_windows(spark, tmp_path):
     items = some(12)
     feed(pages(spark, items), tmp_path / "in", 4)
-    got = finish(spark, tables.traffic_stream(page_stream(spark, tmp_path / "in"), "1 hour"), tmp_path)
-    batch = tables.traffic(pages(spark, items), "1 hour")
-    last = max(i[4] for i in items) - 3000
-    closed = batch.where(F.unix_millis(F.to_timestamp("edt")) <= last)
-    assert rows(got) == rows(closed)
+    for name, form, batch, late, size in (("traffic", tables.traffic_batches, tables.traffic, 3000, "1 hour"),
+                                          ("home", tables.home_detail_batches, tables.home_detail, 5000, "1 hour"),
+                                          ("login", tables.logins_batches, tables.logins, 5000, "1 day")):
+        got = finish_batches(spark, page_stream(spark, tmp_path / "in"), tmp_path / name, form, size=size)
+        want = closed(batch(pages(spark, items), size), items, late)
+        assert rows(got, *want.columns) == rows(want), name
+
+
+def test_a_device_with_a_third_of_all_rows(spark, tmp_path):
+    """Its rows are merged before the shuffle: what the store learns of it is one row a day."""
+    start = ms("2024-01-01T00:00:00")
+    hot = [("hot" if i % 3 == 0 else f"m{i % 50}", "0", "home", None, start + i * 400) for i in range(3000)]
+    feed(pages(spark, hot), tmp_path / "in", 2)
+    got = finish_batches(spark, page_stream(spark, tmp_path / "in"), tmp_path, tables.traffic_batches)
+    want = closed(tables.traffic(pages(spark, hot)), hot, 3000)
+    assert rows(got, *want.columns) == rows(want)
+    seen = stores.SeenDays(spark, f"{tmp_path}/state/seen", [T.StructField("mid", T.StringType())])
+    assert seen.raw().where("mid = 'hot'").count() == 1
 
 
-def test_sku_deltas_keep_state_between_batches(spark, tmp_path):
+def test_folded_stores_give_the_same(spark, tmp_path):
+    """Windows closed and days past leave the tables; results do not change."""
+    items = some(14, 150)
+    feed(pages(spark, items), tmp_path / "in", 6)
+    results = []
+    for name, every in (("plain", 100), ("folded", 2)):
+        path = tmp_path / name
+        work = tables.logins_batches(spark, str(path / "state"), out.window_table_batch(f"{path}/out"), "1 day", compact_every=every)
+        Job("t", lambda _s: page_stream(spark, tmp_path / "in"), lambda r: r, lambda r: each_batch(r, work), f"{path}/cp").run(spark, timeout=300)  # noqa: B023
+        results.append(rows(spark.read.parquet(f"{path}/out").drop("batch_id")))
+    assert results[0] == results[1]
+    assert os.path.exists(tmp_path / "folded" / "state" / "seen" / "base")
+
+
+LINE = ["id", "sku_id", "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts"]
+
+
+def finish_deltas(spark, lines, path, **keep):
+    raw = topics.raw_text(spark, topics.Topic("detail", str(path / "in"), per_trigger=1))
+    work = tables.sku_deltas_batches(spark, str(path / "state"), lambda r, n: r.write.mode("overwrite").parquet(f"{path}/out/batch_id={n}"), **keep)
+    Job("t", lambda _s: topics.fact_reread(raw, LINE), lambda r: r, lambda r: each_batch(r, work), f"{path}/cp").run(spark, timeout=300)
+    return spark.read.parquet(f"{path}/out")
+
+
+def test_sku_deltas_keep_versions_between_batches(spark, tmp_path):
     rnd = random.Random(5)
     start = ms("2024-01-01T00:00:00") // 1000
     items = [(rnd.choice("abc"), rnd.choice("xy"), str(rnd.randint(1, 90)), str(rnd.randint(1, 5)), str(rnd.randint(1, 90)),
               str(rnd.randint(0, 5)), str(rnd.randint(0, 5)), start + t) for t in rnd.sample(range(3000), 60)]
-    names = ["id", "sku_id", "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts"]
-    df = spark.createDataFrame(items, S.fact_schema(names))
+    df = spark.createDataFrame(items, S.fact_schema(LINE))
     feed(df, tmp_path / "in", 3)
-    raw = topics.raw_text(spark, topics.Topic("detail", str(tmp_path / "in"), per_trigger=1))
-    lines = topics.fact_reread(raw, names).withColumn("row_time", F.timestamp_seconds("ts"))
-    deltas = processors.version_deltas(tables.sku_amounts(lines).withWatermark("row_time", "5 seconds"), keep_ms=10**9)
-    got = finish(spark, deltas.select("id", "sku_id", F.unix_seconds("event_time").alias("ts"), "original_amount", "order_amount"), tmp_path)
-    want = tables.sku_order_deltas(df).select("id", "sku_id", F.unix_seconds("row_time").alias("ts"), "original_amount", "order_amount")
-    assert rows(got) == rows(want)
+    got = finish_deltas(spark, df, tmp_path, keep=None)
+    cols = ["id", "sku_id", F.unix_seconds("row_time").alias("ts"), "original_amount", "order_amount"]
+    assert rows(got.select(*cols)) == rows(tables.sku_order_deltas(df).select(*cols))
 
 
 def test_forgotten_versions_start_again(spark, tmp_path):
+    """In one batch or in many, a version too old for the next counts no more."""
     start = ms("2024-01-01T00:00:00") // 1000
-    names = ["id", "sku_id", "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount", "ts"]
     line = lambda total, t, i="a": (i, "x", "1", "1", total, "0", "0", start + t)
-    df = spark.createDataFrame([line("10", 0), line("1", 500, "b"), line("1", 600, "b"), line("15", 700)], S.fact_schema(names))
-    feed(df, tmp_path / "in", 4)
-    raw = topics.raw_text(spark, topics.Topic("detail", str(tmp_path / "in"), per_trigger=1))
-    rows_ = tables.sku_amounts(topics.fact_reread(raw, names)).withWatermark("row_time", "5 seconds")
-    got = finish(spark, processors.version_deltas(rows_, keep_ms=30_000).select("id", "order_amount"), tmp_path)
-    assert sorted((r.id, int(r.order_amount)) for r in got.collect()) == [("a", 10), ("a", 15), ("b", 1), ("b", 1)]
+    df = spark.createDataFrame([line("10", 0), line("11", 30), line("1", 500, "b"), line("1", 600, "b"), line("15", 700), line("16", 731)], S.fact_schema(LINE))
+    want = [("a", 1), ("a", 10), ("a", 15), ("a", 16), ("b", 1), ("b", 1)]
+    for pieces in (6, 1):
+        feed(df, tmp_path / str(pieces) / "in", pieces)
+        got = finish_deltas(spark, df, tmp_path / str(pieces))
+        assert sorted((r.id, int(r.order_amount)) for r in got.collect()) == want
+    assert sorted((r.id, int(r.order_amount)) for r in tables.sku_order_deltas(df, keep="30 seconds").collect()) == want
+
+
+def test_late_versions_telescope_in_order_of_arrival(spark, tmp_path):
+    """An old version that comes in a later batch is what the next one is compared with."""
+    schema = S.fact_schema([*LINE])
+    line = lambda total, t: ("a", "x", "1", "1", total, "0", "0", 1_704_067_200 + t)
+    store, seen = tmp_path / "state", []
+    work = tables.sku_deltas_batches(spark, str(store), lambda r, n: seen.append([int(x.order_amount) for x in r.orderBy("row_time").collect()]), keep=None)
+    for n, batch in enumerate(([line("10", 0), line("30", 30)], [line("20", 20)], [line("40", 40)])):
+        work(topics.fact_reread(spark.createDataFrame(batch, schema).select(F.to_json(F.struct(*LINE)).alias("value")), LINE), n)
+    assert seen == [[10, 20], [-10], [20]]
 
 
 def test_restart_gives_the_same_as_one_run(spark, tmp_path):
     items = some(13, 120)
     feed(pages(spark, items), tmp_path / "all", 4)
     (tmp_path / "in").mkdir()
-    one = finish(spark, tables.traffic_stream(page_stream(spark, tmp_path / "all"), "1 hour"), tmp_path / "one")
+    one = finish_batches(spark, page_stream(spark, tmp_path / "all"), tmp_path / "one", tables.traffic_batches, size="1 hour")
     for n in range(4):
         (tmp_path / "in" / f"part-{n}.txt").write_text((tmp_path / "all" / f"part-{n}.txt").read_text())
-        two = finish(spark, tables.traffic_stream(page_stream(spark, tmp_path / "in"), "1 hour"), tmp_path / "two")
+        two = finish_batches(spark, page_stream(spark, tmp_path / "in"), tmp_path / "two", tables.traffic_batches, size="1 hour")
     assert rows(one) == rows(two)
 
 
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    """What a batch leaves behind is overwritten when it runs again after a failure."""
+    items = some(15, 90)
+    parts = [items[:50], items[50:]]
+    results = []
+    for name, runs in (("once", [0, 1]), ("again", [0, 0, 1, 1])):
+        path = tmp_path / name
+        work = tables.traffic_batches(spark, str(path / "state"), out.window_table_batch(f"{path}/out"), "1 hour")
+        for n in runs:
+            work(pages(spark, parts[n]), n)
+        results.append(rows(spark.read.parquet(f"{path}/out").drop("batch_id")))
+    assert results[0] == results[1] and results[0]
+
+
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     """The watermark that tells late rows is the one of the batch before."""
     t = ms("2024-01-01T00:00:00")

@@ -80,6 +80,33 @@ def delta_multi(spark, sf):
         "activity_reduce_amount", "coupon_reduce_amount", "order_amount")
 
 
+#: How long a version of an order line is remembered here; versions of the given lines are days apart.
+KEEP = "20 days"
+
+
+def ttl(c: str) -> str:
+    return f"{c} - coalesce(CASE WHEN row_time <= lag(row_time) OVER v + INTERVAL {KEEP} THEN lag({c}) OVER v END, 0)"
+
+
+TTL = f"""
+WITH {sql.DETAILS}, {DELTAS},
+t AS (SELECT id, sku_id, epoch_ms(row_time) AS ts, {ttl('ori')} AS ori, {ttl('act')} AS act, {ttl('cou')} AS cou, {ttl('tot')} AS tot FROM amt
+      WINDOW v AS (PARTITION BY id ORDER BY row_time, pos, ori, act, cou, tot, sku_id))
+SELECT id, sku_id, ts, CAST(ori AS DOUBLE) AS original_amount, CAST(act AS DOUBLE) AS activity_reduce_amount,
+       CAST(cou AS DOUBLE) AS coupon_reduce_amount, CAST(tot AS DOUBLE) AS order_amount FROM t"""
+
+
+def delta_columns(deltas):
+    return deltas.select("id", "sku_id", F.unix_millis("row_time").alias("ts"), "original_amount",
+                         "activity_reduce_amount", "coupon_reduce_amount", "order_amount")
+
+
+@query("delta_ttl", TTL)
+def delta_ttl(spark, sf):
+    """A version more than KEEP after the one before counts in full again."""
+    return delta_columns(tables.sku_order_deltas(feeds.details(spark, sf), keep=KEEP))
+
+
 @query("delta_single", f"""
 WITH {sql.DETAILS}, {DELTAS}
 SELECT id, order_id, province_id, epoch_ms(row_time) AS ts, CAST(tot AS DOUBLE) AS order_amount FROM prov_delta""")

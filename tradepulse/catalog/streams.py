@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradepulse import schemas as S
-from tradepulse.catalog import aggregates, feeds, jobs, joining, sql
+from tradepulse.catalog import aggregates, feeds, jobs, joining, sql, states
 from tradepulse.catalog.registry import query
 from tradepulse.operators import joins, logsplit, parse, visitors, windows
 from tradepulse.plans import windows as tables
 from tradepulse.session import scratch_dir
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
-from tradepulse.streaming import firstdays, processors
+from tradepulse.streaming import firstdays, stores
 from tradepulse.streaming.jobs import Job, each_batch
 
 
@@ -30,6 +31,17 @@ def run(spark: SparkSession, rows: DataFrame, label: str, path: str | None = Non
     return spark.read.schema(rows.schema).parquet(f"{path}/out")
 
 
+def run_batches(spark: SparkSession, rows: DataFrame, label: str, form, schema: str) -> DataFrame:
+    """Work a stream off by a ``foreachBatch`` form, built from a folder and a writer, and read its window table."""
+    path = scratch_dir(spark, label)
+    each = form(path, out.plain_batch(f"{path}/out"))
+    Job(label, lambda _s: rows, lambda r: r, lambda r: each_batch(r, each), f"{path}/checkpoint").run(spark)
+    return spark.read.schema(schema).parquet(f"{path}/out").drop("batch_id")
+
+
+WINDOW_COLUMNS = "stt string, edt string, cur_date string"
+
+
 def page_stream(spark, sf) -> DataFrame:
     return feeds.pages(feeds.stream(spark, sf, "events"))
 
@@ -101,10 +113,17 @@ def stream_interval_join(spark, sf):
 WITH {sql.EVENTS}, p AS (SELECT *, lag(CAST(ts AS DATE)) OVER (PARTITION BY mid ORDER BY ts, event_id) AS last FROM pages)
 SELECT mid, ms AS ts, CAST(CASE WHEN last IS NULL OR last <> CAST(ts AS DATE) THEN 1 ELSE 0 END AS BIGINT) AS uv_ct FROM p""")
 def stream_uv_daily(spark, sf):
-    views = (visitors.page_columns(page_stream(spark, sf)).select("mid", "row_time")
-             .withWatermark("row_time", windows.LATENESS["traffic"]))
-    marked = processors.daily_unique(views, ["mid"])
-    return run(spark, marked.select("mid", F.unix_millis("event_time").alias("ts"), "uv_ct"), "uv-daily")
+    path = scratch_dir(spark, "uv-daily")
+    seen = stores.SeenDays(spark, f"{path}/seen", [T.StructField("mid", T.StringType())])
+    views = page_stream(spark, sf).select(F.col("common")["mid"].alias("mid"), "ts", "offset", F.timestamp_millis("ts").alias("row_time"))
+
+    def each(batch, batch_id):
+        fresh = seen.add(visitors.day_firsts(batch, ["mid"], ["offset"]), batch_id)
+        marked = visitors.with_first(batch, fresh, ["mid"], ["row_time", "offset"], "uv_ct")
+        out.plain_batch(f"{path}/out")(marked.select("mid", "ts", "uv_ct"), batch_id)
+
+    Job("uv-daily", lambda _s: views, lambda r: r, lambda r: each_batch(r, each), f"{path}/checkpoint").run(spark)
+    return spark.read.schema("mid string, ts bigint, uv_ct bigint").parquet(f"{path}/out").drop("batch_id")
 
 
 @query("stream_restart", closed(f"""
@@ -145,19 +164,35 @@ def stream_log_split(spark, sf):
 
 @query("stream_traffic", closed(aggregates.traffic_sql("1 hour"), "3 seconds", size="1 hour"))
 def stream_traffic(spark, sf):
-    return run(spark, tables.traffic_stream(page_stream(spark, sf), "1 hour"), "traffic")
+    return run_batches(spark, page_stream(spark, sf), "traffic", lambda p, w: tables.traffic_batches(spark, p, w, "1 hour"),
+                       f"{WINDOW_COLUMNS}, vc string, ch string, ar string, is_new string, uv_ct bigint, sv_ct bigint, pv_ct bigint, dur_sum bigint")
 
 
 @query("stream_home_detail", closed(aggregates.home_sql("1 hour"), "5 seconds",
                                     of="(SELECT * FROM pages WHERE page_id IN ('home', 'good_detail'))", size="1 hour"))
 def stream_home_detail(spark, sf):
-    return run(spark, tables.home_detail_stream(page_stream(spark, sf), "1 hour"), "home-detail")
+    return run_batches(spark, page_stream(spark, sf), "home-detail", lambda p, w: tables.home_detail_batches(spark, p, w, "1 hour"),
+                       f"{WINDOW_COLUMNS}, home_uv_ct bigint, good_detail_uv_ct bigint")
 
 
 @query("stream_login", closed(aggregates.login_sql("1 day"), "5 seconds", size="1 day",
                               of="(SELECT * FROM pages WHERE last_page_id IS NULL OR last_page_id = 'login')"))
 def stream_login(spark, sf):
-    return run(spark, tables.logins_stream(page_stream(spark, sf), "1 day"), "login")
+    return run_batches(spark, page_stream(spark, sf), "login", lambda p, w: tables.logins_batches(spark, p, w, "1 day"),
+                       f"{WINDOW_COLUMNS}, back_ct bigint, uu_ct bigint")
+
+
+@query("stream_cart_uu", closed(aggregates.CART_UU, "1 second", "row_time", "(SELECT * FROM lines WHERE l_tax <> 0.08)"))
+def stream_cart_uu(spark, sf):
+    carts = parse.parse_json(feeds.cart_fact_texts(feeds.stream(spark, sf, "lineitem")), S.fact_schema(S.CART_ADD))
+    return run_batches(spark, carts, "cart-uu", lambda p, w: tables.cart_users_batches(spark, p, w), f"{WINDOW_COLUMNS}, cart_add_uu_ct bigint")
+
+
+@query("stream_register", closed(aggregates.register_sql("1 hour"), "5 seconds", size="1 hour",
+                                 of="(SELECT * FROM events WHERE event_type = 'signup' AND CAST(regexp_extract(props, '[0-9]+') AS BIGINT) <> 13)"))
+def stream_register(spark, sf):
+    facts = parse.parse_json(feeds.register_texts(feeds.stream(spark, sf, "events")), S.strings("create_time", "id"))
+    return run(spark, tables.registers_stream(facts, "1 hour"), "register")
 
 
 @query("stream_keyword", closed(aggregates.KEYWORDS, "5 seconds",
@@ -171,22 +206,39 @@ def late_lines(sf_stream: DataFrame) -> DataFrame:
     return topics.fact_reread(feeds.detail_texts(sf_stream), S.ORDER_DETAIL)
 
 
-DECADE_MS = 10 * 366 * 24 * 3600 * 1000
+CLOSED_LINES = "w + INTERVAL '10 seconds' <= (SELECT max(row_time) FROM details) - INTERVAL '5 seconds'"
 
 
-@query("stream_sku_order", closed(f"""
+@query("stream_sku_order", f"""
 WITH {sql.DETAILS}, {aggregates.DELTAS}, {joining.DIMS},
 g AS (SELECT {sql.bucket('row_time')} AS w, sku_id, {aggregates.SKU_SUMS} FROM sku_delta GROUP BY 1, 2)
-SELECT {sql.win('w')}, sku_id, original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount FROM g""",
-                                  "5 seconds", "row_time", "details"))
+SELECT {sql.win('w')}, g.sku_id, original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount,
+       {joining.chained()} FROM g LEFT JOIN chain ON g.sku_id = chain.sku_id WHERE {CLOSED_LINES}""")
 def stream_sku_order(spark, sf):
-    rows = tables.sku_orders_stream(late_lines(feeds.stream(spark, sf, "lineitem")), feeds.sku_dims(spark, sf),
-                                    keep_ms=DECADE_MS)
-    return run(spark, rows, "sku-order").select("stt", "edt", "cur_date", "sku_id", *windows.SKU_AMOUNTS)
-
-
-@query("stream_province_order", closed(aggregates.province_sql("10 seconds"), "5 seconds", "row_time", "details"))
+    """Versions are kept for good, as the batch form does; ``stream_delta_ttl`` forgets them."""
+    money = ", ".join(f"{a} decimal(18,2)" for a in windows.SKU_AMOUNTS)
+    names = ", ".join(f"{c} string" for c in joining.CHAIN_COLUMNS)
+    form = lambda p, w: tables.sku_orders_batches(spark, p, w, lambda: feeds.sku_dims(spark, sf), keep=None)
+    return run_batches(spark, late_lines(feeds.stream(spark, sf, "lineitem")), "sku-order", form, f"{WINDOW_COLUMNS}, sku_id string, {money}, {names}")
+
+
+@query("stream_province_order", f"""
+WITH {sql.DETAILS}, {aggregates.DELTAS},
+g AS (SELECT {sql.bucket('row_time')} AS w, province_id, CAST(count(DISTINCT order_id) AS BIGINT) AS order_count,
+             CAST(sum(tot) AS DOUBLE) AS order_amount FROM prov_delta GROUP BY 1, 2)
+SELECT {sql.win('w')}, province_id, n_name AS province_name, order_count, order_amount
+FROM g LEFT JOIN nation ON province_id = CAST(n_nationkey AS VARCHAR) AND n_nationkey <> 4 WHERE {CLOSED_LINES}""")
 def stream_province_order(spark, sf):
-    rows = tables.province_orders_stream(late_lines(feeds.stream(spark, sf, "lineitem")), feeds.provinces(spark, sf),
-                                         keep_ms=DECADE_MS)
-    return run(spark, rows, "province-order").drop("province_name")
+    form = lambda p, w: tables.province_orders_batches(spark, p, w, lambda: feeds.provinces(spark, sf), keep=None)
+    return run_batches(spark, late_lines(feeds.stream(spark, sf, "lineitem")), "province-order", form,
+                       f"{WINDOW_COLUMNS}, province_id string, order_count bigint, order_amount decimal(18,2), province_name string")
+
+
+@query("stream_delta_ttl", states.TTL)
+def stream_delta_ttl(spark, sf):
+    """The stream form of ``delta_ttl``."""
+    path = scratch_dir(spark, "delta-ttl")
+    rows = late_lines(feeds.stream(spark, sf, "lineitem"))
+    each = tables.sku_deltas_batches(spark, path, out.plain_batch(f"{path}/out"), keep=states.KEEP)
+    Job("delta-ttl", lambda _s: rows, lambda r: r, lambda r: each_batch(r, each), f"{path}/checkpoint").run(spark)
+    return states.delta_columns(spark.read.parquet(f"{path}/out"))

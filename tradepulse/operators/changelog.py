@@ -192,14 +192,18 @@ def with_previous(rows: DataFrame, key: Sequence[str], order: Sequence[str],
 
 
 def version_deltas(rows: DataFrame, key: Sequence[str], order: Sequence[str],
-                   amounts: Sequence[str], slice_by: Column) -> DataFrame:
+                   amounts: Sequence[str], slice_by: Column, keep: str | None = None) -> DataFrame:
     """Replace each amount by its difference to the key's previous version.
 
     Summing deltas over any span gives the net change, so corrections of an order line do
-    not count twice. A missing amount counts as zero.
+    not count twice. A missing amount counts as zero. With ``keep`` a version is forgotten after that
+    much event time (``order[0]``): one that comes later counts in full again.
     """
     filled = rows.withColumns({a: fx.money_or_zero(a) for a in amounts})
-    seen = with_previous(filled, key, order, amounts, slice_by)
+    time = [order[0]] if keep else []
+    seen = with_previous(filled, key, order, [*amounts, *time], slice_by)
+    fresh = F.col(order[0]) <= F.col(f"prev_{order[0]}") + F.expr(f"INTERVAL {keep}") if keep else F.lit(True)
+    previous = lambda c: F.coalesce(F.when(fresh, F.col(f"prev_{c}")), F.lit(0))
     return seen.select(*[
-        (F.col(c) - F.coalesce(F.col(f"prev_{c}"), F.lit(0))).cast("decimal(16,2)").alias(c)
+        (F.col(c) - previous(c)).cast("decimal(16,2)").alias(c)
         if c in amounts else F.col(c) for c in rows.columns])

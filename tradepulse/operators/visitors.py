@@ -4,7 +4,7 @@ The stateful job keeps one small value per device or user and reads rows in orde
 complete data each of these steps has a closed form that needs no ordered walk through a
 key's rows, only minima per key and day. That is what is written here: aggregations with
 map-side combine, so a device that sends a third of all rows costs no task more than its
-share. The streaming twins are in :mod:`tradepulse.streaming.processors`.
+share. Streams work off their micro-batches with the same steps, see :mod:`tradepulse.streaming.stores`.
 """
 
 from __future__ import annotations
@@ -63,10 +63,16 @@ def flag_daily_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` must be unique within a key. The join is on key and day against one row per
     key and day; where one of them is hot, AQE splits the row side.
     """
-    dated = rows.withColumn("_day", F.to_date(time))
-    firsts = dated.groupBy(*keys, "_day").agg(F.min(F.struct(*order)).alias("_first"))
+    firsts = rows.groupBy(*keys, F.to_date(time).alias("_day")).agg(F.min(F.struct(*order)).alias("_f"))
+    firsts = firsts.select(*keys, "_day", "_f.*")
+    return with_first(rows, firsts, keys, order, out, time)
+
+
+def with_first(rows: DataFrame, firsts: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, time: str = "row_time") -> DataFrame:
+    """Add ``out`` = 1 on the rows that are, by ``order``, the row of ``firsts`` of their key and day."""
+    first = firsts.select(*keys, "_day", F.struct(*order).alias("_first"))
     hit = F.struct(*order) == F.col("_first")
-    return (dated.join(firsts, [*keys, "_day"], "left")
+    return (rows.withColumn("_day", F.to_date(time)).join(first, [*keys, "_day"], "left")
             .select(*rows.columns, F.when(hit, 1).otherwise(0).cast("bigint").alias(out)))
 
 
@@ -100,6 +106,12 @@ def daily_uniques(rows: DataFrame, keys: Sequence[str], time: str = "row_time")
     return (rows.groupBy(*keys, F.to_date(time).alias("day")).agg(F.min(time).alias(time)))
 
 
+def day_firsts(rows: DataFrame, keys: Sequence[str], rest: Sequence[str] = (), time: str = "row_time") -> DataFrame:
+    """The first row of each key and day: ``keys, _day``, its time and ``rest``, which also settles equal times."""
+    first = F.min(F.struct(time, *rest)).alias("_f") if rest else F.struct(F.min(time).alias(time)).alias("_f")
+    return rows.groupBy(*keys, F.to_date(time).alias("_day")).agg(first).select(*keys, "_day", "_f.*")
+
+
 def home_detail_uniques(pages: DataFrame, home: str = "home") -> DataFrame:
     """Daily unique devices of the home and the detail page, each counted by itself."""
     kinds = pages.withColumn("is_home", F.col("page_id") == home)
@@ -115,8 +127,14 @@ def returning_users(visits: DataFrame, key: str = "uid", away_days: int = 7) ->
     Absence is measured from midnight of the last visited day. The lag runs over one row
     per user and day, so a user's group is no longer than the calendar.
     """
-    days = daily_uniques(visits, [key])
-    last = F.lag("day").over(Window.partitionBy(key).orderBy("day"))
+    days = daily_uniques(visits, [key]).withColumnRenamed("day", "_day")
+    return returned(days, key, away_days)
+
+
+def returned(days: DataFrame, key: str, away_days: int, known: str | None = None) -> DataFrame:
+    """``back_ct`` and ``uu_ct`` of users' days (``_day``, ``row_time``); ``known`` names the last day known of before."""
+    last = F.lag("_day").over(Window.partitionBy(key).orderBy("_day"))
+    last = last if known is None else F.greatest(last, F.col(known))
     away = F.col("row_time") > last.cast("timestamp") + F.expr(f"INTERVAL {away_days} DAYS")
     return days.select(key, "row_time", F.when(away, 1).otherwise(0).cast("bigint").alias("back_ct"),
                        F.lit(1).cast("bigint").alias("uu_ct"))

@@ -73,6 +73,14 @@ def window_table_batch(path: str):
     return write
 
 
+def plain_batch(path: str):
+    """``foreachBatch`` writer of parquet rows; a repeated batch overwrites its own directory."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def fan_out_batch(splits, paths: dict[str, str]):
     """``foreachBatch`` writer of one frame into several topics.
 
