@@ -170,3 +170,31 @@ def test_config_in_force_with_epoch_times_slices_and_snapshot(spark):
     before = steps.unionByName(changelog.snapshot_steps(spark.createDataFrame([("t", "zero")], "source_table string, sink_columns string"), "ts_ms"))
     early = routing.in_force(df, before, ["source_table"], ["table"], "ts_ms", at).where(F.col("ts") < start + 10)
     assert rows(early, "cfg_sink_columns") == [("zero",), ("zero",)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_index_and_slices_find_the_same_config(spark, seed):
+    """Binary search in a broadcast history beside slices of time and a walk through both."""
+    rnd = random.Random(seed)
+    steps = [(rnd.choice("cud"), rnd.randrange(400), rnd.choice("abc"), f"v{n}") for n in range(60)]
+    asked = [(rnd.choice(["a", "b", "c", "no", None]), rnd.choice([rnd.randrange(-20, 450), None]), n) for n in range(300)]
+    told = spark.createDataFrame([*steps, ("c", None, "a", "no time"), ("c", 5, None, "no key")], "op string, ts_ms bigint, source_table string, v string")
+    df = spark.createDataFrame(asked, "table string, ts bigint, n int")
+    want = []
+    for table, ts, n in asked:
+        known = [(t, op != "d", v) for op, t, key, v in steps if key == table and ts is not None and t <= ts]
+        if known and max(known, key=lambda s: s[:2])[1]:
+            last = max(known, key=lambda s: s[:2])[:2]
+            want.append((n, max((ts_, v) for t, alive, v in known for ts_ in [t] if (t, alive) == last)[1]))
+    for more in ({}, {"index_bytes": 0, "slice_by": 7}):
+        got = routing.in_force(df, told, ["source_table"], ["table"], "ts_ms", "ts", **more)
+        assert sorted((r.n, r.cfg_v) for r in got.collect()) == sorted(want), more
+
+
+def test_changes_stay_where_they_are(spark):
+    """Beside a small history no row of the change side is shuffled or sorted."""
+    steps = spark.createDataFrame([("c", 1, "t", "one")], "op string, ts_ms bigint, source_table string, v string")
+    df = spark.range(1000).select(F.lit("t").alias("table"), F.col("id").alias("ts"), F.lit("payload").alias("load"))
+    plan = routing.in_force(df, steps, ["source_table"], ["table"], "ts_ms", "ts")._jdf.queryExecution().executedPlan().toString()
+    head = plan[:plan.index("BroadcastExchange")] + plan[plan.index("Range"):] if plan.index("Range") > plan.index("BroadcastExchange") else plan[:plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in head and "Window" not in plan

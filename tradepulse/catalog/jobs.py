@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
-from tradepulse.catalog import aggregates, etl, feeds, joining, sql
+from tradepulse.catalog import aggregates, etl, feeds, joining, sources, sql
 from tradepulse.catalog.registry import query
 from tradepulse.operators import logsplit, parse
 from tradepulse.plans import base, trade
@@ -15,8 +15,10 @@ from tradepulse.session import scratch_dir
 
 @query("pipe_dim_sync", f"""
 WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table')},
+anew AS (SELECT sink_table, max(ts_ms) AS reset_at FROM steps WHERE op IN ('d', 'u') GROUP BY 1),
 r AS (SELECT place AS ts, type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
-             {sql.kept('status')}, {sql.kept('total')} FROM inf),
+             {sql.kept('status')}, {sql.kept('total')}
+      FROM inf LEFT JOIN anew USING (sink_table) WHERE reset_at IS NULL OR inf.ts * 1000 >= reset_at),
 e AS (SELECT *, max(CASE WHEN type = 'delete' THEN ts END) OVER (PARTITION BY sink_table, row_key) AS gone FROM r),
 m AS (SELECT sink_table, row_key, max_by(id, ts) FILTER (id IS NOT NULL) AS id,
              max_by(user_id, ts) FILTER (user_id IS NOT NULL) AS user_id,
@@ -25,6 +27,7 @@ m AS (SELECT sink_table, row_key, max_by(id, ts) FILTER (id IS NOT NULL) AS id,
       FROM e WHERE gone IS NULL OR ts > gone GROUP BY 1, 2)
 SELECT * FROM m WHERE coalesce(id, user_id, status, total) IS NOT NULL""")
 def dim_sync(spark, sf):
+    """The config drops tables, or creates them anew, while changes come."""
     rows = base.dim_sync(feeds.changes(feeds.routed_changes(spark, sf)), feeds.config_changes(spark, sf),
                          feeds.DATABASE)
     return rows.select("sink_table", "row_key", *[F.col("data")[c].alias(c)
@@ -68,6 +71,20 @@ def fact_router(spark, sf):
     return parse.parse_json(routed, S.strings("id", "user_id", "status", "total"), keep=["sink_table"])
 
 
+@query("pipe_fact_router_snapshot", f"""
+WITH {sql.ROUTED}, {sql.CONFIG}, {sources.until_half_way('source_table, source_type')},
+later AS (SELECT op, ts_ms, source_table, source_type, sink_table, sink_columns FROM steps WHERE ts_ms > {sources.HALF_WAY}
+          UNION ALL SELECT 'r', -1, source_table, source_type, sink_table, sink_columns FROM cur),
+{sql.in_force(source_table='table', source_type='type').replace('FROM steps', 'FROM later')}
+SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')} FROM inf""")
+def fact_router_snapshot(spark, sf):
+    """The config table was read half way through its captured changes; it tells what held before."""
+    snapshot = sources.half_snapshot(spark, sf, ["source_table", "source_type"], fact=True)
+    routed = base.fact_router(feeds.changes(feeds.routed_changes(spark, sf)), feeds.config_changes(spark, sf, fact=True),
+                              snapshot=snapshot, position=sources.half_way(spark, sf))
+    return parse.parse_json(routed, S.strings("id", "user_id", "status", "total"), keep=["sink_table"])
+
+
 @query("pipe_cart_add", f"WITH {sql.LINES}, {etl.CART_SQL} SELECT * FROM cart_add")
 def cart_add(spark, sf):
     return trade.cart_add(feeds.changes(feeds.carts(spark, sf), feeds.orders(spark, sf)))

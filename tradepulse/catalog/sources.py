@@ -12,12 +12,15 @@ from tradepulse.session import scratch_dir
 from tradepulse.sources import tables, topics
 
 
-@query("src_raw_text", "SELECT CASE WHEN doc_id % 50 = 7 THEN '' ELSE coalesce(text, '') END AS value FROM documents")
+@query("src_raw_text", """
+SELECT coalesce(text, '') AS value FROM documents
+UNION ALL SELECT '' FROM documents WHERE doc_id % 50 = 7""")
 def raw_text(spark, sf):
-    """A topic of whole texts, some of them null, as the reader gives it."""
+    """A topic of all texts with tombstones among them, as the reader gives it."""
     path = scratch_dir(spark, "raw-text")
-    texts = feeds.table(spark, sf, "documents").select(F.when(F.col("doc_id") % 50 != 7, F.col("text")).alias("value"))
-    texts.write.parquet(path)
+    docs = feeds.table(spark, sf, "documents")
+    tombstones = docs.where("doc_id % 50 = 7").select(F.lit(None).cast("string").alias("value"))
+    docs.select(F.col("text").alias("value")).unionByName(tombstones).write.parquet(path)
     return topics.raw_text(spark, topics.Topic("raw", path, file_format="parquet"), streaming=False)
 
 
@@ -33,6 +36,40 @@ def config_changes(spark, sf):
         F.col("after.sink_columns").alias("after_columns"))
 
 
+#: A place in the middle of the captured config changes.
+HALF_WAY = "(SELECT (1704067200 + max(c_custkey) // 2) * 1000 + 500 FROM customer)"
+
+
+def half_way(spark, sf) -> int:
+    return (feeds.START + feeds.table(spark, sf, "customer").agg(F.max("c_custkey")).first()[0] // 2) * 1000 + 500
+
+
+def half_snapshot(spark, sf, key, fact=False):
+    """The config table as it was half way, from a parquet export."""
+    path = scratch_dir(spark, "half-way")
+    steps = feeds.config_steps(spark, sf, fact).where(F.col("ts_ms") <= half_way(spark, sf))
+    now = changelog.current_config(steps, key, "ts_ms")
+    now.select((S.FACT_CONFIG if fact else S.DIM_CONFIG).names).write.parquet(path)
+    return tables.snapshot(spark, path)
+
+
+def until_half_way(key):
+    return sql.current(key).replace("FROM steps)", f"FROM steps WHERE ts_ms <= {HALF_WAY})")
+
+
+@query("src_snapshot_then_changes", f"""
+WITH {sql.CONFIG}, {until_half_way('source_table')}
+SELECT 'r' AS op, {HALF_WAY} AS ts_ms, CAST(NULL AS VARCHAR) AS before_table, source_table AS after_table, sink_columns AS after_columns FROM cur
+UNION ALL
+SELECT op, ts_ms, CASE WHEN op IN ('u', 'd') THEN before_table END, CASE WHEN op <> 'd' THEN after_table END,
+       CASE WHEN op <> 'd' THEN sink_columns END FROM cfg_raw WHERE ts_ms > {HALF_WAY}""")
+def snapshot_then_changes(spark, sf):
+    """The capture holds all changes from the first on, so half of them are in the snapshot too."""
+    rows = tables.snapshot_then_changes(half_snapshot(spark, sf, ["source_table"]), feeds.config_changes(spark, sf), half_way(spark, sf))
+    return rows.select("op", "ts_ms", F.col("before.source_table").alias("before_table"),
+                       F.col("after.source_table").alias("after_table"), F.col("after.sink_columns").alias("after_columns"))
+
+
 @query("src_json_table", f"""
 WITH {sql.LINES}
 SELECT id, CASE WHEN l_tax <> 0.08 THEN CAST(l_suppkey AS VARCHAR) END AS user_id, sku_id, ts FROM lines""")

@@ -82,6 +82,14 @@ def snapshot_steps(snapshot: DataFrame, order: str) -> DataFrame:
                            *snapshot.columns)
 
 
+def after_snapshot(events: DataFrame, position: int | Column, order: str) -> DataFrame:
+    """Captured changes that a snapshot taken at ``position`` does not hold yet.
+
+    Capture may start before the snapshot is read; what both know counts once.
+    """
+    return events.where(F.col(order) > position)
+
+
 def current_config(steps: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """The configuration in force: the last step per key, keys that ended left out."""
     # an update is written after the retirement of another key at the same position
@@ -152,6 +160,20 @@ def fold_cell_maps(changes: DataFrame, key: Sequence[str], version: str | Sequen
             .where(F.size(data) > 0))
 
 
+#: A row of this kind says that its table was dropped, or created anew, at its version.
+RESET = "reset"
+
+
+def after_resets(changes: DataFrame, table: str = "sink_table", version: str = "version", kind: str = "type") -> DataFrame:
+    """The changes of each table since it was last created, without the resets themselves.
+
+    A change at the version of a reset belongs to the new table, as config applies to the changes of its own moment.
+    """
+    resets = changes.where(F.col(kind) == RESET).groupBy(table).agg(F.max(version).alias("_reset"))
+    kept = changes.where(F.col(kind) != RESET).join(resets, table, "left")
+    return kept.where(F.col("_reset").isNull() | (F.col(version) >= F.col("_reset"))).select(changes.columns)
+
+
 def prune_cell_maps(changes: DataFrame, key: Sequence[str], version: Sequence[str],
                     kind: str = "type", data: str = "data") -> DataFrame:
     """The changes that still matter, with their versions: the last of each cell and the last deletion.

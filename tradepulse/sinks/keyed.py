@@ -107,9 +107,10 @@ DIM_CHANGE = T.StructType([
 class DimTables(DeltaStore):
     """All dimension tables, one partition each; cells are merged by partial update.
 
-    Changes are ordered by ``version`` and, within one, by ``pos``, their place in the topic. A base
-    drops what was overwritten and keeps the versions of the rest and of the last deletion, so
-    late changes and resets read the same before and after a compaction.
+    Changes are ordered by ``version`` and, within one, by ``pos``, their place in the topic. Rows of
+    the kind ``changelog.RESET`` tell that a table was dropped or created anew: what was written to it before is
+    gone. A base drops what was overwritten and keeps the versions of the rest, of the last deletion and
+    of the last reset, so late changes and resets read the same before and after a compaction.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -123,12 +124,13 @@ class DimTables(DeltaStore):
     def read(self, table: str | None = None, resets: DataFrame | None = None) -> DataFrame:
         """``sink_table, row_key, data``; of one table only its partition is read.
 
-        ``resets`` (``sink_table, reset_at``) tells tables dropped or created anew; what was
+        ``resets`` (``sink_table, reset_at``) may tell of more resets than the table holds; what was
         written up to then is gone.
         """
         changes = self.raw()
         if table is not None:
             changes = changes.where(F.col("sink_table") == table)
+        changes = changelog.after_resets(changes)
         if resets is not None:
             changes = (changes.join(resets, "sink_table", "left")
                        .where(F.col("reset_at").isNull() | (F.col("version") > F.col("reset_at"))))
@@ -141,4 +143,7 @@ class DimTables(DeltaStore):
                            *[F.col("data")[c].alias(c) for c in columns if c != "id"])
 
     def _base(self, rows: DataFrame) -> DataFrame:
-        return changelog.prune_cell_maps(rows, ["sink_table", "row_key"], ["version", "pos"])
+        last = rows.where(F.col("type") == changelog.RESET).groupBy("sink_table").agg(F.max("version").alias("version"))
+        resets = last.select("sink_table", "version", F.lit(changelog.RESET).alias("type"), F.lit(0).cast("bigint").alias("pos"))
+        pruned = changelog.prune_cell_maps(changelog.after_resets(rows), ["sink_table", "row_key"], ["version", "pos"])
+        return pruned.unionByName(resets, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import schemas as S
+from tradepulse.operators.changelog import after_snapshot
 from tradepulse.operators.parse import parse_json
 from tradepulse.operators.shape import to_camel
 
@@ -18,6 +19,18 @@ def config_changes(raw: DataFrame, config: T.StructType) -> DataFrame:
     return parse_json(raw, S.config_change(config))
 
 
+def snapshot_then_changes(snapshot: DataFrame, events: DataFrame, position: int, order: str = "ts_ms") -> DataFrame:
+    """A config table's snapshot as captured changes (op r) at ``position``, then what changed after it.
+
+    ``position`` is the high-water mark: the place of the capture when the snapshot was read. Captured
+    changes up to it are in the snapshot and are left out, so there is neither a gap nor a repeat.
+    """
+    config = events.schema["after"].dataType
+    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in config.fields])
+    read = snapshot.select(F.lit("r").alias("op"), F.lit(None).cast(config).alias("before"), row.alias("after"), F.lit(position).cast("bigint").alias(order))
+    return read.unionByName(after_snapshot(events, position, order).select("op", "before", "after", order))
+
+
 def jdbc_snapshot(spark: SparkSession, table: str, *, url: str | None = None,
                   partition_column: str | None = None, bounds: tuple[int, int] | None = None,
                   partitions: int = 1, camel: bool = False) -> DataFrame:
