@@ -157,16 +157,21 @@ def line_fields() -> list[Column]:
             cents("l_tax").alias("split_coupon_amount")]
 
 
-def lines(spark, sf) -> DataFrame:
-    return envelope(table(spark, sf, "lineitem"), "order_detail", "insert", seconds("l_shipdate"),
-                    F.struct(*line_fields()))
+def years(c: str) -> Column:
+    """The start of the year: many versions of a line share it, and their places tell which came last."""
+    return F.unix_seconds(F.date_trunc("year", F.col(c).cast("timestamp")))
+
+
+def lines(spark, sf, when=seconds) -> DataFrame:
+    return envelope(table(spark, sf, "lineitem"), "order_detail", "insert", when("l_shipdate"),
+                    F.struct(*line_fields()), offset=line_place())
 
 
 def orders(spark, sf) -> DataFrame:
     data = F.struct(text("o_orderkey").alias("id"), text("o_custkey").alias("user_id"),
                     text(F.col("o_custkey") % 25).alias("province_id"),
                     F.lit("1001").alias("order_status"))
-    return envelope(table(spark, sf, "orders"), "order_info", "insert", seconds("o_orderdate"), data)
+    return envelope(table(spark, sf, "orders"), "order_info", "insert", seconds("o_orderdate"), data, offset=F.col("o_orderkey"))
 
 
 def order_updates(spark, sf) -> DataFrame:
@@ -178,20 +183,20 @@ def order_updates(spark, sf) -> DataFrame:
     old = F.struct(F.when(~low, "1001").alias("order_status"),
                    F.when(low, "somebody").alias("user_id"))
     return envelope(table(spark, sf, "orders"), "order_info", "update",
-                    seconds("o_orderdate") + 60, data, old)
+                    seconds("o_orderdate") + 60, data, old, offset=F.col("o_orderkey") + 10 ** 9)
 
 
-def activities(spark, sf) -> DataFrame:
+def activities(spark, sf, when=seconds) -> DataFrame:
     rows = table(spark, sf, "lineitem").where("l_discount >= 0.05")
     data = F.struct(line_id().alias("order_detail_id"), joined("a", "l_linenumber").alias("activity_id"),
                     joined("r", "l_suppkey").alias("activity_rule_id"))
-    return envelope(rows, "order_detail_activity", "insert", seconds("l_shipdate"), data)
+    return envelope(rows, "order_detail_activity", "insert", when("l_shipdate"), data, offset=line_place())
 
 
-def coupons(spark, sf) -> DataFrame:
+def coupons(spark, sf, when=seconds) -> DataFrame:
     rows = table(spark, sf, "lineitem").where("l_tax >= 0.06")
     data = F.struct(line_id().alias("order_detail_id"), joined("c", "l_suppkey").alias("coupon_id"))
-    return envelope(rows, "order_detail_coupon", "insert", seconds("l_shipdate"), data)
+    return envelope(rows, "order_detail_coupon", "insert", when("l_shipdate"), data, offset=line_place())
 
 
 def payments(spark, sf) -> DataFrame:
@@ -205,7 +210,7 @@ def payments(spark, sf) -> DataFrame:
     old = F.struct(F.when(~medium, "1601").alias("payment_status"),
                    F.when(medium, "none").alias("callback_time"))
     return envelope(table(spark, sf, "orders"), "payment_info", "update", seconds("o_orderdate"),
-                    data, old)
+                    data, old, offset=F.col("o_orderkey"))
 
 
 def refunds(spark, sf) -> DataFrame:
@@ -294,7 +299,7 @@ def changes(*feeds: DataFrame) -> DataFrame:
     """Several tables' changes as one parsed feed."""
     raw = feeds[0]
     for feed in feeds[1:]:
-        raw = raw.unionByName(feed)
+        raw = raw.unionByName(feed, allowMissingColumns=True)
     return topics.change_envelope(topics.non_null_text(raw))
 
 

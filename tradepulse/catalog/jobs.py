@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradepulse import schemas as S
 from tradepulse.catalog import aggregates, etl, feeds, joining, sources, sql
@@ -36,30 +40,31 @@ def dim_sync(spark, sf):
 
 LOG_TOPICS = f"""
 WITH {sql.FIXED},
-t AS (SELECT 'err' AS topic, NULL AS is_new, NULL AS ms FROM fixed WHERE kind = 'error'
-      UNION ALL SELECT 'start', is_new_fixed, ms FROM fixed WHERE has_start
-      UNION ALL SELECT 'display', is_new_fixed, ms FROM fixed, (VALUES (1), (2)) AS v(n) WHERE kind = 'view' AND has_page AND NOT has_start
-      UNION ALL SELECT 'action', is_new_fixed, ms FROM fixed WHERE kind = 'click' AND has_page AND NOT has_start
-      UNION ALL SELECT 'page', is_new_fixed, ms FROM fixed WHERE has_page AND NOT has_start)
-SELECT topic, CAST(count(*) AS BIGINT) AS n, CAST(count(CASE WHEN is_new = '1' THEN 1 END) AS BIGINT) AS new_n,
-       CAST(coalesce(sum(ms), 0) AS BIGINT) AS ts_sum FROM t GROUP BY 1"""
+p AS (SELECT * FROM fixed WHERE has_page AND NOT has_start)
+SELECT 'err' AS topic, CAST(NULL AS VARCHAR) AS mid, CAST(NULL AS VARCHAR) AS is_new, CAST(NULL AS VARCHAR) AS page_id,
+       CAST(NULL AS BIGINT) AS ts, CAST(k AS VARCHAR) AS detail FROM fixed WHERE kind = 'error'
+UNION ALL SELECT 'start', mid, is_new_fixed, CASE WHEN has_page THEN page_id END, ms, CAST(k AS VARCHAR) FROM fixed WHERE has_start
+UNION ALL SELECT 'display', mid, is_new_fixed, page_id, ms, 'sku' || (k + n) FROM p, (VALUES (1), (2)) AS v(n) WHERE kind = 'view'
+UNION ALL SELECT 'action', mid, is_new_fixed, page_id, ms, 'sku' || k FROM p WHERE kind = 'click'
+UNION ALL SELECT 'page', mid, is_new_fixed, page_id, ms, CAST(k AS VARCHAR) FROM p"""
+
+PAYLOAD = T.StructType([T.StructField("common", S.STR_MAP), T.StructField("page", S.STR_MAP), T.StructField("start", S.STR_MAP),
+                        T.StructField("ts", T.LongType()), T.StructField("item", T.StringType()), T.StructField("error_code", T.StringType())])
 
 
-def topic_counts(texts):
-    parsed = parse.parse_json(texts, S.PAGE, keep=["topic"])
-    new = F.when(F.col("common")["is_new"] == "1", 1)
-    return parsed.groupBy("topic").agg(F.count("*").alias("n"), F.count(new).alias("new_n"),
-                                       F.coalesce(F.sum("ts"), F.lit(0)).alias("ts_sum"))
+def topic_rows(topics):
+    """Every payload of the five topics: whose it is, and the field that tells most of its kind."""
+    texts = [rows.select("value", F.lit(name).alias("topic")) for name, rows in topics.items()]
+    parsed = parse.parse_json(reduce(DataFrame.unionByName, texts), PAYLOAD, keep=["topic"])
+    detail = F.coalesce("error_code", F.col("start")["loading_time"], "item", F.col("page")["during_time"])
+    return parsed.select("topic", F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"),
+                         F.col("page")["page_id"].alias("page_id"), "ts", detail.alias("detail"))
 
 
 @query("pipe_log_split", LOG_TOPICS)
 def log_split(spark, sf):
     topics = base.log_split(feeds.log_texts(feeds.table(spark, sf, "events")), scratch_dir(spark, "logs"))
-    texts = [logsplit.as_json(name, rows).withColumn("topic", F.lit(name)) for name, rows in topics.items()]
-    union = texts[0]
-    for part in texts[1:]:
-        union = union.unionByName(part)
-    return topic_counts(union)
+    return topic_rows({name: logsplit.as_json(name, rows) for name, rows in topics.items()})
 
 
 @query("pipe_fact_router", f"""
@@ -114,18 +119,16 @@ DAY = 24 * 3600
 
 @query("pipe_pay_success", f"""
 WITH {sql.DETAILS}, {sql.PAYMENTS}, {sql.DIC},
-j AS (SELECT d.id, d.order_id, pay.user_id, payment_type_code, dic_name AS payment_type_name, payment_time, sku_id, province_id,
+j AS (SELECT d.pos, d.id, d.order_id, pay.user_id, payment_type_code, dic_name AS payment_type_name, payment_time, sku_id, province_id,
              activity_id, activity_rule_id, coupon_id, sku_name, order_price, sku_num, split_total_amount,
              split_activity_amount, split_coupon_amount, pay.ts
       FROM details d JOIN pay ON d.order_id = pay.order_id
        AND pay.row_time BETWEEN d.row_time - INTERVAL 30 DAY AND d.row_time + INTERVAL 60 DAY
       LEFT JOIN dic ON payment_type_code = rowkey),
-r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, order_id DESC, user_id DESC, payment_type_code DESC,
-        payment_type_name DESC NULLS LAST, payment_time DESC, sku_id DESC, province_id DESC, activity_id DESC NULLS LAST,
-        coupon_id DESC NULLS LAST, sku_name DESC, order_price DESC, sku_num DESC, split_total_amount DESC,
-        split_activity_amount DESC, split_coupon_amount DESC) AS rn FROM j)
-SELECT * EXCLUDE (rn) FROM r WHERE rn = 1""")
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, pos DESC) AS rn FROM j)
+SELECT * EXCLUDE (rn, pos) FROM r WHERE rn = 1""")
 def pay_success(spark, sf):
+    """An order is paid once, so of several versions of its lines the one that arrived last shows."""
     return trade.pay_success_latest(feeds.details(spark, sf, timed=True),
                                     feeds.changes(feeds.payments(spark, sf)), feeds.dictionary(spark, sf),
                                     before=30 * DAY, after=60 * DAY)

@@ -11,18 +11,19 @@ from tradepulse.catalog.registry import query
 from tradepulse.operators import changelog, joins, routing
 from tradepulse.plans import trade
 
-LATEST_LINE = """
-line AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, order_id DESC, sku_id DESC,
-           sku_name DESC, order_price DESC, sku_num DESC, create_time DESC, split_total_amount DESC,
-           split_activity_amount DESC, split_coupon_amount DESC) AS rn FROM lines) WHERE rn = 1)"""
+#: Versions by year: many of one line share their time, and the one that arrived last counts.
+YEARS = "years AS (SELECT * REPLACE (CAST(epoch(date_trunc('year', row_time)) AS BIGINT) AS ts) FROM lines)"
+
+LATEST_LINE = f"""
+{YEARS},
+line AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, pos DESC) AS rn FROM years) WHERE rn = 1)"""
 
 ACTIVITY = """
-act AS (SELECT id, max_by(activity_id, (ts, activity_id, activity_rule_id)) AS activity_id,
-               max_by(activity_rule_id, (ts, activity_id, activity_rule_id)) AS activity_rule_id
-        FROM (SELECT id, ts, 'a' || l_linenumber AS activity_id, 'r' || l_suppkey AS activity_rule_id
-              FROM lines WHERE l_discount >= 0.05) GROUP BY id),
-cou AS (SELECT id, max_by(coupon_id, (ts, coupon_id)) AS coupon_id
-        FROM (SELECT id, ts, 'c' || l_suppkey AS coupon_id FROM lines WHERE l_tax >= 0.06) GROUP BY id)"""
+act AS (SELECT id, max_by(activity_id, (ts, pos)) AS activity_id, max_by(activity_rule_id, (ts, pos)) AS activity_rule_id
+        FROM (SELECT id, ts, pos, 'a' || l_linenumber AS activity_id, 'r' || l_suppkey AS activity_rule_id
+              FROM years WHERE l_discount >= 0.05) GROUP BY id),
+cou AS (SELECT id, max_by(coupon_id, (ts, pos)) AS coupon_id
+        FROM (SELECT id, ts, pos, 'c' || l_suppkey AS coupon_id FROM years WHERE l_tax >= 0.06) GROUP BY id)"""
 
 
 def order_changes(spark, sf):
@@ -48,16 +49,15 @@ FROM line JOIN ord ON line.order_id = ord.id LEFT JOIN act ON line.id = act.id L
 
 
 def wide_changes(spark, sf):
-    return feeds.landed(spark, feeds.lines(spark, sf), feeds.orders(spark, sf), feeds.order_updates(spark, sf),
-                        feeds.activities(spark, sf), feeds.coupons(spark, sf))
+    by_year = feeds.years
+    return feeds.landed(spark, feeds.lines(spark, sf, by_year), feeds.orders(spark, sf), feeds.order_updates(spark, sf),
+                        feeds.activities(spark, sf, by_year), feeds.coupons(spark, sf, by_year))
 
 
 @query("order_detail_wide", WIDE)
 def order_detail_wide(spark, sf):
-    changes = wide_changes(spark, sf)
-    return joins.order_lines(trade.order_lines(changes), trade.new_orders(changes),
-                             trade.line_activities(changes), trade.line_coupons(changes)
-                             ).select(*S.ORDER_DETAIL)
+    """Of versions of one time the last to arrive counts, whatever its values."""
+    return joins.order_lines(*trade.order_sides(wide_changes(spark, sf))).select(*S.ORDER_DETAIL)
 
 
 CANCEL = f"""

@@ -16,6 +16,7 @@ from tradepulse.catalog.registry import query
 from tradepulse.operators import joins, logsplit, parse, visitors, windows
 from tradepulse.plans import windows as tables
 from tradepulse.session import scratch_dir
+from tradepulse.sinks import fanout
 from tradepulse.sinks import topics as out
 from tradepulse.sources import topics
 from tradepulse.streaming import firstdays, stores
@@ -148,18 +149,11 @@ def stream_log_split(spark, sf):
     path = scratch_dir(spark, "log-split")
     logs = parse.behaviour_logs(parse.parse_json(feeds.log_texts(feeds.stream(spark, sf, "events")), S.LOG))
 
-    def texts(batch: DataFrame) -> dict[str, DataFrame]:
-        return {name: logsplit.as_json(name, rows) for name, rows in logsplit.split(batch).items()}
-
-    write = out.fan_out_batch(texts, {name: f"{path}/{name}" for name in logsplit.TOPICS})
-    repaired = firstdays.repair(firstdays.FirstDays(spark, f"{path}/first"), write)
-    writer = each_batch(logs, repaired).option("checkpointLocation", f"{path}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    union = None
-    for name in logsplit.TOPICS:
-        part = spark.read.text(f"{path}/{name}").select("value", F.lit(name).alias("topic"))
-        union = part if union is None else union.unionByName(part)
-    return jobs.topic_counts(union)
+    topics_of = fanout.FanOut(spark, f"{path}/topics", logsplit.TOPICS)
+    split = lambda batch: {name: logsplit.as_json(name, rows) for name, rows in logsplit.split(batch).items()}
+    repaired = firstdays.repair(firstdays.FirstDays(spark, f"{path}/first"), topics_of.writer(split))
+    Job("log-split", lambda _s: logs, lambda r: r, lambda r: each_batch(r, repaired), f"{path}/checkpoint").run(spark)
+    return jobs.topic_rows({name: topics_of.read(name) for name in logsplit.TOPICS})
 
 
 @query("stream_traffic", closed(aggregates.traffic_sql("1 hour"), "3 seconds", size="1 hour"))

@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from tradepulse.operators.changelog import latest_by_key
 
 
+def last_version(side: DataFrame) -> DataFrame:
+    """The last version by ``id``: by time, then by the place of arrival where the side has it."""
+    return latest_by_key(side, ["id"], ["ts", *[c for c in ("pos",) if c in side.columns]])
+
+
 def order_lines(details: DataFrame, orders: DataFrame, activities: DataFrame,
                 coupons: DataFrame) -> DataFrame:
     """Order lines with their order and, where there are any, activity and coupon.
@@ -25,11 +30,11 @@ def order_lines(details: DataFrame, orders: DataFrame, activities: DataFrame,
     show in it. Taking those versions first keeps every join one to one (lines of an order
     excepted): copies of a line never multiply with copies of its activity. The joins by
     line come first, since the lines already lie hashed by their id; only the last one, by
-    order, moves them again.
+    order, moves them again. Versions of one second are told apart by ``pos``, their place in the topic.
     """
-    details = latest_by_key(details, ["id"], ["ts"])
-    orders, activities, coupons = [
-        latest_by_key(side, ["id"], ["ts"]).drop("ts") for side in (orders, activities, coupons)]
+    details, orders, activities, coupons = [last_version(side) for side in (details, orders, activities, coupons)]
+    details = details.drop("pos")
+    orders, activities, coupons = [side.drop("ts", "pos") for side in (orders, activities, coupons)]
     return (details
             .join(activities, "id", "left")
             .join(coupons, "id", "left")

@@ -33,6 +33,10 @@ def comment_info(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return named.withColumnRenamed("appraise", "appraise_code").select(*S.COMMENT_INFO)
 
 
+#: A version's time, and its place in the topic that settles the versions of one second.
+VERSION = ("ts", "pos")
+
+
 def order_lines(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:
     return changelog.extract(changes, "order_detail", [
         "id", "order_id", "sku_id", "sku_name", "order_price", "sku_num", "create_time",
@@ -56,16 +60,20 @@ def line_coupons(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame
 
 def order_detail(changes: DataFrame) -> DataFrame:
     """Order lines with order, activity and coupon; one row per line."""
-    return joins.order_lines(order_lines(changes), new_orders(changes),
-                             line_activities(changes), line_coupons(changes)
-                             ).select(*S.ORDER_DETAIL)
+    return joins.order_lines(*order_sides(changes)).select(*S.ORDER_DETAIL)
+
+
+def order_sides(changes: DataFrame) -> list[DataFrame]:
+    """Versions of lines, orders, activities and coupons."""
+    return [side(changes, VERSION) for side in (order_lines, new_orders, line_activities, line_coupons)]
 
 
 def order_detail_stream(changes: DataFrame, seconds: int = 5) -> DataFrame:
     """The same from a stream, where the parts of a line arrive within ``seconds``.
 
     Spark emits a line once, when the watermark rules out a later activity or coupon; it
-    writes no retractions. Write the result to an ``UpsertTable`` keyed by ``id``.
+    writes no retractions. :class:`tradepulse.streaming.views.OrderDetails` writes lines early and
+    corrects them.
     """
     timed = ["row_time"]
     lines = order_lines(changes, ["ts", "row_time"])
@@ -97,30 +105,35 @@ def payments(changes: DataFrame) -> DataFrame:
     return changelog.transition(
         changes, "payment_info", "payment_status", PAID,
         {"order_id": "order_id", "user_id": "user_id", "payment_type_code": "payment_type",
-         "payment_time": "callback_time"}, keep=["ts", "row_time"])
+         "payment_time": "callback_time"}, keep=["ts", "pos", "row_time"])
 
 
 def pay_success(details: DataFrame, changes: DataFrame, dictionary: DataFrame,
-                before: int = 5, after: int = 15 * 60) -> DataFrame:
+                before: int = 5, after: int = 15 * 60, keep: Sequence[str] = ()) -> DataFrame:
     """Paid order lines: paid from ``before`` seconds ahead of the line to ``after`` behind.
 
     ``details`` needs ``row_time``. The payments, fewer than the lines, are the side that is
     copied to time slots: a line belongs to a payment if it is at most ``after`` older and
-    at most ``before`` younger.
+    at most ``before`` younger. ``keep`` names more columns to carry: ``pay_pos`` and ``pos``, the places
+    of payment and line in their topics.
     """
     lines = details.drop("user_id", "ts").withColumnRenamed("row_time", "line_time")
-    pays = payments(changes).withColumnRenamed("row_time", "pay_time")
+    pays = payments(changes).withColumnRenamed("row_time", "pay_time").withColumnRenamed("pos", "pay_pos")
     paid = joins.interval_join(lines, pays, ["order_id"], "line_time", "pay_time", after, before)
     named = joins.lookup(paid, dictionary, "payment_type_code", "rowkey",
                          {"payment_type_name": "info.dic_name"}, "left")
-    return named.select(*S.PAYMENT_SUCCESS)
+    return named.select(*S.PAYMENT_SUCCESS, *keep)
+
+
+#: The order of paid lines: by payment, then by version of the line.
+PAID_VERSION = ("ts", "pay_pos", "pos")
 
 
 def pay_success_latest(details: DataFrame, changes: DataFrame, dictionary: DataFrame,
                        before: int = 5, after: int = 15 * 60) -> DataFrame:
-    """What the upsert table keyed by line holds in the end."""
-    return changelog.latest_by_key(
-        pay_success(details, changes, dictionary, before, after), ["id"], ["ts"])
+    """What the upsert table keyed by line holds in the end: the last payment with the last version of the line."""
+    paid = pay_success(details, changes, dictionary, before, after, PAID_VERSION[1:])
+    return changelog.latest_by_key(paid, ["id"], PAID_VERSION).drop(*PAID_VERSION[1:])
 
 
 def refund_requests(changes: DataFrame, keep: Sequence[str] = ("ts",)) -> DataFrame:

@@ -84,11 +84,10 @@ class UpsertTable(DeltaStore):
             batch = batch.withColumn("deleted", F.lit(False))
         self._put(changelog.latest_by_key(batch, self.key, self.order), "delta", batch_id)
 
-    def read(self) -> DataFrame:
-        return self._latest().where(~F.col("deleted")).drop("deleted")
-
-    def _latest(self) -> DataFrame:
-        return changelog.latest_by_key(self.raw(), self.key, self.order)
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table, or what it was before a batch."""
+        last = changelog.latest_by_key(self.raw(before), self.key, self.order)
+        return last.where(~F.col("deleted")).drop("deleted")
 
     def _base(self, rows: DataFrame) -> DataFrame:
         return changelog.latest_by_key(rows, self.key, self.order)

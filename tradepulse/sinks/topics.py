@@ -23,13 +23,15 @@ def keyed_payload(rows: DataFrame, key: Sequence[str]) -> DataFrame:
                        F.to_json(F.struct(*rows.columns)).alias("value"))
 
 
-def write_text(rows: DataFrame, path: str) -> None:
-    rows.select("value").write.mode("append").text(path)
+def write_text(rows: DataFrame, path: str, batch_id: int = 0) -> None:
+    """A batch of payloads as one directory; a repeated batch overwrites its own."""
+    rows.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
-def write_routed(rows: DataFrame, path: str) -> None:
-    """Rows of ``sink_table`` and ``value``; the destination becomes the directory."""
-    rows.select("sink_table", "value").write.mode("append").partitionBy("sink_table").text(path)
+def write_routed(rows: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Rows of ``sink_table`` and ``value``; the destination becomes the directory, below that of the batch."""
+    (rows.select("sink_table", "value").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("sink_table").text(f"{path}/batch_id={batch_id}"))
 
 
 def append_stream(rows: DataFrame, path: str, checkpoint: str, file_format: str = "text",
@@ -54,10 +56,11 @@ def console_stream(rows: DataFrame, checkpoint: str) -> DataStreamWriter:
             .option("checkpointLocation", checkpoint))
 
 
-def land_changes(changes: DataFrame, path: str) -> None:
-    """Write parsed row changes as parquet, one directory per table and change type."""
+def land_changes(changes: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Write a batch of parsed row changes as parquet, one directory per table and change type."""
     cols = [c for c in changes.columns if c not in ("row_time", "proc_time")]
-    changes.select(*cols).write.mode("append").partitionBy("table", "type").parquet(path)
+    (changes.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("table", "type").parquet(f"{path}/batch_id={batch_id}"))
 
 
 def window_table_batch(path: str):
@@ -79,20 +82,3 @@ def plain_batch(path: str):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
-
-
-def fan_out_batch(splits, paths: dict[str, str]):
-    """``foreachBatch`` writer of one frame into several topics.
-
-    ``splits`` turns the batch into named frames of texts. The batch is held for the five
-    writes, so its source is read and parsed once.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
-        try:
-            for name, rows in splits(held).items():
-                rows.write.mode("overwrite").text(f"{paths[name]}/batch_id={batch_id}")
-        finally:
-            held.unpersist()
-
-    return write

@@ -27,6 +27,8 @@ class Topic:
     path: str | None = None
     brokers: str | None = None
     file_format: str = "text"
+    #: columns of files that are no text; beside the payload there may be ``key`` and ``offset``
+    columns: str = "value string"
     #: rows (Kafka) or files per micro-batch; bounds the work and the state of one batch
     per_trigger: int | None = None
 
@@ -43,7 +45,7 @@ def raw_text(spark: SparkSession, topic: Topic, streaming: bool = True) -> DataF
     else:
         reader = reader.format(topic.file_format)
         if topic.file_format != "text":
-            reader = reader.schema("value string")
+            reader = reader.schema(topic.columns)
         if streaming and topic.per_trigger:
             reader = reader.option("maxFilesPerTrigger", topic.per_trigger)
         value = F.col("value")
@@ -84,7 +86,7 @@ def page_log(raw: DataFrame) -> DataFrame:
 
 def _places(raw: DataFrame) -> tuple[list[str], Column]:
     at = ["offset"] if "offset" in raw.columns else []
-    return at, (F.col("offset") if at else F.lit(0)).cast("bigint")
+    return at, F.coalesce(F.col("offset").cast("bigint"), F.lit(0)) if at else F.lit(0).cast("bigint")
 
 
 def fact_reread(raw: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
@@ -126,7 +128,7 @@ def landed_changes(spark: SparkSession, path: str, tables: Sequence[str] = (),
     schema = T.StructType([f for f in S.CHANGE.fields if f.name not in ("table", "type")]
                           + [T.StructField("pos", T.LongType()), T.StructField("table", T.StringType()),
                              T.StructField("type", T.StringType())])
-    rows = reader.schema(schema).parquet(path)
+    rows = reader.schema(schema).parquet(path).select(*schema.names)
     if tables:
         rows = rows.where(F.col("table").isin(*tables))
     if types:
