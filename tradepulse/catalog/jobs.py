@@ -17,7 +17,7 @@ from tradepulse.plans import windows as tables
 from tradepulse.session import scratch_dir
 
 
-@query("pipe_dim_sync", f"""
+DIM_SYNC = f"""
 WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table')},
 anew AS (SELECT sink_table, max(ts_ms) AS reset_at FROM steps WHERE op IN ('d', 'u') GROUP BY 1),
 r AS (SELECT place AS ts, type, user_id AS row_key, sink_table, {sql.kept('id')}, {sql.kept('user_id')},
@@ -29,7 +29,10 @@ m AS (SELECT sink_table, row_key, max_by(id, ts) FILTER (id IS NOT NULL) AS id,
              max_by(status, ts) FILTER (status IS NOT NULL) AS status,
              max_by(total, ts) FILTER (total IS NOT NULL) AS total
       FROM e WHERE gone IS NULL OR ts > gone GROUP BY 1, 2)
-SELECT * FROM m WHERE coalesce(id, user_id, status, total) IS NOT NULL""")
+SELECT * FROM m WHERE coalesce(id, user_id, status, total) IS NOT NULL"""
+
+
+@query("pipe_dim_sync", DIM_SYNC)
 def dim_sync(spark, sf):
     """The config drops tables, or creates them anew, while changes come."""
     rows = base.dim_sync(feeds.changes(feeds.routed_changes(spark, sf)), feeds.config_changes(spark, sf),
@@ -67,9 +70,12 @@ def log_split(spark, sf):
     return topic_rows({name: logsplit.as_json(name, rows) for name, rows in topics.items()})
 
 
-@query("pipe_fact_router", f"""
+FACT_ROUTER = f"""
 WITH {sql.ROUTED}, {sql.CONFIG}, {sql.in_force(source_table='table', source_type='type')}
-SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')} FROM inf""")
+SELECT sink_table, {sql.kept('id')}, {sql.kept('user_id')}, {sql.kept('status')}, {sql.kept('total')} FROM inf"""
+
+
+@query("pipe_fact_router", FACT_ROUTER)
 def fact_router(spark, sf):
     routed = base.fact_router(feeds.changes(feeds.routed_changes(spark, sf)),
                               feeds.config_changes(spark, sf, fact=True))
@@ -95,10 +101,13 @@ def cart_add(spark, sf):
     return trade.cart_add(feeds.changes(feeds.carts(spark, sf), feeds.orders(spark, sf)))
 
 
-@query("pipe_comment", f"""
+COMMENT = f"""
 WITH {joining.COMMENTS}, {sql.DIC}
 SELECT id, user_id, nick_name, sku_id, spu_id, order_id, appraise_code, dic_name AS appraise_name, comment_txt,
-       create_time, operate_time FROM com JOIN dic ON appraise_code = rowkey""")
+       create_time, operate_time FROM com JOIN dic ON appraise_code = rowkey"""
+
+
+@query("pipe_comment", COMMENT)
 def comment_info(spark, sf):
     return trade.comment_info(feeds.changes(feeds.comments(spark, sf)), feeds.dictionary(spark, sf))
 
@@ -117,7 +126,7 @@ def order_cancel(spark, sf):
 DAY = 24 * 3600
 
 
-@query("pipe_pay_success", f"""
+PAID = f"""
 WITH {sql.DETAILS}, {sql.PAYMENTS}, {sql.DIC},
 j AS (SELECT d.pos, d.id, d.order_id, pay.user_id, payment_type_code, dic_name AS payment_type_name, payment_time, sku_id, province_id,
              activity_id, activity_rule_id, coupon_id, sku_name, order_price, sku_num, split_total_amount,
@@ -126,7 +135,10 @@ j AS (SELECT d.pos, d.id, d.order_id, pay.user_id, payment_type_code, dic_name A
        AND pay.row_time BETWEEN d.row_time - INTERVAL 30 DAY AND d.row_time + INTERVAL 60 DAY
       LEFT JOIN dic ON payment_type_code = rowkey),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, pos DESC) AS rn FROM j)
-SELECT * EXCLUDE (rn, pos) FROM r WHERE rn = 1""")
+SELECT * EXCLUDE (rn, pos) FROM r WHERE rn = 1"""
+
+
+@query("pipe_pay_success", PAID)
 def pay_success(spark, sf):
     """An order is paid once, so of several versions of its lines the one that arrived last shows."""
     return trade.pay_success_latest(feeds.details(spark, sf, timed=True),

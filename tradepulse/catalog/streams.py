@@ -72,6 +72,16 @@ def stream_window_append(spark, sf):
     return run(spark, windows.tumble(views, [F.count("*").alias("pv_ct")], ["page_id"]), "window-append")
 
 
+@query("stream_window_monotonic", closed(f"""
+WITH {sql.EVENTS}, g AS (SELECT {sql.bucket('ts', '1 hour')} AS w, mid, count(*) AS n FROM logs GROUP BY ALL)
+SELECT {sql.win('w', '1 hour')}, mid, n FROM g""", "0 seconds", of="logs", size="1 hour"))
+def stream_window_monotonic(spark, sf):
+    """Logs come in order of time: a window closes with the first log beyond it."""
+    logs = feeds.logs(feeds.stream(spark, sf, "events")).select(F.col("common")["mid"].alias("mid"), F.timestamp_millis("ts").alias("row_time"))
+    timed = logs.withWatermark("row_time", windows.LATENESS["log"])
+    return run(spark, windows.tumble(timed, [F.count("*").alias("n")], ["mid"], size="1 hour"), "monotonic")
+
+
 SPLIT = "2024-01-16 00:00:00"
 
 

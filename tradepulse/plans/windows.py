@@ -101,6 +101,18 @@ def keywords(pages: DataFrame, size: str = WINDOW) -> DataFrame:
     return windows.keyword_counts(words, size)
 
 
+def keywords_batches(spark: SparkSession, path: str, write: Write, size: str = WINDOW, compact_every: int = 100) -> Write:
+    table = stores.OpenWindows(spark, f"{path}/windows", _strings("keyword"), _counts("keyword_count"), size, LATENESS["window"])
+
+    def rows(pages: DataFrame) -> DataFrame:
+        return parse.search_keywords(pages).select("row_time", fx.keywords("keywords").alias("keyword"))
+
+    def partials(words: DataFrame, _batch_id: int) -> DataFrame:
+        return words.select(table.start("row_time").alias("_start"), "keyword", _one("keyword_count"))
+
+    return stores.windowed(table, partials, _stamped, write, (), rows, compact_every=compact_every)
+
+
 def logins(pages: DataFrame, size: str = WINDOW) -> DataFrame:
     """Daily unique users and users back after more than a week."""
     visits = visitors.page_columns(parse.login_visits(pages))

@@ -12,15 +12,16 @@ from tradepulse.sinks.keyed import DeltaStore
 
 
 class FanOut:
-    """Topics of texts below ``path`` with one commit for all of them.
+    """Topics below ``path`` with one commit for all of them: payloads as text, or with key and offset as parquet.
 
     A batch writes a directory in each topic and then its number to the manifest. Readers go by the
     manifest, so what a batch wrote before it failed is seen by nobody; the retry overwrites it. A batch that is in the
     manifest is not written again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, topics: Sequence[str]):
-        self.spark, self.path, self.topics = spark, path.rstrip("/"), list(topics)
+    def __init__(self, spark: SparkSession, path: str, topics: Sequence[str], columns: str = "value string"):
+        self.spark, self.path, self.topics, self.columns = spark, path.rstrip("/"), list(topics), columns
+        self.format = "text" if columns == "value string" else "parquet"
         self.manifest = DeltaStore(spark, f"{self.path}/manifest", T.StructType([T.StructField("number", T.LongType())]))
 
     def committed(self) -> list[int]:
@@ -30,11 +31,11 @@ class FanOut:
         return f"{self.path}/{name}/batch_id={number}"
 
     def write_batch(self, splits: Mapping[str, DataFrame], batch_id: int) -> None:
-        """``splits`` are texts by topic."""
+        """``splits`` are the payloads by topic."""
         if batch_id in self.committed():
             return
         for name in self.topics:
-            splits[name].select("value").write.mode("overwrite").text(self._folder(name, batch_id))
+            splits[name].write.mode("overwrite").format(self.format).save(self._folder(name, batch_id))
         self.manifest._put(self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("number")), "delta", batch_id)
 
     def writer(self, split: Callable[[DataFrame], Mapping[str, DataFrame]]) -> Callable[[DataFrame, int], None]:
@@ -53,8 +54,8 @@ class FanOut:
         known = self.committed()
         chosen = known if numbers is None else [n for n in known if n in set(numbers)]
         if not chosen:
-            return self.spark.createDataFrame([], "value string")
-        return self.spark.read.text([self._folder(name, n) for n in chosen]).select("value")
+            return self.spark.createDataFrame([], self.columns)
+        return self.spark.read.schema(self.columns).format(self.format).load([self._folder(name, n) for n in chosen])
 
     def commits(self) -> DataFrame:
         """The manifest as a stream: a row (``number``) for each committed batch."""
