@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{
 #: The same cut, but runs without white space stay whole: these are remembered with their ids.
 RUNS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NONE = 1 << 62
-#: Entries of a task's memories of words and of runs; a full memory starts anew. Longer ones aren't kept.
+#: Entries of a process's memories of words and of runs; a full memory starts anew. Longer ones aren't kept.
 WORD_MEMORY, RUN_MEMORY, LONGEST = 1_000_000, 400_000, 64
 
 
@@ -137,6 +138,12 @@ class ByteBpe:
         return b"".join(map(self.spelt.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def shared_vocabulary(spec: str) -> ByteBpe:
+    """One vocabulary, with its memories, for all tasks that a Python worker runs."""
+    return ByteBpe(spec)
+
+
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, ids array<int>, decoded string)`` per row; null text counts as empty, with no ids.
 
@@ -148,7 +155,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     kept = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Batches) -> Batches:
-        bpe = ByteBpe(kept.value)
+        bpe = shared_vocabulary(kept.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
