@@ -20,6 +20,8 @@ WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{
 #: The same cut, but runs without white space stay whole: these are remembered with their ids.
 RUNS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NONE = 1 << 62
+#: Nodes below a node of the tree.
+FAN = 32
 #: Entries of a process's memories of words and of runs; a full memory starts anew. Longer ones aren't kept.
 WORD_MEMORY, RUN_MEMORY, LONGEST = 1_000_000, 400_000, 64
 
@@ -34,50 +36,52 @@ def byte_letters() -> list[str]:
 def merge_all(ids: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
     """Merge the leftmost pair of lowest rank until none is left.
 
-    Leaf ``i`` of the tree holds ``rank * n + i`` of the pair that starts at ``i``; inner nodes
-    hold the minimum, so the root is the next merge. A merge changes three leaves at most.
+    Leaf ``i`` of the tree holds ``rank * n + i`` of the pair that starts at ``i``; a node of the next
+    level holds the minimum of FAN nodes below, so the minimum of the last level is the next
+    merge. A merge changes three leaves at most, and their nodes. Most words have no more than FAN
+    letters: their tree is its leaves.
     """
     n = len(ids)
     if n < 2:
         return ids
-    size = 1 << (n - 1).bit_length()
-    tree = [NONE] * (2 * size)
     get = pairs.get
-    for i in range(n - 1):
-        found = get(ids[i] << 20 | ids[i + 1])
+    leaves = [NONE] * n
+    i, left = 0, ids[0]
+    for right in ids[1:]:
+        found = get(left << 20 | right)
         if found:
-            tree[size + i] = found[0] * n + i
-    for k in range(size - 1, 0, -1):
-        a, b = tree[2 * k], tree[2 * k + 1]
-        tree[k] = a if a < b else b
+            leaves[i] = found[0] * n + i
+        left = right
+        i += 1
+    levels = [leaves]
+    while len(levels[-1]) > FAN:
+        below = levels[-1]
+        levels.append([min(below[k:k + FAN]) for k in range(0, len(below), FAN)])
+    root, deep = levels[-1], len(levels) > 1
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (least := tree[1]) < NONE:
+    while (least := min(root)) < NONE:
         i = least % n
         j = after[i]
         k = after[j]
-        ids[i] = get(ids[i] << 20 | ids[j])[1]
+        merged = ids[i] = get(ids[i] << 20 | ids[j])[1]
         ids[j] = -1
+        leaves[j] = NONE
         after[i] = k
         h = before[i]
-        at_i = at_h = NONE
         if k < n:
             before[k] = i
-            found = get(ids[i] << 20 | ids[k])
-            if found:
-                at_i = found[0] * n + i
+            found = get(merged << 20 | ids[k])
+            leaves[i] = found[0] * n + i if found else NONE
+        else:
+            leaves[i] = NONE
         if h >= 0:
-            found = get(ids[h] << 20 | ids[i])
-            if found:
-                at_h = found[0] * n + h
-        for leaf, value in ((size + j, NONE), (size + i, at_i), (size + h, at_h)) if h >= 0 else ((size + j, NONE), (size + i, at_i)):
-            while tree[leaf] != value:
-                tree[leaf] = value
-                if leaf == 1:
-                    break
-                other = tree[leaf ^ 1]
-                if other < value:
-                    value = other
-                leaf >>= 1
+            found = get(ids[h] << 20 | merged)
+            leaves[h] = found[0] * n + h if found else NONE
+        if deep:
+            for at in (i, j, h) if h >= 0 else (i, j):
+                for level, above in zip(levels, levels[1:]):
+                    at //= FAN
+                    above[at] = min(level[at * FAN:at * FAN + FAN])
     return [i for i in ids if i >= 0]
 
 
