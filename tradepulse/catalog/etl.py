@@ -167,7 +167,7 @@ def config_decode(spark, sf):
 # -- the five outputs of the log, after the repair of is_new ---------------------------
 
 def split_logs(spark, sf):
-    return visitors.repair_new_flag(feeds.logs(events(spark, sf)))
+    return visitors.repair_new_flag(feeds.landed_logs(spark, sf))
 
 
 @query("log_split_err", f"""

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
-from tradepulse.operators import changelog, parse
+from tradepulse.operators import changelog, joins, parse
+from tradepulse.session import landed as landed_rows
 from tradepulse.session import scratch_dir
 from tradepulse.sinks.topics import land_changes
 from tradepulse.sources import tables, topics
@@ -104,6 +105,11 @@ def logs(events: DataFrame) -> DataFrame:
     return parse.behaviour_logs(parse.parse_json(log_texts(events), S.LOG, keep=["offset"]))
 
 
+def landed_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for the whole table, parsed once."""
+    return topics.landed_logs(log_texts(table(spark, sf, "events")), scratch_dir(spark, "logs"), ["offset"])
+
+
 def pages(events: DataFrame) -> DataFrame:
     return parse.parse_json(page_texts(events), S.PAGE, keep=["offset"])
 
@@ -375,6 +381,11 @@ def sku_dims(spark, sf) -> dict[str, DataFrame]:
     }
 
 
+def articles(spark, sf) -> DataFrame:
+    """The wide article dimension, written once as its job keeps it."""
+    return landed_rows(joins.wide_dimension(sku_dims(spark, sf)), "articles")
+
+
 def provinces(spark, sf) -> DataFrame:
     return table(spark, sf, "nation").where("n_nationkey <> 4").select(
         text("n_nationkey").alias("id"), F.col("n_name").alias("name"))

@@ -213,7 +213,7 @@ g AS (SELECT {sql.bucket('row_time')} AS w, sku_id, {aggregates.SKU_SUMS} FROM s
 SELECT {sql.win('w')}, g.sku_id, original_amount, activity_reduce_amount, coupon_reduce_amount, order_amount,
        {joining.chained()} FROM g LEFT JOIN chain ON g.sku_id = chain.sku_id""")
 def sku_order(spark, sf):
-    return tables.sku_orders(feeds.details(spark, sf), feeds.sku_dims(spark, sf))
+    return tables.sku_orders(feeds.details(spark, sf), feeds.articles(spark, sf))
 
 
 @query("pipe_province_order", f"""

@@ -37,7 +37,7 @@ def shop_of(spark, sf, label: str, **more) -> live.Shop:
         db=Topic("db", f"{root}/in/db", file_format="parquet", columns="value string, offset bigint"),
         dim_config=lambda: feeds.config_changes(spark, sf), fact_config=lambda: feeds.config_changes(spark, sf, fact=True),
         dictionary=lambda: feeds.dictionary(spark, sf), provinces=lambda: feeds.provinces(spark, sf),
-        sku_dims=lambda: feeds.sku_dims(spark, sf), together=DAYS * 24 * 3600, paid=(30 * jobs.DAY, 60 * jobs.DAY), **more)
+        articles=lambda: feeds.articles(spark, sf), together=DAYS * 24 * 3600, paid=(30 * jobs.DAY, 60 * jobs.DAY), **more)
 
 
 def details_topic(spark, sf, shop: live.Shop) -> live.Shop:

@@ -9,6 +9,7 @@ from tradepulse.catalog.aggregates import DELTAS
 from tradepulse.catalog.registry import query
 from tradepulse.operators import changelog, parse, visitors
 from tradepulse.plans import windows as tables
+from tradepulse.session import landed
 
 
 def views(spark, sf):
@@ -20,7 +21,7 @@ def views(spark, sf):
 @query("fix_is_new", f"""
 WITH {sql.FIXED} SELECT event_id AS "offset", mid, is_new_fixed AS is_new, ms AS ts FROM fixed""")
 def fix_is_new(spark, sf):
-    fixed = visitors.repair_new_flag(feeds.logs(feeds.table(spark, sf, "events")))
+    fixed = visitors.repair_new_flag(feeds.landed_logs(spark, sf))
     return fixed.select("offset", F.col("common")["mid"].alias("mid"),
                         F.col("common")["is_new"].alias("is_new"), "ts")
 
@@ -31,7 +32,8 @@ SELECT mid, ms AS ts, vc, is_new, CAST(CASE WHEN last IS NULL OR last <> CAST(ts
        CAST(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END AS BIGINT) AS sv_ct, CAST(1 AS BIGINT) AS pv_ct, k AS dur_sum
 FROM p""")
 def uv_daily(spark, sf):
-    rows = visitors.visit_metrics(views(spark, sf))
+    """The rows are read twice, for the first of each day and to be marked; they are parsed once."""
+    rows = landed(visitors.visit_metrics(views(spark, sf)), "views")
     return visitors.flag_daily_first(rows, ["mid"], ["ts", "page_id"], "uv_ct").select(
         "mid", "ts", "vc", "is_new", "uv_ct", "sv_ct", "pv_ct", "dur_sum")
 
@@ -64,7 +66,7 @@ WITH {sql.LINES}, p AS (SELECT CAST(l_suppkey AS VARCHAR) AS user_id, id, sku_id
       FROM lines WHERE l_tax <> 0.08)
 SELECT user_id, id, sku_id, ts, CAST(CASE WHEN rn = 1 THEN 1 ELSE 0 END AS BIGINT) AS cart_add_uu_ct FROM p""")
 def uu_cart_daily(spark, sf):
-    rows = parse.cart_facts(feeds.cart_facts(spark, sf))
+    rows = landed(parse.cart_facts(feeds.cart_facts(spark, sf)).select("user_id", "id", "sku_id", "row_time"), "carts")
     return visitors.flag_daily_first(rows, ["user_id"], ["row_time", "id", "sku_id"], "cart_add_uu_ct").select(
         "user_id", "id", "sku_id", F.unix_millis("row_time").alias("ts"), "cart_add_uu_ct")
 

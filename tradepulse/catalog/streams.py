@@ -222,7 +222,7 @@ def stream_sku_order(spark, sf):
     """Versions are kept for good, as the batch form does; ``stream_delta_ttl`` forgets them."""
     money = ", ".join(f"{a} decimal(18,2)" for a in windows.SKU_AMOUNTS)
     names = ", ".join(f"{c} string" for c in joining.CHAIN_COLUMNS)
-    form = lambda p, w: tables.sku_orders_batches(spark, p, w, lambda: feeds.sku_dims(spark, sf), keep=None)
+    form = lambda p, w: tables.sku_orders_batches(spark, p, w, lambda: feeds.articles(spark, sf), keep=None)
     return run_batches(spark, late_lines(feeds.stream(spark, sf, "lineitem")), "sku-order", form, f"{WINDOW_COLUMNS}, sku_id string, {money}, {names}")
 
 

@@ -123,6 +123,25 @@ def dim_chain(facts: DataFrame, dims: Mapping[str, DataFrame],
     return facts
 
 
+def chain_columns(hops: Sequence[Hop] = SKU_CHAIN) -> list[str]:
+    return [out for hop in hops for out in hop.take]
+
+
+def wide_dimension(dims: Mapping[str, DataFrame], hops: Sequence[Hop] = SKU_CHAIN) -> DataFrame:
+    """The chain worked out on its first dimension: ``key`` and all looked-up columns, a row per member.
+
+    Facts of any size then need one join; the hops are joins of the dimension's size.
+    """
+    first = hops[0]
+    members = dims[first.dim].select(F.col(first.dim_key).alias(first.key)).where(F.col(first.key).isNotNull())
+    return dim_chain(members, dims, hops)
+
+
+def dim_wide(facts: DataFrame, wide: DataFrame, key: str = "sku_id") -> DataFrame:
+    """Left lookup of all columns of a wide dimension."""
+    return facts.join(wide, key, "left")
+
+
 class CachedDims:
     """Dimension snapshots held in executor storage and read again after ``ttl`` seconds."""
 

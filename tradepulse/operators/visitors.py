@@ -26,14 +26,27 @@ def page_columns(pages: DataFrame) -> DataFrame:
         "ts", F.timestamp_millis("ts").alias("row_time"))
 
 
+#: Device and flag as columns of their own: of landed logs the repair's first step reads no more than these.
+SHREDDED = {"_own_mid": "mid", "_own_flag": "is_new"}
+
+
+def shredded(logs: DataFrame) -> DataFrame:
+    return logs.withColumns({c: F.col("common")[name] for c, name in SHREDDED.items()})
+
+
+def _own(logs: DataFrame, name: str) -> Column:
+    column = next(c for c, n in SHREDDED.items() if n == name)
+    return F.col(column) if column in logs.columns else F.col("common")[name]
+
+
 def first_days(logs: DataFrame, key: Column | None = None) -> DataFrame:
     """``_mid, _first``: the day on which each device was new, from its first row flagged 0 or 1.
 
     That is the row's own date if flagged 1, the day before if flagged 0; on a tie the row
     flagged 1 decides. Devices without such a row are left out.
     """
-    flag = F.col("common")["is_new"]
-    firsts = (logs.where(flag.isin("0", "1")).groupBy((F.col("common")["mid"] if key is None else key).alias("_mid"))
+    flag = _own(logs, "is_new")
+    firsts = (logs.where(flag.isin("0", "1")).groupBy((_own(logs, "mid") if key is None else key).alias("_mid"))
               .agg(F.min(F.when(flag == "1", F.col("ts"))).alias("_new"),
                    F.min(F.when(flag == "0", F.col("ts"))).alias("_known")))
     day_of = lambda c: F.to_date(F.timestamp_millis(c))
@@ -44,11 +57,11 @@ def first_days(logs: DataFrame, key: Column | None = None) -> DataFrame:
 
 def with_true_flag(logs: DataFrame, firsts: DataFrame, key: Column | None = None) -> DataFrame:
     """Rows flagged 1 on another date than the device's first day are reset to 0; other flags pass."""
-    keyed = logs.withColumn("_mid", F.col("common")["mid"] if key is None else key)
+    keyed = logs.withColumn("_mid", _own(logs, "mid") if key is None else key)
     stale = (F.col("common")["is_new"] == "1") & (F.to_date(F.timestamp_millis("ts")) != F.col("_first"))
     fixed = F.transform_values("common", lambda k, v: F.when((k == "is_new") & stale, F.lit("0")).otherwise(v))
     joined = keyed.join(firsts, "_mid", "left")
-    return joined.select(*[fixed.alias(c) if c == "common" else F.col(c) for c in logs.columns])
+    return joined.select(*[fixed.alias(c) if c == "common" else F.col(c) for c in logs.columns if c not in SHREDDED])
 
 
 def repair_new_flag(logs: DataFrame, key: Column | None = None) -> DataFrame:

@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from tradepulse import schemas as S
 from tradepulse.operators import changelog, logsplit, parse, routing, visitors
 from tradepulse.sinks.keyed import DimTables
+from tradepulse.sources import topics
 
 
 def log_split(raw: DataFrame, path: str) -> dict[str, DataFrame]:
     """Raw behaviour log -> repaired logs -> err, start, display, action and page.
 
-    The repaired logs are landed under ``path`` and the five topics are read from there:
-    parsing, repair and shuffle happen once, not once per topic.
+    The logs are landed under ``path`` as parsed and as repaired, and the five topics are read from there:
+    each text is parsed once, repair and shuffle happen once, not once per topic.
     """
-    logs = visitors.repair_new_flag(parse.behaviour_logs(parse.parse_json(raw, S.LOG)))
-    logs.write.mode("overwrite").parquet(path)
-    return logsplit.split(raw.sparkSession.read.schema(S.LOG).parquet(path))
+    logs = visitors.repair_new_flag(topics.landed_logs(raw, f"{path}/parsed"))
+    logs.write.mode("overwrite").parquet(f"{path}/repaired")
+    return logsplit.split(raw.sparkSession.read.schema(S.LOG).parquet(f"{path}/repaired"))
 
 
 def _history(config_events: DataFrame, key: list[str], order: str, snapshot: DataFrame | None, position: int | None) -> DataFrame:

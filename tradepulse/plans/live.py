@@ -45,7 +45,8 @@ class Shop:
     fact_config: Read
     dictionary: Read
     provinces: Read
-    sku_dims: Callable[[], Mapping[str, DataFrame]]
+    #: the wide article dimension, see ``ArticleDimension`` and ``joins.wide_dimension``
+    articles: Read
     #: fact topics that other jobs read, by name
     facts: Mapping[str, Topic] = field(default_factory=dict)
     #: seconds within which the parts of a joined fact come, and from a line to its payment (before, after)
@@ -196,7 +197,7 @@ def cart_users(spark: SparkSession, shop: Shop) -> Job:
 
 
 def sku_orders(spark: SparkSession, shop: Shop) -> Job:
-    form = partial(tables.sku_orders_batches, dims=shop.sku_dims, size=shop.size, keep=shop.keep_versions)
+    form = partial(tables.sku_orders_batches, articles=shop.articles, size=shop.size, keep=shop.keep_versions)
     return _of_facts(form, "sku_orders", "order_detail", _lines, spark, shop)
 
 

@@ -7,7 +7,7 @@ keeps below ``path``; closed windows go to ``write``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,9 +193,9 @@ def sku_order_deltas(details: DataFrame, size: str = WINDOW, keep: str | None =
                                     SKU_AMOUNTS, by_time(size=size), keep)
 
 
-def sku_orders(details: DataFrame, dims: Mapping[str, DataFrame], size: str = WINDOW) -> DataFrame:
-    """Net amounts per article, with spu, categories and trademark looked up afterwards."""
-    return joins.dim_chain(windows.sku_orders(sku_order_deltas(details, size), size), dims)
+def sku_orders(details: DataFrame, articles: DataFrame, size: str = WINDOW) -> DataFrame:
+    """Net amounts per article, with spu, categories and trademark looked up afterwards in the wide dimension."""
+    return joins.dim_wide(windows.sku_orders(sku_order_deltas(details, size), size), articles)
 
 
 def _versions(spark: SparkSession, path: str, amounts: Sequence[str], keep: str | None) -> stores.Versions:
@@ -217,9 +217,9 @@ def sku_deltas_batches(spark: SparkSession, path: str, write: Write, size: str =
     return each
 
 
-def sku_orders_batches(spark: SparkSession, path: str, write: Write, dims: Callable[[], Mapping[str, DataFrame]], size: str = WINDOW,
+def sku_orders_batches(spark: SparkSession, path: str, write: Write, articles: Callable[[], DataFrame], size: str = WINDOW,
                        keep: str | None = "30 seconds", compact_every: int = 100) -> Write:
-    """Net amounts per article; ``dims`` are looked up when a window closes."""
+    """Net amounts per article; the wide dimension is looked up when a window closes."""
     table = stores.OpenWindows(spark, f"{path}/windows", _strings("sku_id"), _fields(T.DecimalType(18, 2), *SKU_AMOUNTS), size, LATENESS["window"])
     versions = _versions(spark, path, SKU_AMOUNTS, keep)
 
@@ -227,7 +227,7 @@ def sku_orders_batches(spark: SparkSession, path: str, write: Write, dims: Calla
         deltas = versions.deltas(lines, batch_id, by_time(size=size), ["sku_id"])
         return deltas.select(table.start("row_time").alias("_start"), "sku_id", *SKU_AMOUNTS)
 
-    return stores.windowed(table, partials, lambda closed: joins.dim_chain(_stamped(closed), dims()), write, [versions],
+    return stores.windowed(table, partials, lambda closed: joins.dim_wide(_stamped(closed), articles()), write, [versions],
                            lambda details: _placed(sku_amounts(details)), compact_every=compact_every)
 
 

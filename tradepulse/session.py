@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -56,3 +56,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tradepulse-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def landed(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written once and read back: steps that use them twice work them out once."""
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

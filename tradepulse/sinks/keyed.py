@@ -44,8 +44,11 @@ class DeltaStore:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/{kind}/batch={number}")
 
-    def raw(self, before: int | None = None) -> DataFrame:
-        """Newest base and the deltas after it, unmerged; ``before`` leaves out later batches."""
+    def raw(self, before: int | None = None, since: int | None = None) -> DataFrame:
+        """Newest base and the deltas after it, unmerged; ``before`` leaves out later batches, ``since`` all up to it."""
+        if since is not None:
+            numbers = [n for n in self._committed("delta") if n >= since and (before is None or n < before)]
+            return self._scan("delta", numbers) if numbers else self.spark.createDataFrame([], self.schema)
         older = [n for n in self._committed("base") if before is None or n < before]
         after = older[-1] if older else -1
         kinds = {"base": older[-1:], "delta": [n for n in self._committed("delta") if n > after and (before is None or n < before)]}

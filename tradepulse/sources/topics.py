@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from tradepulse import functions as fx
 from tradepulse import schemas as S
-from tradepulse.operators.parse import parse_json
+from tradepulse.operators import visitors
+from tradepulse.operators.parse import behaviour_logs, parse_json
 from tradepulse.operators.windows import LATENESS
 
 
@@ -59,6 +60,16 @@ def non_null_text(rows: DataFrame, value=None) -> DataFrame:
     return rows.select(F.coalesce(value, F.lit("")).alias("value"), *rest)
 
 
+def landed_logs(raw: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Behaviour logs parsed once into parquet below ``path``, with device and flag as columns of their own.
+
+    The repair of ``is_new`` reads its input twice; from here the first time is a scan of three columns.
+    """
+    logs = visitors.shredded(behaviour_logs(parse_json(raw, S.LOG, keep=keep)))
+    logs.write.mode("overwrite").parquet(path)
+    return raw.sparkSession.read.schema(logs.schema).parquet(path)
+
+
 def json_table(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """A topic as a table with declared columns; texts that do not parse give nulls."""
     return parse_json(raw, schema)

@@ -8,14 +8,19 @@ corrected when an outer side comes, however late, and goes when an inner side do
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import schemas as S
 from tradepulse.operators import joins
+from tradepulse.operators.changelog import RESET
+from tradepulse.operators.joins import SKU_CHAIN, Hop
 from tradepulse.plans import trade
-from tradepulse.sinks.keyed import UpsertTable
+from tradepulse.sinks.keyed import DimTables, UpsertTable
 
 
 def _side(*names: str) -> T.StructType:
@@ -65,3 +70,59 @@ class OrderDetails:
     def changelog(self, batch_id: int) -> DataFrame:
         """What a batch put (``deleted`` false) or took back."""
         return self.result._scan("delta", [batch_id]).drop("batch")
+
+
+class WideDimension:
+    """A chain of dimensions as one wide table, kept up to date from changes of any of them.
+
+    A change of a dimension touches the members that reach its row; they are found hop by hop
+    backwards, worked out anew and put in the place of what was there.
+    """
+
+    def __init__(self, dims: DimTables, path: str, hops: Sequence[Hop] = SKU_CHAIN):
+        self.dims, self.hops, self.key = dims, hops, hops[0].key
+        columns = [T.StructField(c, T.StringType()) for c in [self.key, *joins.chain_columns(hops)]]
+        self.table = UpsertTable(dims.spark, path, [self.key], ["batch"], T.StructType([*columns, T.StructField("batch", T.LongType())]))
+
+    def _wanted(self, hop: Hop) -> list[str]:
+        return list(dict.fromkeys([hop.dim_key, *hop.take.values()]))
+
+    def _now(self) -> dict[str, DataFrame]:
+        return {hop.dim: self.dims.dim(hop.dim, self._wanted(hop)) for hop in self.hops}
+
+    def _touched(self, batch_id: int) -> DataFrame:
+        """Keys of the members that a batch of the dimension tables concerns."""
+        changes = self.dims.raw(before=batch_id + 1, since=batch_id)
+        reach = joins.wide_dimension(self._now(), self.hops)
+        parts = [self._own(changes, self.hops[0]).withColumnRenamed("row_key", self.key)]
+        if self._renewed(batch_id):
+            parts += [reach.select(self.key), self.table.read(before=batch_id).select(self.key)]
+        for hop in self.hops[1:]:
+            parts.append(reach.join(self._own(changes, hop).withColumnRenamed("row_key", hop.key), hop.key, "left_semi").select(self.key))
+        return reduce(DataFrame.union, parts).distinct()
+
+    def _renewed(self, batch_id: int) -> bool:
+        """Whether a batch tells that one of the tables was dropped or created anew."""
+        def last(before: int) -> set[tuple]:
+            resets = self.dims.raw(before).where((F.col("type") == RESET) & F.col("sink_table").isin([hop.dim for hop in self.hops]))
+            return {tuple(r) for r in resets.groupBy("sink_table").agg(F.max("version")).collect()}
+
+        return last(batch_id + 1) != last(batch_id)
+
+    @staticmethod
+    def _own(changes: DataFrame, hop: Hop) -> DataFrame:
+        return changes.where(F.col("sink_table") == hop.dim).select("row_key").where("row_key is not null")
+
+    def update(self, batch_id: int) -> None:
+        """Take in what batch ``batch_id`` wrote to the dimension tables; repeating it changes nothing."""
+        touched = self._touched(batch_id)
+        now = self._now()
+        first = self.hops[0]
+        now[first.dim] = now[first.dim].join(touched.withColumnRenamed(self.key, first.dim_key), first.dim_key, "left_semi")
+        fresh = joins.wide_dimension(now, self.hops)
+        gone = touched.join(fresh.select(self.key), self.key, "left_anti").withColumn("deleted", F.lit(True))
+        put = fresh.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
+        self.table.write_batch(put.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop("batch")
