@@ -8,8 +8,9 @@ from tradepulse import functions as fx
 from tradepulse import schemas as S
 from tradepulse.catalog import feeds, sql
 from tradepulse.catalog.registry import query
-from tradepulse.operators import changelog, joins, routing
+from tradepulse.operators import changelog, joins, routing, segment
 from tradepulse.plans import trade
+from tradepulse.session import landed
 
 #: Versions by year: many of one line share their time, and the one that arrived last counts.
 YEARS = "years AS (SELECT * REPLACE (CAST(epoch(date_trunc('year', row_time)) AS BIGINT) AS ts) FROM lines)"
@@ -248,3 +249,10 @@ SELECT doc_id, keyword, CAST(count(*) AS BIGINT) AS n FROM (
 def keyword_lateral(spark, sf):
     words = feeds.table(spark, sf, "documents").select("doc_id", fx.keywords("text").alias("keyword"))
     return words.groupBy("doc_id", "keyword").agg(F.count("*").alias("n"))
+
+
+@query("keyword_segmented")
+def keyword_segmented(spark, sf):
+    """Words of a list mined from the texts. No SQL finds a best path; the test beside brute force does."""
+    docs = landed(feeds.table(spark, sf, "documents").select("doc_id", "text"), "texts")
+    return segment.segmented_keywords(docs, "doc_id")

@@ -32,7 +32,11 @@ def order_lines(details: DataFrame, orders: DataFrame, activities: DataFrame,
     line come first, since the lines already lie hashed by their id; only the last one, by
     order, moves them again. Versions of one second are told apart by ``pos``, their place in the topic.
     """
-    details, orders, activities, coupons = [last_version(side) for side in (details, orders, activities, coupons)]
+    return joined_lines(*[last_version(side) for side in (details, orders, activities, coupons)])
+
+
+def joined_lines(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame) -> DataFrame:
+    """:func:`order_lines` of sides that hold one version of each id already."""
     details = details.drop("pos")
     orders, activities, coupons = [side.drop("ts", "pos") for side in (orders, activities, coupons)]
     return (details

@@ -46,6 +46,7 @@ class OrderDetails:
             for table in tables:
                 table.compact(before=batch_id)
         held = changes.persist()
+        touched = None
         try:
             fresh = dict(zip(self.sides, trade.order_sides(held)))
             for name, table in self.sides.items():
@@ -53,16 +54,18 @@ class OrderDetails:
             upto = {n: table.read(before=batch_id + 1) for n, table in self.sides.items()}
             own = [fresh[n].select("id") for n in ("lines", "activities", "coupons")]
             of_orders = upto["lines"].join(fresh["orders"].select(F.col("id").alias("order_id")), "order_id", "left_semi").select("id")
-            touched = own[0].union(own[1]).union(own[2]).union(of_orders).distinct()
+            touched = own[0].union(own[1]).union(own[2]).union(of_orders).distinct().persist()
             lines, activities, coupons = (upto[n].join(touched, "id", "left_semi") for n in ("lines", "activities", "coupons"))
             orders = upto["orders"].join(lines.select(F.col("order_id").alias("id")), "id", "left_semi")
-            now = joins.order_lines(lines, orders, activities, coupons).select(*S.ORDER_DETAIL)
+            now = joins.joined_lines(lines, orders, activities, coupons).select(*S.ORDER_DETAIL)
             was = self.result.read(before=batch_id).select("id").join(touched, "id", "left_semi")
             gone = was.join(now.select("id"), "id", "left_anti").withColumn("deleted", F.lit(True))
             put = now.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
             self.result.write_batch(put.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
         finally:
-            held.unpersist()
+            for frame in (held, touched):
+                if frame is not None:
+                    frame.unpersist()
 
     def read(self) -> DataFrame:
         return self.result.read().drop("batch")
@@ -84,21 +87,27 @@ class WideDimension:
         columns = [T.StructField(c, T.StringType()) for c in [self.key, *joins.chain_columns(hops)]]
         self.table = UpsertTable(dims.spark, path, [self.key], ["batch"], T.StructType([*columns, T.StructField("batch", T.LongType())]))
 
-    def _wanted(self, hop: Hop) -> list[str]:
-        return list(dict.fromkeys([hop.dim_key, *hop.take.values()]))
+    def _members(self, folded: DataFrame) -> dict[str, DataFrame]:
+        """The dimensions as wide tables, out of one fold of all of them."""
+        def table(hop: Hop) -> DataFrame:
+            cells = [F.col("data")[c].alias(c) for c in dict.fromkeys(hop.take.values()) if c != hop.dim_key]
+            return folded.where(F.col("sink_table") == hop.dim).select(F.col("row_key").alias(hop.dim_key), *cells)
 
-    def _now(self) -> dict[str, DataFrame]:
-        return {hop.dim: self.dims.dim(hop.dim, self._wanted(hop)) for hop in self.hops}
+        return {hop.dim: table(hop) for hop in self.hops}
 
-    def _touched(self, batch_id: int) -> DataFrame:
+    def _touched(self, members: dict[str, DataFrame], batch_id: int) -> DataFrame:
         """Keys of the members that a batch of the dimension tables concerns."""
-        changes = self.dims.raw(before=batch_id + 1, since=batch_id)
-        reach = joins.wide_dimension(self._now(), self.hops)
+        changes = self.dims.raw(before=batch_id + 1, since=batch_id).select("sink_table", "row_key").distinct()
+        reach = joins.wide_dimension(members, self.hops)
         parts = [self._own(changes, self.hops[0]).withColumnRenamed("row_key", self.key)]
         if self._renewed(batch_id):
             parts += [reach.select(self.key), self.table.read(before=batch_id).select(self.key)]
+        met = F.lit(False)
         for hop in self.hops[1:]:
-            parts.append(reach.join(self._own(changes, hop).withColumnRenamed("row_key", hop.key), hop.key, "left_semi").select(self.key))
+            own = self._own(changes, hop).select(F.col("row_key").alias(f"_{hop.key}"))
+            reach = reach.join(own, F.col(hop.key) == F.col(f"_{hop.key}"), "left")
+            met = met | F.col(f"_{hop.key}").isNotNull()
+        parts.append(reach.where(met).select(self.key))
         return reduce(DataFrame.union, parts).distinct()
 
     def _renewed(self, batch_id: int) -> bool:
@@ -115,14 +124,21 @@ class WideDimension:
 
     def update(self, batch_id: int) -> None:
         """Take in what batch ``batch_id`` wrote to the dimension tables; repeating it changes nothing."""
-        touched = self._touched(batch_id)
-        now = self._now()
-        first = self.hops[0]
-        now[first.dim] = now[first.dim].join(touched.withColumnRenamed(self.key, first.dim_key), first.dim_key, "left_semi")
-        fresh = joins.wide_dimension(now, self.hops)
-        gone = touched.join(fresh.select(self.key), self.key, "left_anti").withColumn("deleted", F.lit(True))
-        put = fresh.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
-        self.table.write_batch(put.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+        folded = self.dims.read().where(F.col("sink_table").isin([hop.dim for hop in self.hops])).persist()
+        touched = None
+        try:
+            now = self._members(folded)
+            touched = self._touched(now, batch_id).persist()
+            first = self.hops[0]
+            now[first.dim] = now[first.dim].join(touched.withColumnRenamed(self.key, first.dim_key), first.dim_key, "left_semi")
+            fresh = joins.wide_dimension(now, self.hops)
+            gone = touched.join(fresh.select(self.key), self.key, "left_anti").withColumn("deleted", F.lit(True))
+            put = fresh.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
+            self.table.write_batch(put.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+        finally:
+            for frame in (folded, touched):
+                if frame is not None:
+                    frame.unpersist()
 
     def read(self) -> DataFrame:
         return self.table.read().drop("batch")
