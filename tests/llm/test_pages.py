@@ -67,6 +67,48 @@ def test_whole_cluster_without_an_article():
     assert html_text.main_text(html) == "\n".join([SOME] * 19)
 
 
+@pytest.mark.parametrize("html", [
+    f"<article><p>{SOME}</p></article><section class=comments>{f'<p>{SOME} Really.' * 8}</section>",
+    f"<div><p>{SOME}</p></div><div id=respond><ol class=commentlist>{f'<li class=comment><article><p>{SOME} Really.</article>' * 8}</ol></div>",
+    f"<div class='menu-page'><p>{SOME}</p></div><div class=comments>{f'<p>{SOME} Really.' * 8}</div>",
+    f"<main><p>{SOME}</p></main><aside>{f'<p>{SOME}' * 9}</aside><div class=sidebar>{f'<p>{SOME} Aside.' * 9}</div>",
+])
+def test_a_short_article_under_long_comments(html):
+    assert html_text.main_text(f"<body>{html}</body>") == SOME
+
+
+@pytest.mark.parametrize("end", ["<div>&copy; 2024 Example</div>", "<div><p>Imprint</p><p>Mail us</p></div>", "<div><a href=/a>About</a> <a href=/b>Us</a></div>", ""])
+@pytest.mark.parametrize("menu", ["<div><a href=/>Home</a><a href=/n>News</a></div>", "<div><span>Home</span><span>News</span></div>",
+                                  "<div><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></div>", "<ul><li><a href=/>Home</a><li><a href=/n>News</a></ul>"])
+def test_unmarked_menus_and_footers(menu, end):
+    """Nothing but the layout tells the article: what surrounds it stands in containers of its own."""
+    body = f"<div><h1>The heading</h1>{f'<p>{SOME}' * 4}<p>The end.</div>"
+    want = "\n".join(["The heading", *[SOME] * 4, "The end."])
+    assert html_text.main_text(f"<body>{menu}{body}{end}</body>") == want
+    apart = f"<div><h1>The heading</h1></div><div>{f'<p>{SOME}' * 4}<p>The end.</div>"
+    assert html_text.main_text(f"<body>{menu}{apart}{end}</body>") == want
+
+
+def test_header_of_an_article_and_labels_in_a_sentence():
+    html = f"<header><h2>Site</h2></header><article><header><h1>Title</h1></header><p>{SOME} With a <label>label</label>.<form><label>Mail</label><input></form></article>"
+    assert html_text.main_text(html) == f"Title\n{SOME} With a label."
+
+
+def test_deep_pages_take_time_and_memory_by_their_length():
+    import time
+    import tracemalloc
+
+    used = []
+    for depth in (2000, 16000):
+        html = "<div>" * depth + f"<p>{SOME}</p>" + "</section>" * depth + "x</div>" * depth
+        tracemalloc.start()
+        started = time.perf_counter()
+        assert SOME in html_text.main_text(html)
+        used.append((time.perf_counter() - started, tracemalloc.get_traced_memory()[1]))
+        tracemalloc.stop()
+    assert used[1][0] < 8 * 4 * used[0][0] + 0.5 and used[1][1] < 8 * 2 * used[0][1]
+
+
 PAGES = "page_id bigint, url string, html string"
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -36,36 +38,70 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.0
 
 
-class Lines(HTMLParser):
-    """Parser events to lines, one a block: text, tags, text in links, and the containers it stands in."""
+#: Marks of what readers write: such a block is never part of an article, whatever stands in it.
+READERS = frozenset("comment comments commentlist disqus reply replies respond".split())
+ARTICLES = ("article", "main")
+CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body"))
+HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
+
+
+@dataclass
+class Line:
+    """A block's text, with the tags before it, its letters in links, and where it stands."""
+
+    text: str
+    tags: int
+    linked: int
+    box: int
+    mark: int
+    heading: bool
+
+    @property
+    def size(self) -> int:
+        return max(0, len(self.text) - self.linked)
+
+
+class Page(HTMLParser):
+    """Parser events to lines, one a block.
+
+    Containers and marked blocks are numbered as they open and know their parent, so a line keeps
+    one number of each, however deep it stands. Number 0 stands for none.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
-        #: marked elements with the tags before them, and those that each line stands in
-        self.marks: dict[int, int] = {}
-        self.within: list[tuple[int, ...]] = []
-        self.articles: set[int] = set()
+        #: open elements: tag, whether its text is left out, whether it is a container, and the tags before a mark
+        self.stack: list[tuple[str, bool, bool, int | None]] = []
+        self.open: Counter[str] = Counter()
+        self.lines: list[Line] = []
         self.text: list[str] = []
-        self.tags = self.linked = self.seen = 0
-        self.off = self.anchors = 0
+        self.box = self.mark = self.tags = self.linked = self.off = 0
+        self.boxes, self.articles = [0], set()
+        #: of marked blocks: the parent, whether readers wrote it, and whether an article stands in it
+        self.marks, self.readers, self.holds = [0], [False], [False]
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            path = tuple(n for t, _, n in self.stack if t in ("article", "main", "section", "div", "td", "body"))
-            self.lines.append((text, self.tags, self.linked, path))
-            self.within.append(tuple(n for *_, n in self.stack if n in self.marks))
+            heading = any(tag in HEADINGS for tag, *_ in self.stack[-3:])
+            self.lines.append(Line(text, self.tags, self.linked, self.box, self.mark, heading))
             self.tags = 0
         self.text, self.linked = [], 0
 
-    def pop(self) -> str:
-        tag, off, n = self.stack.pop()
+    def pop(self) -> None:
+        tag, off, box, before = self.stack.pop()
+        self.open[tag] -= 1
         self.off -= off
-        self.tags = self.marks.get(n, self.tags)
-        self.anchors -= tag == "a"
-        return tag
+        if box:
+            self.box = self.boxes[self.box]
+        if before is not None:
+            self.tags, self.mark = before, self.marks[self.mark]
+
+    def skipped(self, tag: str) -> bool:
+        """Whether an element's text is none of an article's: a header in an article is, and a label outside of forms."""
+        if tag == "header":
+            return not any(self.open[t] for t in ARTICLES)
+        return tag in SKIPPED and tag != "form" and (tag != "label" or self.open["form"] > 0)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -79,18 +115,30 @@ class Lines(HTMLParser):
         self.tags += not self.off
         if tag in EMPTY:
             return
-        self.seen += 1
-        off = tag in SKIPPED and tag != "form" or self.hidden(tag, attrs)
-        if not off and (tag == "form" or self.marked(tag, attrs)):
+        off, before = self.skipped(tag) or self.hidden(tag, attrs), None
+        kind = None if off else "form" if tag == "form" else self.marked(tag, attrs)
+        if kind and tag not in BLOCKS:
+            off = True
+        elif kind:
             # whether a block is left out is known when the page is read; its tags count for its own lines
-            off = tag not in BLOCKS
-            if not off:
-                self.marks[self.seen], self.tags = self.tags - (not self.off), 0
-        if tag in ("article", "main"):
-            self.articles.add(self.seen)
-        self.stack.append((tag, off, self.seen))
+            before, self.tags = self.tags - (not self.off), 0
+            self.marks.append(self.mark)
+            self.readers.append(self.readers[self.mark] or kind == "readers")
+            self.holds.append(False)
+            self.mark = len(self.marks) - 1
+        box = tag in CONTAINERS
+        if box:
+            self.boxes.append(self.box)
+            self.box = len(self.boxes) - 1
+        if tag in ARTICLES and not self.readers[self.mark] and not self.off:
+            self.articles.add(self.box)
+            around = self.mark
+            while around and not self.holds[around]:
+                self.holds[around] = True
+                around = self.marks[around]
+        self.stack.append((tag, off, box, before))
+        self.open[tag] += 1
         self.off += off
-        self.anchors += tag == "a"
 
     def close_p(self) -> None:
         """A block ends an open paragraph, whose open inline elements go with it."""
@@ -104,40 +152,59 @@ class Lines(HTMLParser):
 
     @staticmethod
     def hidden(tag: str, attrs) -> bool:
-        if tag in ("html", "body", "article", "main"):
+        if tag in ("html", "body", *ARTICLES):
             return False
         return any(name == "hidden" or name == "aria-hidden" and value == "true"
                    or name == "style" and value and re.search(r"display\s*:\s*none", value) for name, value in attrs)
 
     @staticmethod
-    def marked(tag: str, attrs) -> bool:
-        if tag in ("html", "body", "article", "main"):
-            return False
+    def marked(tag: str, attrs) -> str | None:
+        """``readers`` for a block of comments, ``around`` for one that names what surrounds articles."""
+        if tag in ("html", "body", "main"):
+            return None
+        found = None
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
                 for token in value.split():
                     words = {w.lower() for w in WORD.findall(token)}
-                    if not MARKS.isdisjoint(words) and STATES.isdisjoint(words):
-                        return True
-            elif name == "aria-label" and value:
+                    if not STATES.isdisjoint(words):
+                        continue
+                    if not READERS.isdisjoint(words):
+                        return "readers"
+                    if tag != "article" and not MARKS.isdisjoint(words):
+                        found = "around"
+            elif tag != "article" and name == "aria-label" and value:
                 words = {w.lower() for w in WORD.findall(value)}
                 if not MARKS.isdisjoint(words) and words <= MARKS | PLAIN:
-                    return True
-        return False
+                    found = "readers" if not READERS.isdisjoint(words) else "around"
+        return found
 
-    def kept(self) -> list[tuple[str, int, int, tuple[int, ...]]]:
-        """Lines without those of marked blocks and forms, save such as hold most of the page's unlinked text.
+    def kept(self) -> list[Line]:
+        """Lines without those of marked blocks and forms.
 
-        A single line is no wrapper, and stays only where it is all there is.
+        A marked block is a wrapper of the page, and stays, if an article stands in it. Where all text of a page
+        stands in marked blocks, the one with most unlinked text of its own is taken for a wrapper. How
+        much a block holds beside an unmarked text plays no part, and what readers wrote never stays.
         """
-        size = [max(0, len(text) - linked) for text, _, linked, _ in self.lines]
-        total = sum(size)
-        held: dict[int, list[int]] = {}
-        for chars, marks in zip(size, self.within):
-            for n in marks:
-                held.setdefault(n, []).append(chars)
-        cut = {n for n, chars in held.items() if 2 * sum(chars) <= total or len(chars) == 1 and sum(chars) < total}
-        return [line for line, marks in zip(self.lines, self.within) if cut.isdisjoint(marks)]
+        opened = [n == 0 or held and not readers for n, (held, readers) in enumerate(zip(self.holds, self.readers))]
+
+        def survivors() -> list[Line]:
+            whole = [True] * len(opened)
+            for n in range(1, len(opened)):
+                whole[n] = opened[n] and whole[self.marks[n]]
+            return [line for line in self.lines if whole[line.mark]]
+
+        lines = survivors()
+        if any(line.size for line in lines):
+            return lines
+        own = Counter()
+        for line in self.lines:
+            if not self.readers[line.mark]:
+                own[line.mark] += line.size
+        n = max(own, key=lambda m: (own[m], -m), default=0)
+        while n and own:
+            opened[n], n = True, self.marks[n]
+        return survivors()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -150,6 +217,8 @@ class Lines(HTMLParser):
         elif tag == "br":
             self.text.append(" ")
         # an end tag without its start is left out; one that crosses others closes them
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
@@ -161,7 +230,7 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.off:
             self.text.append(data)
-            if self.anchors:
+            if self.open["a"]:
                 self.linked += len(data.strip())
 
     def close(self):
@@ -176,39 +245,75 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid")
 
 
+def region(page: Page, lines: list[Line], content: np.ndarray, strong: np.ndarray) -> list[int]:
+    """Numbers of the lines of the content region.
+
+    The innermost article or main element that holds all content lines is the region, with all its lines. Without
+    one it is what stands in the innermost container of all of them, less the branches at both ends, such as menus
+    and footers in containers of their own, that hold no strong line, and less linked lines there; headings right before it
+    belong to it.
+    """
+    held = [0] * len(page.boxes)
+    for line, keep in zip(lines, content):
+        held[line.box] += bool(keep)
+    total = int(content.sum())
+    for n in range(len(held) - 1, 0, -1):
+        held[page.boxes[n]] += held[n]
+    around = [n for n in range(len(held)) if held[n] == total]
+    best = max((n for n in around if n in page.articles), default=None)
+    article = best is not None
+    best = max(around) if best is None else best
+    # the branch of the region's container that each box stands in, -1 outside
+    branch = [-1] * len(held)
+    branch[best] = best
+    for n in range(best + 1, len(held)):
+        up = page.boxes[n]
+        branch[n] = n if up == best else branch[up]
+    inside = [i for i, line in enumerate(lines) if branch[line.box] >= 0]
+    if article:
+        return inside
+    solid = {branch[lines[i].box] for i in inside if strong[i]} - {best}
+    own = [i for i in inside if (lines[i].size > 0 if branch[lines[i].box] == best else branch[lines[i].box] in solid)]
+    first, last = own[0], own[-1]
+    while first and lines[first - 1].heading:
+        first -= 1
+    return list(range(first, own[0])) + [i for i in inside if own[0] <= i <= last]
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, one a line; empty if there is none.
 
-    Marked blocks and forms are left out unless they hold most of the unlinked text, as wrappers
-    of a page's layout do. Each block outside menus and the like is a line with a ratio of unlinked text to
-    tags. Lines whose smoothed ratio is above the threshold form the content cluster. The region
-    is the innermost article or main element that holds the whole cluster, or else the innermost
-    container that does, and all its lines are the text, short ones and headings too, so that
-    smoothing never cuts an article's ends.
+    Each block outside menus, marked blocks and the like (``Page.kept``) is a line with a ratio of unlinked
+    text to tags. Lines whose smoothed ratio is above the threshold are the content cluster; ``region`` tells
+    which lines around them belong to the article, short ones and headings too.
     """
-    parser = Lines()
-    parser.feed(html or "")
-    if parser.rawdata.startswith("<!--"):  # a comment without an end goes on to the page's end
-        parser.rawdata = ""
-    parser.close()
-    lines = parser.kept()
+    page = Page()
+    page.feed(html or "")
+    if page.rawdata.startswith("<!--"):  # a comment without an end goes on to the page's end
+        page.rawdata = ""
+    page.close()
+    lines = page.kept()
     if not lines:
         return ""
-    size = np.array([max(0, len(text) - linked) for text, _, linked, _ in lines], float)
-    ratio = smoothed(size / np.maximum(1, [tags for _, tags, _, _ in lines]))
-    content = ratio >= min(ratio.mean(), ratio.max()) * 0.5
-    content &= size > 0
-    if not content.any():
-        content = size >= 0
-    around = set.intersection(*[set(path) for keep, (*_, path) in zip(content, lines) if keep])
-    best = max(around & parser.articles or around, default=None)
-    inside = [best is None or best in path for *_, path in lines]
-    kept = [text for (text, *_), into in zip(lines, inside) if into]
-    return "\n".join(kept)
+    size = np.array([line.size for line in lines], float)
+    raw = size / np.maximum(1, [line.tags for line in lines])
+    ratio = smoothed(raw)
+    threshold = ratio.mean() * 0.5
+    content = (ratio >= threshold) & (size > 0)
+    # a strong line is above the threshold by itself, not by its neighbours
+    strong = content & (raw >= threshold)
+    if not strong.any():
+        strong = size >= size.max()
+    return "\n".join(lines[i].text for i in region(page, lines, strong, strong))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:
-    """``(id, carried columns, text)`` per row. Null html counts as empty, and an empty page has an empty text."""
+    """``(id, carried columns, text)`` per row.
+
+    Null html counts as empty, and an empty page has an empty text. Rows that repeat, or whose id is null, are rows
+    like others; other columns are ignored; an empty table gives an empty result. Pages of any length are
+    read whole, in memory that grows with the page and not with its depth.
+    """
     columns = [id_col, *carry, html_col]
 
     def run(batches: Batches) -> Batches:
