@@ -1,4 +1,4 @@
-"""Benchmark decontamination: shared words find candidates by sound bounds, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: rare seeds join documents to items, Smith-Waterman alignment scores the pairs."""
 
 from __future__ import annotations
 
@@ -8,14 +8,16 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradepulse.llm.shared import landed, map_rows
+from tradepulse.llm.shared import Batches, landed, map_rows
 
 WORDS = re.compile(r"\w+")
-#: Bytes of item texts that go to the documents at once.
-ITEM_BYTES = 4 << 20
+#: Bytes of item texts whose words and texts go to the documents at once, and seeds of an item beyond those
+#: that edits can break.
+ITEM_BYTES, SPARE = 16 << 20, 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -58,55 +60,71 @@ def align(item: list[str], words: list[str]) -> tuple[int, int, int]:
 
 
 class Index:
-    """Items by word, to tell which of them a text can hold with ``least`` of a whole copy's score.
+    """A block of items: their words as codes, their word pairs, and where in a text one of them can stand.
 
-    Both tests are bounds that no alignment exceeds, so none is lost. An alignment of m matches
-    scores 2 m at most, thus the text has ``least`` of the item's words, repeats counted. A word
-    of the text brings 2 if the item has it and costs 1 if not, so only stretches whose sum of
-    these reaches the score can hold the alignment. How many texts share a word plays no part.
+    Seeds are pairs of words, those next to each other in an item; in a text also pairs with one word between
+    count, so that an inserted word breaks none. An edit that breaks two pairs costs 3 of the score (a word
+    replaced or left out), one that breaks one costs 2 (a word cut off at an end, two words put in). A text that reaches ``least``
+    of the greatest score has lost ``2 n (1 - least)`` of it at most, so no more than two thirds of that in pairs are broken.
+    Items too short for this have their words as seeds.
     """
 
-    def __init__(self, items: list[tuple[int, str]], least: float):
-        self.items = [(i, w) for i, w in ((i, words_of(text)) for i, text in items) if w]
-        self.goal = np.array([MATCH * len(w) * least - 1e-9 for _, w in self.items])
-        self.codes: dict[str, int] = {}
-        self.own, postings = [], []
-        for k, (_, words) in enumerate(self.items):
-            counts = Counter(self.codes.setdefault(w, len(self.codes)) for w in words)
-            self.own.append(np.array(list(counts), np.int64))
-            postings += [(c, k, n) for c, n in counts.items()]
-        table = np.array(sorted(postings), np.int64).reshape(-1, 3)
-        self.of, self.times = table[:, 1], table[:, 2]
-        self.start = np.searchsorted(table[:, 0], np.arange(len(self.codes) + 1))
+    def __init__(self, items: list[tuple[int, int, str]], least: float):
+        self.least, self.codes = least, {}
+        self.items = [(key, i, words) for key, i, words in ((key, i, words_of(text)) for key, i, text in items) if words]
+        self.place = {key: k for k, (key, *_) in enumerate(self.items)}
+        self.words = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int64) for *_, words in self.items]
+        self.goal = [MATCH * len(words) * least - 1e-9 for *_, words in self.items]
         # the last place stands for words that no item has
         self.gain = np.full(len(self.codes) + 1, MISMATCH, np.int64)
-
-    def candidates(self, words: list[str]) -> Iterator[tuple[int, list[str], list[tuple[int, int]]]]:
-        """Items with the stretches of the text that can hold them."""
+        seeds = [self.seeds(k) for k in range(len(self.items))]
+        self.known = np.unique(np.concatenate([np.array(list(counts), np.int64) for counts, _ in seeds] or [np.zeros(0, np.int64)]))
+        size = len(self.codes)
+        self.single = np.zeros(size + 1, bool)
+        self.single[self.known[self.known >= size * size] - size * size] = True
+
+    def seeds(self, k: int) -> tuple[Counter, int]:
+        """Seeds of item ``k`` with their numbers, and how many of them edits can break."""
+        words, size = self.words[k], len(self.codes)
+        broken = int(2 * (MATCH * len(words) - self.goal[k]) // 3)
+        if len(words) - 1 > broken:
+            return Counter((words[:-1] * size + words[1:]).tolist()), broken
+        return Counter((size * size + words).tolist()), len(words) - int(np.ceil(self.goal[k] / MATCH))
+
+    def text(self, words: list[str]) -> np.ndarray:
         get = self.codes.get
-        text = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        met, times = np.unique(text[text >= 0], return_counts=True)
-        n = self.start[met + 1] - self.start[met]
-        at = np.repeat(self.start[met] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        shared = np.bincount(self.of[at], np.minimum(self.times[at], np.repeat(times, n)), len(self.items))
-        for k in np.flatnonzero((shared > 0) & (MATCH * shared >= self.goal)):
-            self.gain[self.own[k]] = MATCH
-            total = np.concatenate([[0], np.cumsum(self.gain[text])])
-            self.gain[self.own[k]] = MISMATCH
-            # the best sum of a stretch around each word
-            most = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], most >= self.goal[k], [0]])))
-            if len(edges):
-                yield *self.items[k], list(zip(edges[::2].tolist(), edges[1::2].tolist()))
-
-
-def blocks(items: DataFrame, longest: int) -> Iterator[list[tuple[int, str]]]:
-    """``(id, text)`` in blocks of about so many bytes, each distinct row once."""
-    items = landed(items.distinct(), "items")
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+    def met(self, text: np.ndarray) -> np.ndarray:
+        """Distinct seeds of any item that a text holds."""
+        size, found = len(self.codes), []
+        for apart in (1, 2):
+            a, b = text[:-apart], text[apart:]
+            both = (a >= 0) & (b >= 0)
+            found.append(a[both] * size + b[both])
+        found.append(size * size + text[self.single[text]])
+        grams = np.unique(np.concatenate(found))
+        at = np.searchsorted(self.known, grams)
+        return grams[(at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == grams)] if len(self.known) else grams[:0]
+
+    def stretches(self, k: int, text: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches that can hold an alignment of the item with its goal: a word brings 2 if the item has it, else costs 1."""
+        self.gain[self.words[k]] = MATCH
+        total = np.concatenate([[0], np.cumsum(self.gain[text])])
+        self.gain[self.words[k]] = MISMATCH
+        # the best sum of a stretch around each word
+        most = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], most >= self.goal[k], [0]])))
+        return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def blocks(items: DataFrame, longest: int) -> Iterator[list[tuple[int, int, str]]]:
+    """``(key, id, text)`` in blocks of about so many bytes, each distinct row once."""
+    items = landed(items.distinct().select(F.xxhash64("id", "text").alias("key"), "id", "text"), "items")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = size // longest + 1
     for k in range(n):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()]
+        yield [tuple(r) for r in items.where(F.pmod("key", F.lit(n)) == k).collect()]
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -114,39 +132,76 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     """``(id, item, score, first_word, last_word)``: items of which a document holds an exact or edited copy.
 
     The score is the best Smith-Waterman alignment of words over that of a whole copy; ``least``
-    or more is reported, with the span in the document's words. Seeds are single words: ``Index``
-    leaves out what cannot reach the score, and nothing else, so each document that scores
-    ``least`` is aligned, whatever other documents hold.
+    or more is reported, with the span in the document's words. Seeds are an item's rarest word pairs, by the
+    number of documents that hold them: as many as edits can break (``Index``) and SPARE more. Documents
+    and items are joined on them, and pairs with at least SPARE seeds in common are aligned. Whichever pairs
+    the edits break, enough of any choice of that many remain, so each document that scores ``least`` is aligned,
+    whatever other documents hold; how rare a seed is only tells how much is aligned in vain.
 
     Rows without an id or with a text without words match nothing. Rows that share an id are
-    aligned each, and the best is kept. Documents stay where they are: each block of ITEM_BYTES
-    of items is taken to them, one pass a block.
+    aligned each, and the best is kept. Each block of ITEM_BYTES of items is one pass over the documents; only the
+    seeds found leave it, and the texts of candidates.
     """
     docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
+    spark = docs.sparkSession
+
+    def against(block: list[tuple[int, int, str]]) -> DataFrame:
+        kept = spark.sparkContext.broadcast(Index(block, least))
+        keys = spark.createDataFrame([(key,) for key, *_ in block], "key bigint")
+
+        def own_seeds(part: dict) -> dict:
+            index, out = kept.value, {c: [] for c in ("item", "gram", "times", "broken")}
+            for key in part["key"]:
+                if key in index.place:
+                    counts, broken = index.seeds(index.place[key])
+                    for gram, times in counts.items():
+                        for c, v in zip(out, (key, gram, times, broken)):
+                            out[c].append(v)
+            return out
 
-    def against(block: list[tuple[int, str]]) -> DataFrame:
-        known: list[Index] = []
+        def met(batches: Batches) -> Batches:
+            index = kept.value
+            for batch in batches:
+                found = [index.met(index.text(words_of(t.as_py()))) for t in batch.column(2)]
+                ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else [], pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), grams], ["id", "key", "grams"])
+
+        keyed = docs.select("id", F.xxhash64("text").alias("key"), "text")
+        hits = landed(keyed.mapInArrow(met, "id bigint, key bigint, grams array<bigint>").where("size(grams) > 0")
+                      .select("id", "key", F.explode("grams").alias("gram")), "seeds-met")
+        seeds = map_rows(keys, own_seeds, "item bigint, gram bigint, times bigint, broken bigint")
+        seeds = seeds.join(hits.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left").na.fill(0, ["n"])
+        rarest = Window.partitionBy("item").orderBy("n", "gram")
+        seeds = seeds.withColumn("upto", F.sum("times").over(rarest.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        seeds = seeds.where(F.col("upto") - F.col("times") < F.col("broken") + SPARE)
+        chosen = landed(seeds.withColumn("need", F.max("upto").over(Window.partitionBy("item")) - F.col("broken")), "seeds")
+        pairs = (hits.join(chosen.where("n > 0").select("gram", "item", "times", "need"), "gram").groupBy("id", "key", "item")
+                 .agg(F.sum("times").alias("hits"), F.max("need").alias("need")).where("hits >= need"))
+        wanted = landed(pairs.groupBy("id", "key").agg(F.collect_set("item").alias("items")), "candidates")
 
         def judge(part: dict) -> dict:
-            if not known:
-                known.append(Index(block, least))
-            out: dict[str, list] = {k: [] for k in ("id", "item", "score", "first_word", "last_word")}
-            for i, text in zip(part["id"], part["text"]):
+            index, out = kept.value, {c: [] for c in ("id", "item", "score", "first_word", "last_word")}
+            for i, text, some in zip(part["id"], part["text"], part["items"]):
                 words = words_of(text)
-                for item, item_words, stretches in known[0].candidates(words):
+                codes = index.text(words)
+                for key in some:
+                    k = index.place[key]
+                    _, item, item_words = index.items[k]
                     best = (0, 0, 0)
-                    for a, b in stretches:
-                        s, x, y = align(item_words, words[a:b])
-                        if s > best[0]:
-                            best = (s, a + x, a + y)
+                    for a, b in index.stretches(k, codes):
+                        score, x, y = align(item_words, words[a:b])
+                        if score > best[0]:
+                            best = (score, a + x, a + y)
                     score = best[0] / (MATCH * len(item_words))
                     if score >= least:
-                        for k, v in zip(out, (i, item, score, best[1], best[2])):
-                            out[k].append(v)
+                        for c, v in zip(out, (i, item, score, best[1], best[2])):
+                            out[c].append(v)
             return out
 
-        return landed(map_rows(docs, judge, "id bigint, item bigint, score double, first_word bigint, last_word bigint"), "leaks")
+        candidates = keyed.join(wanted, ["id", "key"]).select("id", "text", "items")
+        return landed(map_rows(candidates, judge, "id bigint, item bigint, score double, first_word bigint, last_word bigint"), "leaks")
 
     found = reduce(DataFrame.unionAll, map(against, blocks(items, ITEM_BYTES)))
     best = F.max_by(F.struct("first_word", "last_word"), F.struct("score", -F.col("first_word"))).alias("at")
