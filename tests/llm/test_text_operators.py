@@ -46,6 +46,14 @@ def test_licenses_like_brute_force(spark):
     assert licenses.scan(documents(spark)).count() == 0
 
 
+def test_a_licence_of_three_paragraphs_at_the_head_of_a_long_text(spark):
+    mit = licenses.TEMPLATES["mit"]
+    a, b = mit.index("The above copyright"), mit.index("THE SOFTWARE IS PROVIDED")
+    text = "\n\n".join(["Some Project", mit[:a], mit[a:b], mit[b:], *["A paragraph about the project and what it does."] * 125])
+    got = {r.license: r.score for r in licenses.scan(documents(spark, (1, text), (2, text.replace("\n\n", "\n \n")))).where("id = 2").collect()}
+    assert got == {"mit": 1.0}
+
+
 def test_size_bounds_lose_nothing():
     r = random.Random(3)
     words = "released under the mit license all rights reserved licensed cc by 4 0".split()
@@ -248,3 +256,33 @@ def test_languages(spark):
 def test_language_without_training_text(spark):
     model = langid.train(documents(spark, (1, None, "en"), (2, "", "en"), (None, "abc", "en")))
     assert [tuple(r) for r in langid.identify(documents(spark, (1, "some text")), model).collect()] == [(1, "und", 0.0)]
+
+
+def test_tables_of_many_languages_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_BYTES", 200_000)
+    r = random.Random(3)
+    texts = {f"l{k}": "".join(r.choices("abcdefghijklmnop ", k=5000)).encode() for k in range(30)}
+    model = langid.LanguageModel.of(texts)
+    assert len(model.languages) == 30
+    assert sum(a.steps.nbytes for a in model.languages.values()) <= 200_000 * 1.2
+
+
+@pytest.mark.parametrize("spare", [1, 6, 50])
+def test_the_choice_of_seeds_loses_no_copy(spark, monkeypatch, spare):
+    """However many seeds are taken beyond those that edits can break, the same copies are found."""
+    monkeypatch.setattr(decontam, "SPARE", spare)
+    monkeypatch.setattr(decontam, "BROADCAST_CANDIDATES", 0 if spare == 6 else 1000)
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.randrange(1, 25)))) for k in range(25)]
+    docs = []
+    for n in range(150):
+        w = r.choice(items)[1].split()
+        out = []
+        for x in w:
+            p = r.random()
+            out += [] if p < 0.1 else [r.choice(vocabulary)] if p < 0.25 else [x, "put"] if p < 0.4 else [x, "put", "in"] if p < 0.45 else [x]
+        docs.append((n, " ".join(["before", *out, "after"])))
+    want = {(i, k) for i, t in docs for k, s in items if decontam.align(s.split(), t.split())[0] >= len(s.split())}
+    got = decontam.contaminated(documents(spark, *docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(x.id, x.item) for x in got} == want and len(want) > 100

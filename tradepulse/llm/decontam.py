@@ -17,7 +17,9 @@ from tradepulse.llm.shared import Batches, landed, map_rows
 WORDS = re.compile(r"\w+")
 #: Bytes of item texts whose words and texts go to the documents at once, and seeds of an item beyond those
 #: that edits can break.
-ITEM_BYTES, SPARE = 16 << 20, 3
+ITEM_BYTES, SPARE = 16 << 20, 6
+#: Candidate documents, some eighty bytes each, that every executor may hold; with more of them texts are shuffled.
+BROADCAST_CANDIDATES = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -200,6 +202,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                             out[c].append(v)
             return out
 
+        if wanted.count() <= BROADCAST_CANDIDATES:
+            wanted = F.broadcast(wanted)
         candidates = keyed.join(wanted, ["id", "key"]).select("id", "text", "items")
         return landed(map_rows(candidates, judge, "id bigint, item bigint, score double, first_word bigint, last_word bigint"), "leaks")
 
