@@ -36,6 +36,8 @@ TEMPLATES = {
         "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
         "OTHER DEALINGS IN THE SOFTWARE."),
 }
+#: A licence of several paragraphs is found at its own extent; most paragraphs of such a run.
+RUN = 12
 WORDS = re.compile("[A-Za-z0-9]+")
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -86,18 +88,20 @@ class Scanner:
 
 
 def passages(text: str) -> list[str]:
-    """Lines, paragraphs of several lines, and the whole text if it has several paragraphs."""
+    """Lines, paragraphs of several lines, runs of 2 to RUN paragraphs, and the whole text if it has several."""
     lines = text.split("\n")
     paragraphs = PARAGRAPH.split(text)
-    return lines + [p for p in paragraphs if "\n" in p] + ([text] if len(paragraphs) > 1 else [])
+    n = len(paragraphs)
+    runs = ["\n".join(paragraphs[i:i + k]) for k in range(2, min(RUN, n - 1) + 1) for i in range(n - k + 1)]
+    return lines + [p for p in paragraphs if "\n" in p] + runs + ([text] if n > 1 else [])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """``(id, license, score, passages)``: licences whose template a passage of the text matches.
 
-    Passages are lines, paragraphs and the whole text, in A-Z lower-cased runs of ASCII letters
-    and digits. The score is the Dice coefficient of the sets of word bigrams, ``least`` or more;
+    Passages are lines, paragraphs, runs of up to RUN paragraphs and the whole text, in A-Z lower-cased runs of
+    ASCII letters and digits. The score is the Dice coefficient of the sets of word bigrams, ``least`` or more;
     ``passages`` counts what matched. Null and empty texts match nothing; rows that share an id
     give rows each.
     """

@@ -30,7 +30,9 @@ LICENSES_SQL = f"""
 WITH t(license, text) AS (VALUES {licenses.templates_sql()}),
 split AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, regexp_split_to_array(text, '\\n[ \\t\\r]*\\n') AS ps
           FROM documents WHERE text IS NOT NULL),
-units AS (SELECT doc_id, unnest(ls || list_filter(ps, lambda p: contains(p, chr(10))) || CASE WHEN len(ps) > 1 THEN [text] ELSE [] END) AS u FROM split),
+units AS (SELECT doc_id, unnest(ls || list_filter(ps, lambda p: contains(p, chr(10))) || CASE WHEN len(ps) > 1 THEN [text] ELSE [] END) AS u FROM split
+          UNION ALL SELECT doc_id, array_to_string(ps[i:i + k - 1], chr(10)) FROM split, range(2, {licenses.RUN + 1}) AS a(k), range(1, len(ps)) AS b(i)
+          WHERE k < len(ps) AND i + k - 1 <= len(ps)),
 worded AS (SELECT doc_id, u, regexp_extract_all({LOWER.format("u")}, '[a-z0-9]+') AS w FROM units),
 grams AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g FROM worded),
 tw AS (SELECT license, regexp_extract_all({LOWER.format("text")}, '[a-z0-9]+') AS w FROM t),
