@@ -237,7 +237,9 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = rows.withColumn("digest", F.when((F.length("payload") >= least_bytes) & F.col("id").isNotNull(), F.sha1("payload")))
     first = (rows.where("digest is not null").groupBy("digest").agg(F.max("id").alias("first"), F.min("id").alias("least"))
              .where("first <> least").select("digest", "first"))
-    joined = rows.join(first, "digest", "left")
+    # rows without a digest match nothing; a key of their own each keeps them from meeting in one task
+    spread = F.coalesce("digest", F.concat(F.lit("-"), F.xxhash64("id", "uri", "payload").cast("string")))
+    joined = rows.withColumn("digest", spread).join(first, "digest", "left")
     revisit = F.col("first") != F.col("id")
     name = lambda c: F.concat(F.lit("urn:x-page:"), F.coalesce(c.cast("string"), F.lit("")))
     return joined.select(F.when(revisit, "revisit").otherwise("response").alias("type"), name(F.col("id")).alias("record_id"), "uri",
