@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradepulse.llm.shared import Batches
+from tradepulse.llm.shared import Batches, landed
 
-#: Size of the model: texts and bytes of training text of a language. Texts are chosen by a hash of the id.
-TRAIN_TEXTS, TRAIN_BYTES = 60, 40_000
+#: Size of the model: texts and bytes of training text of a language, and bytes of all languages' tables, which are
+#: broadcast: with very many languages each gets less text. Texts are chosen by a hash of the id.
+TRAIN_TEXTS, TRAIN_BYTES, MODEL_BYTES = 60, 40_000, 512 << 20
 #: Texts are parsed in windows of this many bytes, many windows at a time.
 WINDOW, STRIP = 256, 16384
+#: Chosen ids, a few bytes each, that every executor may hold; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 UNKNOWN = "und"
 
 
@@ -99,6 +102,9 @@ class LanguageModel:
     @classmethod
     def of(cls, texts: dict[str, bytes]) -> LanguageModel:
         seen = sorted(set(b"".join(texts.values())))
+        # an automaton has up to two states a byte, each a row of a 4-byte cell a symbol
+        longest = MODEL_BYTES // (8 * (len(seen) + 2) * max(1, len(texts)))
+        texts = {k: v[:longest] for k, v in texts.items()}
         codes = np.full(256, len(seen), np.int32)
         codes[seen] = np.arange(len(seen))
         return cls(codes, len(seen), {k: Automaton.of(v, codes, len(seen)) for k, v in sorted(texts.items())})
@@ -136,7 +142,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     labelled = labelled.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = labelled.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= TRAIN_TEXTS)
+    # ids are chosen before any text moves; no more text is taken than a language's model holds
+    chosen = landed(chosen, "chosen")
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
     rows = labelled.join(chosen, ["id", "lang"]).select("lang", "n", F.substring("text", 1, TRAIN_BYTES).alias("text"))
+    ahead = Window.partitionBy("lang").orderBy("n", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("ahead", F.coalesce(F.sum(F.char_length("text")).over(ahead), F.lit(0))).where(F.col("ahead") < TRAIN_BYTES)
     texts: dict[str, bytes] = {}
     for r in rows.orderBy("lang", "n", "text").collect():
         have = texts.get(r.lang, b"")
