@@ -56,6 +56,17 @@ def test_written_batches_may_be_repeated(spark, tmp_path):
     assert rows(spark.read.text(f"{tmp_path}/text"), "value") == rows(spark.read.text(f"{tmp_path}/routed"), "value") == [("x",), ("y",)]
 
 
+def test_folded_deltas_go_with_the_second_fold(spark, tmp_path):
+    """The directories of a table stay few; what the last base was made of stays for its readers."""
+    store = keyed.UpsertTable(spark, str(tmp_path), ["id"], ["ts"], S.fact_schema(["id", "ts"]))
+    for n in range(6):
+        store.write_batch(spark.createDataFrame([(f"k{n}", n), ("all", n)], "id string, ts bigint"), n)
+        if n in (1, 3, 5):
+            store.compact()
+    assert store._committed("base") == [3, 5] and store._committed("delta") == [4, 5]
+    assert rows(store.read()) == [("all", 5), *[(f"k{n}", n) for n in range(6)]]
+
+
 # -- corrected joins ---------------------------------------------------------------------------
 
 def change(spark, *items):

@@ -49,14 +49,18 @@ class DeltaStore:
         if since is not None:
             numbers = [n for n in self._committed("delta") if n >= since and (before is None or n < before)]
             return self._scan("delta", numbers) if numbers else self.spark.createDataFrame([], self.schema)
-        older = [n for n in self._committed("base") if before is None or n < before]
-        after = older[-1] if older else -1
-        kinds = {"base": older[-1:], "delta": [n for n in self._committed("delta") if n > after and (before is None or n < before)]}
+        kinds = self._live(before)
         parts = [self._scan(kind, numbers) for kind, numbers in kinds.items() if numbers]
         if not parts:
             return self.spark.createDataFrame([], self.schema)
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
+    def _live(self, before: int | None = None) -> dict[str, list[int]]:
+        """The directories that make the table: the newest base and the deltas after it."""
+        older = [n for n in self._committed("base") if before is None or n < before]
+        after = older[-1] if older else -1
+        return {"base": older[-1:], "delta": [n for n in self._committed("delta") if n > after and (before is None or n < before)]}
+
     def _scan(self, kind: str, numbers: Sequence[int]) -> DataFrame:
         """One scan over all the directories: the plan does not grow with their number."""
         paths = [f"{self.path}/{kind}/batch={n}" for n in numbers]
@@ -64,9 +68,18 @@ class DeltaStore:
                 .parquet(*paths).select(*self.schema.names))
 
     def compact(self, before: int | None = None) -> None:
+        """Fold the deltas into a new base. What lies before the last base is deleted: nobody has read it since."""
         deltas = [n for n in self._committed("delta") if before is None or n < before]
-        if deltas and deltas[-1] > (self._committed("base") or [-1])[-1]:
+        bases = self._committed("base")
+        if deltas and deltas[-1] > (bases or [-1])[-1]:
             self._put(self._base(self.raw(before)), "base", deltas[-1])
+            for kind, numbers in (("base", bases[:-1]), ("delta", [n for n in deltas if bases and n <= bases[-1]])):
+                for n in numbers:
+                    self._delete(kind, n)
+
+    def _delete(self, kind: str, number: int) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/batch={number}")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def _base(self, rows: DataFrame) -> DataFrame:
         """What a base keeps of all rows: by default all of them."""
@@ -89,8 +102,11 @@ class UpsertTable(DeltaStore):
 
     def read(self, before: int | None = None) -> DataFrame:
         """The table, or what it was before a batch."""
-        last = changelog.latest_by_key(self.raw(before), self.key, self.order)
-        return last.where(~F.col("deleted")).drop("deleted")
+        rows = self.raw(before)
+        # one directory holds each key once
+        if sum(map(len, self._live(before).values())) > 1:
+            rows = changelog.latest_by_key(rows, self.key, self.order)
+        return rows.where(~F.col("deleted")).drop("deleted")
 
     def _base(self, rows: DataFrame) -> DataFrame:
         return changelog.latest_by_key(rows, self.key, self.order)
