@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import functions as fx
+from tradepulse.session import landed
 
 # Executors get the path search with the plan and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,6 +47,7 @@ def mine_words(runs: DataFrame, longest: int = LONGEST, least: int = LEAST, cohe
     Only distinct stretches are counted and joined, whatever the number of texts.
     """
     grams = runs.select(_stretches("run", longest).alias("s"), "n").groupBy(F.col("s.word").alias("word")).agg(F.sum("n").alias("n"))
+    grams = landed(grams, "stretches")
     letters = runs.agg(F.sum(F.col("n") * F.char_length("run"))).first()[0] or 0
     frequent = grams.where((F.char_length("word") > 1) & (F.col("n") >= least))
     cuts = frequent.select("word", F.explode(F.sequence(F.lit(1), F.char_length("word") - 1)).alias("at"))
@@ -101,7 +103,7 @@ def segment_runs(runs: DataFrame, words: DataFrame, longest: int = LONGEST) -> D
 
 def segmented_keywords(texts: DataFrame, id_col: str, text: str = "text", **limits) -> DataFrame:
     """``id, keyword, n``: how often each word of the mined list comes in a text, by best-path segmentation."""
-    runs = letter_runs(texts, text)
+    runs = landed(letter_runs(texts, text), "runs")
     cut = segment_runs(runs, mine_words(runs, **limits), limits.get("longest", LONGEST))
     # a run that stands in every text leaves one row a text before it meets its words
     own = texts.select(F.col(id_col), F.explode(fx.tokens(text)).alias("run")).groupBy(id_col, "run").agg(F.count("*").alias("n"))
