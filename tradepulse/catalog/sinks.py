@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import schemas as S
-from tradepulse.catalog import aggregates, etl, feeds, sql
+from tradepulse.catalog import aggregates, etl, feeds, joining, sql
 from tradepulse.catalog.registry import query
 from tradepulse.operators import changelog, parse, routing, shape
 from tradepulse.plans import base, trade
@@ -15,6 +18,7 @@ from tradepulse.session import scratch_dir
 from tradepulse.sources import topics
 from tradepulse.sinks import keyed
 from tradepulse.sinks import topics as out
+from tradepulse.streaming import views
 from tradepulse.streaming.jobs import each_batch
 
 
@@ -136,6 +140,28 @@ def dim_refresh(spark, sf):
     return store.dim("dim_user", ["priority", "last_order"])
 
 
+@query("dim_wide_articles", f"""
+WITH {joining.DIMS.replace("n3.n_name AS category3_name", "n3.n_name || CASE WHEN n3.n_nationkey % 2 = 0 THEN ' (new)' ELSE '' END AS category3_name")}
+SELECT sku_id, {joining.chained()} FROM chain""")
+def dim_wide_articles(spark, sf):
+    """All levels in one batch of dimension changes, new names of some categories in the next."""
+    path, dims = scratch_dir(spark, "wide"), feeds.sku_dims(spark, sf)
+    store = keyed.DimTables(spark, f"{path}/dims")
+    wide = views.WideDimension(store, f"{path}/articles")
+
+    def changes(name, rows, version):
+        cells = [x for c in rows.columns if c != "id" for x in (F.lit(c), F.col(c))]
+        return rows.select(F.col("id").alias("row_key"), F.create_map(*cells).alias("data"), F.lit("update").alias("type"),
+                           F.lit(version).cast("bigint").alias("version"), F.lit(0).cast("bigint").alias("pos"), F.lit(name).alias("sink_table"))
+
+    named = dims["dim_base_category3"].where("id % 2 = 0").select("id", F.concat("name", F.lit(" (new)")).alias("name"))
+    batches = [reduce(DataFrame.unionByName, [changes(n, d, 1) for n, d in dims.items()]), changes("dim_base_category3", named, 2)]
+    for number, batch in enumerate(batches):
+        store.write_batch(batch, number)
+        wide.update(number)
+    return wide.read().select("sku_id", *joining.CHAIN_COLUMNS)
+
+
 @query("dim_table_lifecycle", f"""
 WITH {sql.CONFIG},
 r AS (SELECT *, row_number() OVER (PARTITION BY sink_table ORDER BY ts_ms DESC, (op <> 'd') DESC) AS rn FROM steps)

@@ -26,7 +26,7 @@ from tradepulse.sources import topics
 from tradepulse.sources.topics import Topic
 from tradepulse.streaming import firstdays
 from tradepulse.streaming.jobs import Job, each_batch
-from tradepulse.streaming.views import OrderDetails
+from tradepulse.streaming.views import OrderDetails, WideDimension
 
 Read = Callable[[], DataFrame]
 #: An upsert topic as files: a payload, or none for a deletion, with its key and place.
@@ -54,6 +54,8 @@ class Shop:
     paid: tuple[int, int] = (5, 900)
     #: how long a version of an order line is remembered
     keep_versions: str | None = "30 seconds"
+    #: whether the dimension job keeps the wide article dimension (:func:`article_dimension`) as well
+    keep_articles: bool = False
     size: str = "10 seconds"
 
     def path(self, *parts: str) -> str:
@@ -92,8 +94,19 @@ def log_split(spark: SparkSession, shop: Shop) -> Job:
     return _job(shop, "log_split", logs, lambda rows: each_batch(rows, write))
 
 
+def article_dimension(spark: SparkSession, shop: Shop) -> WideDimension:
+    return WideDimension(DimTables(spark, shop.path("dims")), shop.path("articles"))
+
+
 def dim_sync(spark: SparkSession, shop: Shop) -> Job:
-    write = base.dim_sync_batch(DimTables(spark, shop.path("dims")), shop.dim_config, shop.database)
+    wide = article_dimension(spark, shop)
+    sync = base.dim_sync_batch(wide.dims, shop.dim_config, shop.database)
+
+    def write(changes: DataFrame, batch_id: int) -> None:
+        sync(changes, batch_id)
+        if shop.keep_articles:
+            wide.update(batch_id)
+
     return _job(shop, "dim_sync", _changes(shop), lambda rows: each_batch(rows, write))
 
 
