@@ -23,7 +23,7 @@ NONE = 1 << 62
 #: Nodes below a node of the tree.
 FAN = 32
 #: Entries of a process's memories of words and of runs; a full memory starts anew. Longer ones aren't kept.
-WORD_MEMORY, RUN_MEMORY, LONGEST = 1_000_000, 400_000, 64
+WORD_MEMORY, RUN_MEMORY, LONGEST = 600_000, 300_000, 64
 
 
 def byte_letters() -> list[str]:

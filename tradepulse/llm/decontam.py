@@ -164,11 +164,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
         def met(batches: Batches) -> Batches:
             index = kept.value
-            for batch in batches:
-                found = [index.met(index.text(words_of(t.as_py()))) for t in batch.column(2)]
-                ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else [], pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), grams], ["id", "key", "grams"])
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1000):
+                    batch = whole.slice(at, 1000)
+                    found = [index.met(index.text(words_of(t.as_py()))) for t in batch.column(2)]
+                    ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                    grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int64()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), grams], ["id", "key", "grams"])
 
         keyed = docs.select("id", F.xxhash64("text").alias("key"), "text")
         hits = landed(keyed.mapInArrow(met, "id bigint, key bigint, grams array<bigint>").where("size(grams) > 0")
