@@ -1,6 +1,7 @@
 """BPE beside the public library; top-k beside brute force."""
 
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -56,6 +57,59 @@ def test_tree_is_leftmost_lowest_rank(ids, ranks):
     assert bpe.merge_all(list(ids), pairs) == now
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aeinrstdlhéß日"), min_size=1, max_size=80))
+def test_node_and_tree_agree(word):
+    ids = [BPE.first[b] for b in word.encode()]
+    side_by_side = BPE.merge_words([b"x", word.encode(), b"the"])
+    assert bpe.merge_all(ids, BPE.pairs) == np.frombuffer(side_by_side[1], np.int32).tolist() == public(word)[0]
+
+
+def instructions(call):
+    """Python instructions that a call executes."""
+    count, before = 0, sys.gettrace()
+
+    def trace(frame, event, arg):
+        nonlocal count
+        frame.f_trace_opcodes = True
+        count += event == "opcode"
+        return trace
+
+    sys.settrace(trace)
+    try:
+        call()
+    finally:
+        sys.settrace(before)
+    return count
+
+
+def test_new_words_take_few_instructions():
+    pick = random.Random(5)
+    words = {"".join(pick.choices("aeinrstdlhéß", k=pick.randint(6, 14))) for _ in range(2000)}
+    text, fresh = " ".join(sorted(words)), bpe.ByteBpe(open(PATH, encoding="utf-8").read())
+    steps = instructions(lambda: fresh.encode(text))
+    assert steps < 30 * len(text), steps / len(text)
+    assert fresh.encode(text).tolist() == public(text)[0]
+
+
+def test_memory_keeps_what_is_met():
+    memory, found = bpe.Memory(4), {}
+    for word in "abacadaeafag":
+        for w in memory.recall({word}, found):
+            memory.put(w, w.encode())
+        assert len(memory) <= 4 and not memory.recall({"a"}, {})
+    assert memory.recall(set("bcg"), {}) == {"b", "c"} and found["a"] == b"a"
+
+
+def test_texts_together_like_one_by_one(monkeypatch):
+    texts = [t or "" for t in TEXTS] * 2
+    want = [public(t)[0] for t in texts]
+    for together in (1, 50, bpe.TOGETHER):
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        assert [c.tolist() for c in BPE.encode_all(texts)] == want
+    assert BPE.encode_all([]) == []
+
+
 def test_operator_on_odd_rows(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (6, "same id"), (6, "same id")]
     got = bpe.encode_decode(clashing(documents(spark, *rows)), PATH).collect()
