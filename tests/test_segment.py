@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tradepulse.operators import segment
+from tradepulse.session import landed
 
 
 def paths(size, edges):
@@ -74,3 +75,18 @@ def test_words_run_together_are_found(spark):
 def test_segments_of_nothing(spark):
     df = spark.createDataFrame([], "id bigint, text string")
     assert segment.segmented_keywords(df, "id").count() == 0
+
+
+def test_rows_made_of_runs_are_not_broadcast(spark):
+    """The planner takes the stretches of runs to be as few as the runs; sent to the driver they would fill it."""
+    runs = landed(spark.createDataFrame([("redshoe", 7), ("red", 9), ("shoe", 8)], "run string, n bigint"), "runs")
+    words = segment.mine_words(runs)
+    for rows in (words, segment.segment_runs(runs, words)):
+        assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_and_rare_runs_meet_the_same_words(spark):
+    texts = [*["red shoe redshoe hat"] * 9, *["hatred shoehat"] * 3, "bluehat", "the" * 40, "größe"]
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 7, t) for i, t in enumerate(texts)], "id bigint, text string")
+    got = [sorted(map(str, segment.segmented_keywords(df, "id", often_letters=n).collect())) for n in (0, 200, 1 << 20)]
+    assert got[0] == got[1] == got[2] and got[0]

@@ -10,7 +10,6 @@ from tradepulse.catalog import feeds, sql
 from tradepulse.catalog.registry import query
 from tradepulse.operators import changelog, joins, routing, segment
 from tradepulse.plans import trade
-from tradepulse.session import landed
 
 #: Versions by year: many of one line share their time, and the one that arrived last counts.
 YEARS = "years AS (SELECT * REPLACE (CAST(epoch(date_trunc('year', row_time)) AS BIGINT) AS ts) FROM lines)"
@@ -275,5 +274,5 @@ cut AS (SELECT run, substr(run, best[p + 1].start + 1, p - best[p + 1].start) AS
 SELECT doc_id, keyword, CAST(count(*) AS BIGINT) AS n FROM own JOIN cut USING (run) GROUP BY ALL""")
 def keyword_segmented(spark, sf):
     """Words of a list mined from the texts, by the best path; the twin walks each run letter by letter."""
-    docs = landed(feeds.table(spark, sf, "documents").select("doc_id", "text"), "texts")
+    docs = feeds.table(spark, sf, "documents").select("doc_id", "text")
     return segment.segmented_keywords(docs, "doc_id")
