@@ -207,3 +207,20 @@ def test_there_are_eighteen_jobs(spark, tmp_path):
     jobs = {name: build(spark, shop) for name, build in live.JOBS.items()}
     assert len(jobs) == 18 and all(isinstance(j, Job) for j in jobs.values())
     assert len({j.checkpoint for j in jobs.values()}) == 18
+
+
+def test_order_lines_leave_nothing_behind_but_their_tables(spark, tmp_path):
+    """What a batch parses is kept in files while it runs, not by Spark, and sides without changes are not written."""
+    view = OrderDetails(spark, str(tmp_path))
+    order = ("order_info", "insert", 1, {"id": "o", "user_id": "u", "province_id": "p"})
+    other = ("order_info", "update", 2, {"id": "o", "user_id": "v", "province_id": "p"})
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    held = []
+    land = view._landed
+    view._landed = lambda changes, n: held.append(land(changes, n)) or held[-1]
+    view.write_batch(change(spark, line("1", 5), line(None, 5), order, other), 0)
+    view.write_batch(change(spark, line("1", 6, sku="t"), other), 1)
+    assert rows(view.read(), "id", "sku_id", "user_id") == [("1", "t", "u")]
+    assert len(held) == 2 and spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert not list(tmp_path.glob("fresh/*")) and view.sides["orders"]._committed("delta") == [0]
+    assert view.sides["coupons"]._committed("delta") == [] and list(tmp_path.glob("result/delta/*/*.zstd.parquet"))

@@ -12,7 +12,7 @@ from tradepulse.catalog import aggregates, etl, feeds, jobs, joining, sql, strea
 from tradepulse.catalog.registry import query
 from tradepulse.operators import parse
 from tradepulse.plans import live
-from tradepulse.session import scratch_dir
+from tradepulse.session import PACKED, scratch_dir
 from tradepulse.sinks import keyed
 from tradepulse.sources.topics import Topic
 from tradepulse.streaming.views import OrderDetails
@@ -24,7 +24,7 @@ DAYS = 100
 def land(topic: Topic, *texts: DataFrame) -> Topic:
     """Append texts to a topic of parquet files."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), texts)
-    rows.write.mode("append").parquet(topic.path)
+    rows.write.mode("append").option("compression", PACKED).parquet(topic.path)
     return topic
 
 

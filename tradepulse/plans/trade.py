@@ -63,6 +63,10 @@ def order_detail(changes: DataFrame) -> DataFrame:
     return joins.order_lines(*order_sides(changes)).select(*S.ORDER_DETAIL)
 
 
+#: The tables that an order line is put together from.
+ORDER_TABLES = ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+
+
 def order_sides(changes: DataFrame) -> list[DataFrame]:
     """Versions of lines, orders, activities and coupons."""
     return [side(changes, VERSION) for side in (order_lines, new_orders, line_activities, line_coupons)]

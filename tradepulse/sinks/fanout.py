@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradepulse.session import PACKED
 from tradepulse.sinks.keyed import DeltaStore
 
 
@@ -35,7 +36,8 @@ class FanOut:
         if batch_id in self.committed():
             return
         for name in self.topics:
-            splits[name].write.mode("overwrite").format(self.format).save(self._folder(name, batch_id))
+            writer = splits[name].write.mode("overwrite").format(self.format)
+            (writer.option("compression", PACKED) if self.format == "parquet" else writer).save(self._folder(name, batch_id))
         self.manifest._put(self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("number")), "delta", batch_id)
 
     def writer(self, split: Callable[[DataFrame], Mapping[str, DataFrame]]) -> Callable[[DataFrame, int], None]:

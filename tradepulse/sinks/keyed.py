@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tradepulse.operators import changelog
 from tradepulse.schemas import STR_MAP
+from tradepulse.session import PACKED, delete
 
 
 class DeltaStore:
@@ -37,7 +38,7 @@ class DeltaStore:
                       if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS")))
 
     def _put(self, rows: DataFrame, kind: str, number: int) -> None:
-        writer = rows.select(*self.schema.names).write.mode("overwrite")
+        writer = rows.select(*self.schema.names).write.mode("overwrite").option("compression", PACKED)
         # the directory is the unit of commit, whatever the session's overwrite mode
         writer = writer.option("partitionOverwriteMode", "static")
         if self.partition_by:
@@ -78,8 +79,7 @@ class DeltaStore:
                     self._delete(kind, n)
 
     def _delete(self, kind: str, number: int) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/batch={number}")
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(self.spark, f"{self.path}/{kind}/batch={number}")
 
     def _base(self, rows: DataFrame) -> DataFrame:
         """What a base keeps of all rows: by default all of them."""

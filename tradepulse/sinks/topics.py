@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tradepulse.session import PACKED
+
 
 def json_payload(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return rows.select(F.to_json(F.struct(*(columns or rows.columns))).alias("value"))
@@ -59,7 +61,7 @@ def console_stream(rows: DataFrame, checkpoint: str) -> DataStreamWriter:
 def land_changes(changes: DataFrame, path: str, batch_id: int = 0) -> None:
     """Write a batch of parsed row changes as parquet, one directory per table and change type."""
     cols = [c for c in changes.columns if c not in ("row_time", "proc_time")]
-    (changes.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (changes.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", PACKED)
      .partitionBy("table", "type").parquet(f"{path}/batch_id={batch_id}"))
 
 
@@ -79,6 +81,6 @@ def window_table_batch(path: str):
 def plain_batch(path: str):
     """``foreachBatch`` writer of parquet rows; a repeated batch overwrites its own directory."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").option("compression", PACKED).parquet(f"{path}/batch_id={batch_id}")
 
     return write

@@ -20,7 +20,10 @@ from tradepulse.operators import joins
 from tradepulse.operators.changelog import RESET
 from tradepulse.operators.joins import SKU_CHAIN, Hop
 from tradepulse.plans import trade
+from tradepulse.session import delete, free_shuffles
 from tradepulse.sinks.keyed import DimTables, UpsertTable
+from tradepulse.sinks.topics import land_changes
+from tradepulse.sources.topics import landed_changes
 
 
 def _side(*names: str) -> T.StructType:
@@ -37,7 +40,7 @@ class OrderDetails:
         self.sides = {n: UpsertTable(spark, f"{path}/{n}", ["id"], trade.VERSION, shape) for n, shape in shapes.items()}
         result = T.StructType([*S.fact_schema(S.ORDER_DETAIL).fields, T.StructField("batch", T.LongType())])
         self.result = UpsertTable(spark, f"{path}/result", ["id"], ["batch"], result)
-        self.compact_every = compact_every
+        self.spark, self.fresh, self.compact_every = spark, f"{path}/fresh", compact_every
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         """Take a batch of row changes; repeating it changes nothing."""
@@ -45,27 +48,43 @@ class OrderDetails:
         if batch_id and batch_id % self.compact_every == 0:
             for table in tables:
                 table.compact(before=batch_id)
-        held = changes.persist()
+        fresh = dict(zip(self.sides, trade.order_sides(self._landed(changes, batch_id))))
+        for name, table in self.sides.items():
+            # a side without changes gets no directory: as long as it has one only, it is read without merging
+            if not fresh[name].isEmpty():
+                table.write_batch(fresh[name], batch_id)
+                free_shuffles(self.spark)
+        delete(self.spark, f"{self.fresh}/batch_id={batch_id}")
+        upto = {n: table.read(before=batch_id + 1) for n, table in self.sides.items()}
+        fresh = {n: table.raw(before=batch_id + 1, since=batch_id) for n, table in self.sides.items()}
         touched = None
         try:
-            fresh = dict(zip(self.sides, trade.order_sides(held)))
-            for name, table in self.sides.items():
-                table.write_batch(fresh[name], batch_id)
-            upto = {n: table.read(before=batch_id + 1) for n, table in self.sides.items()}
-            own = [fresh[n].select("id") for n in ("lines", "activities", "coupons")]
-            of_orders = upto["lines"].join(fresh["orders"].select(F.col("id").alias("order_id")), "order_id", "left_semi").select("id")
-            touched = own[0].union(own[1]).union(own[2]).union(of_orders).distinct().persist()
-            lines, activities, coupons = (upto[n].join(touched, "id", "left_semi") for n in ("lines", "activities", "coupons"))
-            orders = upto["orders"].join(lines.select(F.col("order_id").alias("id")), "id", "left_semi")
-            now = joins.joined_lines(lines, orders, activities, coupons).select(*S.ORDER_DETAIL)
-            was = self.result.read(before=batch_id).select("id").join(touched, "id", "left_semi")
-            gone = was.join(now.select("id"), "id", "left_anti").withColumn("deleted", F.lit(True))
-            put = now.withColumn("deleted", F.lit(False)).unionByName(gone, allowMissingColumns=True)
-            self.result.write_batch(put.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
+            # in a first batch every line is touched and none was there
+            now, gone = {**upto, "lines": upto["lines"].where("id is not null")}, None
+            if any(table._live(before=batch_id)["base"] or table._live(before=batch_id)["delta"] for table in tables):
+                own = [fresh[n].select("id") for n in ("lines", "activities", "coupons")]
+                of_orders = upto["lines"].join(fresh["orders"].select(F.col("id").alias("order_id")), "order_id", "left_semi").select("id")
+                touched = own[0].union(own[1]).union(own[2]).union(of_orders).distinct().persist()
+                now = {n: upto[n].join(touched, "id", "left_semi") for n in ("lines", "activities", "coupons")}
+                now["orders"] = upto["orders"].join(now["lines"].select(F.col("order_id").alias("id")), "id", "left_semi")
+                gone = self.result.read(before=batch_id).select("id").join(touched, "id", "left_semi")
+            lines = joins.joined_lines(*[now[n] for n in self.sides]).select(*S.ORDER_DETAIL)
+            put = lines.withColumn("deleted", F.lit(False))
+            if gone is not None:
+                gone = gone.join(lines.select("id"), "id", "left_anti").withColumn("deleted", F.lit(True))
+                put = put.unionByName(gone, allowMissingColumns=True)
+            # a row a line by now: nothing is left to merge
+            self.result._put(put.withColumn("batch", F.lit(batch_id).cast("bigint")), "delta", batch_id)
         finally:
-            for frame in (held, touched):
-                if frame is not None:
-                    frame.unpersist()
+            if touched is not None:
+                touched.unpersist()
+        free_shuffles(self.spark)
+
+    def _landed(self, changes: DataFrame, batch_id: int) -> DataFrame:
+        """The changes that count, parsed once into files: kept by Spark they would go to disk unpacked."""
+        own = F.col("table").isin(*trade.ORDER_TABLES) & (F.col("type") == "insert")
+        land_changes(changes.where(own), self.fresh, batch_id)
+        return landed_changes(self.spark, f"{self.fresh}/batch_id={batch_id}")
 
     def read(self) -> DataFrame:
         return self.result.read().drop("batch")
