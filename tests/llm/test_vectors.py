@@ -59,6 +59,13 @@ def test_negatives_like_brute_force(spark, monkeypatch, seed, d, wide):
     assert want and mined(spark, rows[::12], rows) == want
 
 
+def test_cells_of_the_grid_are_not_broadcast(spark):
+    """The planner takes the copies of the blocks to be as few as the blocks; sent to the driver they would fill it."""
+    rows = frame(spark, drawn(60, 3, 4))
+    plan = negatives.mine(rows.where("vec_id % 10 = 0"), rows)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "BroadcastExchange" not in plan
+
+
 def test_negatives_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [*drawn(60, 2, 5), *drawn(60, 2, 6)[:20], (5, None, 1), (6, [None, 1.0], 1), (7, [nan, 1.0], 1), (8, [inf, 1.0], 2), (9, [1.0, 1.0], None),

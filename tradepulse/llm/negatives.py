@@ -213,7 +213,8 @@ def mine(anchors: DataFrame, rows: DataFrame, positives: int = 5, negatives: int
 
     def grid(left: DataFrame) -> DataFrame:
         left = left.withColumn("down", number(down)).withColumn("across", every(across))
-        return left.join(right, ["dim", "down", "across"]).drop("down", "across")
+        # the planner takes copies for cells to be as few as the blocks: neither side may be broadcast
+        return left.join(right.hint("merge"), ["dim", "down", "across"]).drop("down", "across")
 
     def near(batches: Batches) -> Batches:
         everything = [(LEAST, MOST)]
@@ -241,12 +242,12 @@ def mine(anchors: DataFrame, rows: DataFrame, positives: int = 5, negatives: int
                 yield _batch([(row["block"], i, w + 1, far_id, s) for i, w, far_id, s in found],
                              ["block", "pos", "n", "negative_id", "negative_score"])
 
-    hits = grid(named(a, "a_").join(states, "block")).mapInArrow(
+    hits = grid(named(a, "a_").join(states.hint("merge"), "block")).mapInArrow(
         far, "block bigint, pos bigint, n bigint, negative_id bigint, negative_score bigint")
     best = Window.partitionBy("block", "pos", "n").orderBy(F.col("negative_score").desc(), "negative_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives)
     anchor_ids = a.select("block", F.posexplode("ids").alias("at", "anchor_id")).select("block", F.col("at").cast("long").alias("pos"), "anchor_id")
-    return (ranked.join(chosen, ["block", "pos", "n"]).join(anchor_ids, ["block", "pos"])
+    return (ranked.join(chosen.hint("merge"), ["block", "pos", "n"]).join(anchor_ids.hint("merge"), ["block", "pos"])
             .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"))
 
 
