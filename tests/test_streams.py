@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import random
@@ -308,3 +309,24 @@ def test_dim_sync_from_a_stream_follows_the_config(spark, tmp_path):
     write = base.dim_sync_batch(store, lambda: spark.createDataFrame(events, config), "shop")
     each_batch(changes, write).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert rows(store.dim("dim_sku", ["name", "weight"])) == [("1", "n2", None)]
+
+
+def test_a_batch_is_kept_in_files_while_it_runs(spark, tmp_path):
+    """Rows kept by Spark would go to disk unpacked; a window's only directory is read without merging."""
+    table = stores.OpenWindows(spark, str(tmp_path), [T.StructField("k", T.StringType())], [T.StructField("n", T.LongType())])
+    kept, out = [], []
+
+    def partials(rows, _n):
+        kept.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return rows.select(table.start("row_time").alias("_start"), "k", F.lit(1).cast("bigint").alias("n"))
+
+    def write(closed, _n):
+        out.append(("Exchange" in closed._jdf.queryExecution().executedPlan().toString(), {(r.k, r.n) for r in closed.collect()}))
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    each = stores.windowed(table, partials, lambda c: c, write)
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    each(spark.createDataFrame([("a", at(1)), ("a", at(2)), (None, at(3)), ("b", at(12))], "k string, row_time timestamp"), 0)
+    each(spark.createDataFrame([("b", at(13)), ("c", at(25))], "k string, row_time timestamp"), 1)
+    assert out == [(False, {("a", 2), (None, 1)}), (True, {("b", 2)})]
+    assert kept == [before, before] and not list(tmp_path.glob("rows/delta/batch*"))

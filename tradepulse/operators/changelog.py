@@ -198,19 +198,19 @@ def with_previous(rows: DataFrame, key: Sequence[str], order: Sequence[str],
     # All columns take part in the order. That settles ties, and it makes the two readers
     # of ``seen`` below need the very same shuffle, which Spark then runs once.
     rest = [c for c in rows.columns if c not in {*key, *order}]
-    cut = rows.withColumns({"_slice": slice_by, "_state": F.struct(*values)})
+    cut = rows.withColumn("_slice", slice_by)
     inner = Window.partitionBy(*key, "_slice").orderBy(*order, *rest)
-    seen = (cut.withColumn("_prev", F.lag("_state").over(inner))
-            .withColumn("_last", F.lead(F.lit(True)).over(inner).isNull()))
-    tails = seen.where("_last").select(*key, "_slice", "_state")
+    # each value by itself: a struct of them would be shuffled beside them
+    seen = cut.withColumns({**{f"_prev_{v}": F.lag(v).over(inner) for v in values},
+                            "_first": F.lag(F.lit(True)).over(inner).isNull(), "_last": F.lead(F.lit(True)).over(inner).isNull()})
+    tails = seen.where("_last").select(*key, "_slice", F.struct(*values).alias("_state"))
     carry = tails.select(*key, "_slice", F.lag("_state").over(
         Window.partitionBy(*key).orderBy("_slice")).alias("_carry"))
     # only keys that live through several slices carry anything
     carry = carry.where(F.col("_carry").isNotNull())
     joined = seen.join(carry, [*key, "_slice"], "left")
-    previous = F.coalesce("_prev", "_carry")
-    return (joined.withColumn("_p", previous)
-            .select(*rows.columns, *[F.col(f"_p.{v}").alias(f"prev_{v}") for v in values]))
+    previous = lambda v: F.when(F.col("_first"), F.col(f"_carry.{v}")).otherwise(F.col(f"_prev_{v}"))
+    return joined.select(*rows.columns, *[previous(v).alias(f"prev_{v}") for v in values])
 
 
 def version_deltas(rows: DataFrame, key: Sequence[str], order: Sequence[str],

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tradepulse import functions as fx
 from tradepulse.operators import changelog
 from tradepulse.operators.windows import WINDOW
+from tradepulse.session import free_shuffles
 from tradepulse.sinks.keyed import DeltaStore
 
 Write = Callable[[DataFrame, int], None]
@@ -81,6 +82,7 @@ class Versions(DeltaStore):
         filled = rows.withColumns({a: fx.money_or_zero(a) for a in self.amounts})
         last = changelog.latest_by_key(filled.select(self.key, *self.order, *self.amounts), [self.key], [*self.order, *self.amounts])
         self._put(last.withColumn("_batch", F.lit(batch_id).cast("bigint")), "delta", batch_id)
+        free_shuffles(self.spark)
         known = self.known(batch_id).select(self.key, F.struct(time, *self.amounts).alias("_known"))
         seen = changelog.with_previous(filled, [self.key], [*self.order, *self.amounts, *settle], [time, *self.amounts], slice_by)
         own = F.struct(*[F.col(f"prev_{c}").alias(c) for c in (time, *self.amounts)])
@@ -151,7 +153,8 @@ class OpenWindows(DeltaStore):
     def closing(self, batch_id: int, low: Column, high: Column) -> DataFrame:
         """Whole sums of the windows that end after ``low`` and not after ``high``, with the window as ``_w``."""
         due = self.raw(before=batch_id + 1).where((self.end() > low) & (self.end() <= high))
-        merged = self._merged(due)
+        # one directory holds each window and key once
+        merged = self._merged(due) if sum(map(len, self._live(batch_id + 1).values())) > 1 else due
         return merged.select(F.struct(F.col("_start").alias("start"), self.end().alias("end")).alias("_w"), *self.keys, *[f.name for f in self.sums])
 
     def fold(self, before: int) -> None:
@@ -177,17 +180,19 @@ def windowed(windows: OpenWindows, partials: Callable[[DataFrame, int], DataFram
             windows.fold(batch_id)
             for store in stores:
                 store.compact(before=batch_id)
-        held = rows(batch).persist()
-        try:
-            before = windows.marks.newest(batch_id)
-            newest = held.agg(F.max(F.unix_micros(time))).first()[0]
-            newest = max((n for n in (before, newest) if n is not None), default=None)
-            low, high = windows.watermark(before), windows.watermark(newest)
-            on_time = held.where(windows.start(time) + interval(windows.size) > low)
-            windows.add(partials(on_time, batch_id), batch_id)
-            windows.marks.add(newest, batch_id)
-            write(finish(windows.closing(batch_id, low, high)), batch_id)
-        finally:
-            held.unpersist()
+        # parsed once into files: kept by Spark the rows would go to disk unpacked
+        parsed = DeltaStore(windows.spark, f"{windows.path}/rows", (flat := rows(batch)).schema)
+        parsed._put(flat, "delta", batch_id)
+        held = parsed._scan("delta", [batch_id])
+        before = windows.marks.newest(batch_id)
+        newest = held.agg(F.max(F.unix_micros(time))).first()[0]
+        newest = max((n for n in (before, newest) if n is not None), default=None)
+        low, high = windows.watermark(before), windows.watermark(newest)
+        on_time = held.where(windows.start(time) + interval(windows.size) > low)
+        windows.add(partials(on_time, batch_id), batch_id)
+        windows.marks.add(newest, batch_id)
+        parsed._delete("delta", batch_id)
+        free_shuffles(windows.spark)
+        write(finish(windows.closing(batch_id, low, high)), batch_id)
 
     return each
