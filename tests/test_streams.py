@@ -330,3 +330,15 @@ def test_a_batch_is_kept_in_files_while_it_runs(spark, tmp_path):
     each(spark.createDataFrame([("b", at(13)), ("c", at(25))], "k string, row_time timestamp"), 1)
     assert out == [(False, {("a", 2), (None, 1)}), (True, {("b", 2)})]
     assert kept == [before, before] and not list(tmp_path.glob("rows/delta/batch*"))
+
+
+def test_pages_that_search_nothing_close_keyword_windows(spark, tmp_path):
+    """As the watermark of the stream form does, which stands before the filter of searches."""
+    search = {"last_page_id": "search", "item_type": "keyword"}
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    some_pages = [({**search, "item": "Red shoe red"}, at(1)), ({**search, "item": "12"}, at(2)), ({"page_id": "home"}, at(16)), (None, at(17))]
+    pages_ = spark.createDataFrame(some_pages, "page map<string,string>, row_time timestamp")
+    for all_pages, want in ((True, {("red", 2), ("shoe", 1), (None, 1)}), (False, set())):
+        path = f"{tmp_path}/{all_pages}"
+        tables.keywords_batches(spark, path, out.plain_batch(f"{path}/out"), all_pages=all_pages)(pages_, 0)
+        assert {(r.keyword, r.keyword_count) for r in spark.read.parquet(f"{path}/out").collect()} == want

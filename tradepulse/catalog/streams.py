@@ -203,7 +203,8 @@ def stream_register(spark, sf):
                                 of="(SELECT TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * doc_id AS ts FROM documents)"))
 def stream_keyword(spark, sf):
     pages = topics.page_log(feeds.document_page_texts(feeds.stream(spark, sf, "documents")))
-    return run(spark, tables.keywords(pages), "keyword")
+    return run_batches(spark, pages, "keyword", lambda p, w: tables.keywords_batches(spark, p, w, all_pages=True),
+                       f"{WINDOW_COLUMNS}, keyword string, keyword_count bigint")
 
 
 def late_lines(sf_stream: DataFrame) -> DataFrame:

@@ -115,9 +115,12 @@ def province_order_facts(rows: DataFrame) -> DataFrame:
     return timed_facts(rows, "id", "order_id", "province_id")
 
 
+def is_search() -> Column:
+    """Views that come from the search page by keyword."""
+    page = F.col("page")
+    return (page["last_page_id"] == "search") & (page["item_type"] == "keyword") & page["item"].isNotNull()
+
+
 def search_keywords(pages: DataFrame) -> DataFrame:
     """Search texts: views that come from the search page by keyword."""
-    page = F.col("page")
-    return (pages.where((page["last_page_id"] == "search") & (page["item_type"] == "keyword")
-                        & page["item"].isNotNull())
-            .select(page["item"].alias("keywords"), "row_time"))
+    return pages.where(is_search()).select(F.col("page")["item"].alias("keywords"), "row_time")

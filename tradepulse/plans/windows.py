@@ -101,14 +101,20 @@ def keywords(pages: DataFrame, size: str = WINDOW) -> DataFrame:
     return windows.keyword_counts(words, size)
 
 
-def keywords_batches(spark: SparkSession, path: str, write: Write, size: str = WINDOW, compact_every: int = 100) -> Write:
+def keywords_batches(spark: SparkSession, path: str, write: Write, size: str = WINDOW, compact_every: int = 100, all_pages: bool = False) -> Write:
+    """With ``all_pages`` any page tells how late it is, as the stream form of :func:`keywords` has it, else searches only."""
     table = stores.OpenWindows(spark, f"{path}/windows", _strings("keyword"), _counts("keyword_count"), size, LATENESS["window"])
 
     def rows(pages: DataFrame) -> DataFrame:
-        return parse.search_keywords(pages).select("row_time", fx.keywords("keywords").alias("keyword"))
+        words = parse.search_keywords(pages).select("row_time", fx.keywords("keywords").alias("keyword"), F.lit(True).alias("searched"))
+        if not all_pages:
+            return words
+        searched = F.coalesce(parse.is_search(), F.lit(False))
+        found = pages.select("row_time", F.when(searched, fx.tokens(F.col("page")["item"])).alias("found"), searched.alias("searched"))
+        return found.select("row_time", F.explode_outer("found").alias("keyword"), "searched")
 
     def partials(words: DataFrame, _batch_id: int) -> DataFrame:
-        return words.select(table.start("row_time").alias("_start"), "keyword", _one("keyword_count"))
+        return words.where("searched").select(table.start("row_time").alias("_start"), "keyword", _one("keyword_count"))
 
     return stores.windowed(table, partials, _stamped, write, (), rows, compact_every=compact_every)
 
