@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from test_visitors import fixed_by_hand, pages, some
 
 from tradepulse import schemas as S
-from tradepulse.operators import visitors, windows
+from tradepulse.operators import joins, visitors, windows
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
 from tradepulse.sinks import keyed
@@ -342,3 +342,26 @@ def test_pages_that_search_nothing_close_keyword_windows(spark, tmp_path):
         path = f"{tmp_path}/{all_pages}"
         tables.keywords_batches(spark, path, out.plain_batch(f"{path}/out"), all_pages=all_pages)(pages_, 0)
         assert {(r.keyword, r.keyword_count) for r in spark.read.parquet(f"{path}/out").collect()} == want
+
+
+def test_sides_of_a_join_wait_for_each_other(spark, tmp_path):
+    """Rows that come in several batches, in any order, meet once; folding lets go of those too old to meet."""
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    pick = random.Random(5)
+    columns = "_side int, k string, a bigint, b bigint, row_time timestamp"
+    data = [(pick.randint(0, 1), pick.choice(["x", "y", None]), i, i, at(pick.randint(0, 60))) for i in range(40)]
+    data = [(s, k, a if s == 0 else None, b if s == 1 else None, t) for s, k, a, b, t in data]
+    sides = [T.StructType([f for f in spark.createDataFrame([], columns).schema.fields if f.name in names])
+             for names in (("k", "a", "row_time"), ("k", "b", "row_time"))]
+    near = lambda left, right: joins.within(left, right, ["k"], 10).select("k", "a", "b")
+    want = sorted((k, a, b) for s, k, a, _, t in data for u, m, _, b, v in data
+                  if (s, u) == (0, 1) and k is not None and k == m and abs((t - v).total_seconds()) <= 10)
+    store, got = stores.JoinedSides(spark, str(tmp_path), sides, 10), []
+    for n, some_rows in enumerate((data[:15], [], data[15:30], data[30:])):
+        for _ in range(2):  # the batch is repeated
+            store.add(spark.createDataFrame(some_rows, columns), n)
+            found = [tuple(r) for r in store.joined(n, near).collect()]
+        got += found
+    assert want and sorted(got) == want
+    store.compact()
+    assert {r.row_time for r in store.raw().collect()} == {t for *_, t in data if t >= max(t for *_, t in data) - dt.timedelta(seconds=10)}

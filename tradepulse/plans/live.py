@@ -7,7 +7,7 @@ topics or upsert tables by key, window tables one directory a batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepulse import schemas as S
-from tradepulse.operators import logsplit, parse
+from tradepulse.operators import joins, logsplit, parse
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
+from tradepulse.session import free_shuffles
 from tradepulse.sinks import topics as out
 from tradepulse.sinks.fanout import FanOut
 from tradepulse.sinks.keyed import DimTables, UpsertTable
 from tradepulse.sources import topics
 from tradepulse.sources.topics import Topic
-from tradepulse.streaming import firstdays
+from tradepulse.streaming import firstdays, stores
 from tradepulse.streaming.jobs import Job, each_batch
 from tradepulse.streaming.views import OrderDetails, WideDimension
 
@@ -143,10 +144,35 @@ def _details(spark: SparkSession, shop: Shop) -> DataFrame:
     return topics.fact_reread(topics.raw_text(spark, shop.fact("order_detail")), S.ORDER_DETAIL, timed=True)
 
 
-def order_cancel(_spark: SparkSession, shop: Shop) -> Job:
-    source = lambda s: trade.order_cancel(_details(s, shop), _changes(shop)(s), shop.together)
-    sink = lambda rows: out.append_stream(out.json_payload(rows), shop.path("facts", "order_cancel"), shop.path("checkpoints", "order_cancel"))
-    return _job(shop, "order_cancel", source, sink)
+#: A fold of an interval join's sides comes each so many batches; rows may be so many seconds late.
+FOLD, LATE = 100, 15
+
+
+def _joined(spark: SparkSession, shop: Shop, name: str, sides: Sequence[T.StructType], rows, join) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function from ``rows`` of the sides in a batch to an appended fact topic."""
+    store = stores.JoinedSides(spark, shop.path("state", name), sides, shop.together * (len(sides) - 1) + LATE)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % FOLD == 0:
+            store.compact(before=batch_id)
+        store.add(rows(batch, batch_id), batch_id)
+        out.write_text(out.json_payload(store.joined(batch_id, join)), shop.path("facts", name), batch_id)
+        free_shuffles(spark)
+
+    return each
+
+
+def _timed(*names: str) -> T.StructType:
+    return T.StructType([*S.fact_schema(list(names)).fields, T.StructField("row_time", T.TimestampType())])
+
+
+def order_cancel(spark: SparkSession, shop: Shop) -> Job:
+    """Lines and cancellations wait for each other in a table beside the stream."""
+    lines = _timed(*[c for c in S.ORDER_DETAIL if c not in ("user_id", "province_id")])
+    join = lambda *sides: joins.within(*sides, ["order_id"], shop.together).select(*S.ORDER_DETAIL)
+    each = _joined(spark, shop, "order_cancel", [lines, _timed("order_id", "user_id", "province_id")], lambda rows, _n: rows, join)
+    source = lambda s: stores.numbered([_details(s, shop).select(*lines.names), trade.cancelled_orders(_changes(shop)(s), ["row_time"])])
+    return _job(shop, "order_cancel", source, lambda rows: each_batch(rows, each))
 
 
 def paid_table(spark: SparkSession, shop: Shop) -> UpsertTable:

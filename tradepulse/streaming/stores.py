@@ -12,6 +12,7 @@ Across micro-batches the order of arrival counts, inside one the event time.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,6 +168,41 @@ class OpenWindows(DeltaStore):
         return self._merged(rows.where(self.end() > self._closed))
 
 
+class JoinedSides(DeltaStore):
+    """Rows of the sides of an interval join, batch by batch, in the place of a stream-stream join's state.
+
+    A batch brings the rows of the join that one of its own takes part in, each of them once. A base keeps the rows of
+    the newest ``keep`` seconds; until then late rows meet the others as well. ``_side`` numbers the sides.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, sides: Sequence[T.StructType], keep: int):
+        fields = {f.name: f for side in sides for f in side.fields}
+        super().__init__(spark, path, T.StructType([*fields.values(), T.StructField("_side", T.IntegerType())]), ["_side"])
+        self.sides, self.keep = [side.names for side in sides], keep
+
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        """``rows`` of all sides, with ``_side``: parsed once, whatever the number of sides."""
+        self._put(rows, "delta", batch_id)
+
+    def joined(self, batch_id: int, join: Callable[..., DataFrame]) -> DataFrame:
+        """``join`` of the sides, as far as a row of the batch takes part: the first such side new, those before it old."""
+        old, new, upto = self.raw(batch_id), self.raw(batch_id + 1, batch_id), self.raw(batch_id + 1)
+        first = range(len(self.sides) if any(self._live(batch_id).values()) else 1)
+        of = lambda rows, n: rows.where(F.col("_side") == n).select(*self.sides[n])
+        parts = [join(*[of(old if n < i else new if n == i else upto, n) for n in range(len(self.sides))]) for i in first]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _base(self, rows: DataFrame) -> DataFrame:
+        newest = rows.agg(F.max(F.unix_micros("row_time"))).first()[0]
+        return rows.where(F.col("row_time") >= F.timestamp_micros(F.lit(newest)) - interval(f"{self.keep} seconds"))
+
+
+def numbered(sides: Sequence[DataFrame]) -> DataFrame:
+    """The sides of a join as one frame with ``_side``."""
+    rows = [side.withColumn("_side", F.lit(n)) for n, side in enumerate(sides)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
 def windowed(windows: OpenWindows, partials: Callable[[DataFrame, int], DataFrame], finish: Callable[[DataFrame], DataFrame],
              write: Write, stores: Sequence[DeltaStore] = (), rows: Callable[[DataFrame], DataFrame] = lambda r: r,
              time: str = "row_time", compact_every: int = 100) -> Write:
