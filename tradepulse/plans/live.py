@@ -19,7 +19,7 @@ from tradepulse import schemas as S
 from tradepulse.operators import joins, logsplit, parse
 from tradepulse.plans import base, trade
 from tradepulse.plans import windows as tables
-from tradepulse.session import free_shuffles
+from tradepulse.session import delete, free_shuffles
 from tradepulse.sinks import topics as out
 from tradepulse.sinks.fanout import FanOut
 from tradepulse.sinks.keyed import DimTables, UpsertTable
@@ -191,8 +191,24 @@ def order_refund(_spark: SparkSession, shop: Shop) -> Job:
     return _appended(shop, "order_refund", lambda changes: trade.order_refund(changes, shop.dictionary(), shop.together))
 
 
-def refund_pay(_spark: SparkSession, shop: Shop) -> Job:
-    return _appended(shop, "refund_pay", lambda changes: trade.refund_pay_success(changes, shop.dictionary(), shop.together))
+def refund_pay(spark: SparkSession, shop: Shop) -> Job:
+    """Payments, refunds and orders wait for each other in a table beside the stream; a batch is parsed once into files."""
+    fresh = shop.path("state", "refund_pay_changes")
+
+    def rows(changes: DataFrame, batch_id: int) -> DataFrame:
+        out.land_changes(changes.where(F.col("table").isin(*trade.REFUND_TABLES) & (F.col("type") == "update")), fresh, batch_id)
+        return stores.numbered(trade.refund_sides(topics.landed_changes(spark, f"{fresh}/batch_id={batch_id}"), ["row_time"]))
+
+    sides = [_timed("id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount", "ts"),
+             _timed("order_id", "sku_id", "refund_num"), _timed("order_id", "user_id", "province_id")]
+    join = lambda *parts: trade.named_refunds(trade.refund_parts(*parts, shop.together), shop.dictionary())
+    work = _joined(spark, shop, "refund_pay", sides, rows, join)
+
+    def each(changes: DataFrame, batch_id: int) -> None:
+        work(changes, batch_id)
+        delete(spark, f"{fresh}/batch_id={batch_id}")
+
+    return _job(shop, "refund_pay", _changes(shop), lambda rows: each_batch(rows, each))
 
 
 # -- window tables -------------------------------------------------------------------------

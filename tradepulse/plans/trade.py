@@ -157,9 +157,12 @@ def order_refund(changes: DataFrame, dictionary: DataFrame, seconds: int | None
                         ).select(*S.ORDER_REFUND)
 
 
-def refunds_paid(changes: DataFrame, seconds: int | None = None) -> DataFrame:
-    """Refund payments joined with their finished refund and refunded order."""
-    timed = ["row_time"] if seconds else []
+#: The tables that a paid refund is put together from.
+REFUND_TABLES = ("refund_payment", "order_refund_info", "order_info")
+
+
+def refund_sides(changes: DataFrame, timed: Sequence[str] = ()) -> list[DataFrame]:
+    """Refund payments, finished refunds and refunded orders."""
     paid = changelog.transition(changes, "refund_payment", "refund_status", PAID, [
         "id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount"],
         keep=["ts", *timed])
@@ -168,11 +171,24 @@ def refunds_paid(changes: DataFrame, seconds: int | None = None) -> DataFrame:
     orders = changelog.transition(changes, "order_info", "order_status", REFUNDED,
                                   {"order_id": "id", "user_id": "user_id",
                                    "province_id": "province_id"}, keep=timed)
+    return [paid, done, orders]
+
+
+def refund_parts(paid: DataFrame, done: DataFrame, orders: DataFrame, seconds: int | None = None) -> DataFrame:
     return joins.within(joins.within(paid, done, ["order_id", "sku_id"], seconds),
                         orders, ["order_id"], seconds)
 
 
+def refunds_paid(changes: DataFrame, seconds: int | None = None) -> DataFrame:
+    """Refund payments joined with their finished refund and refunded order."""
+    return refund_parts(*refund_sides(changes, ["row_time"] if seconds else []), seconds)
+
+
 def refund_pay_success(changes: DataFrame, dictionary: DataFrame,
                        seconds: int | None = None) -> DataFrame:
-    return joins.lookup(refunds_paid(changes, seconds), dictionary, "payment_type", "rowkey",
+    return named_refunds(refunds_paid(changes, seconds), dictionary)
+
+
+def named_refunds(refunds: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return joins.lookup(refunds, dictionary, "payment_type", "rowkey",
                         {"payment_type_name": "info.dic_name"}, "inner").select(*S.REFUND_PAY)
