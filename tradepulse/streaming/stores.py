@@ -194,7 +194,7 @@ class JoinedSides(DeltaStore):
 
     def _base(self, rows: DataFrame) -> DataFrame:
         newest = rows.agg(F.max(F.unix_micros("row_time"))).first()[0]
-        return rows.where(F.col("row_time") >= F.timestamp_micros(F.lit(newest)) - interval(f"{self.keep} seconds"))
+        return rows.where(F.col("row_time") >= F.timestamp_micros(F.lit(newest).cast("bigint")) - interval(f"{self.keep} seconds"))
 
 
 def numbered(sides: Sequence[DataFrame]) -> DataFrame:
